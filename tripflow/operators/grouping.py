@@ -7,7 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tripflow.operators.joins import attach_per_key
 from tripflow.operators.ordered import number_rows
+from tripflow.session import shuffle_parts
 
 MAX_LIST = 100_000
 
@@ -22,11 +24,14 @@ def collect_values(
     As with collect_list, nulls are left out and a key with nulls alone gets an
     empty array.
     """
+    ranges = ranges or shuffle_parts(df.sparkSession)
     rows = df.select(F.col(key), F.col(value).isNull().alias("__unknown"), F.col(value))
-    placed = number_rows(rows, [key, "__unknown", value], "__position", ranges)
-    starts = placed.groupBy(F.col(key).alias("__key")).agg(F.min("__position").alias("__start"))
-    cut = placed.join(starts, placed[key].eqNullSafe(starts["__key"])).withColumn(
-        "segment", F.expr(f"(__position - __start) div {max_list}")
+    placed = number_rows(rows, [key, "__unknown", value], "__number", ranges)
+    starts = placed.groupBy(F.col(key).alias("__key")).agg(
+        F.min("__number").alias("__start"), F.count(F.lit(1)).alias("__n")
+    )
+    cut = attach_per_key(placed, starts, [(key, "__key")], "__n", ranges).withColumn(
+        "segment", F.expr(f"(__number - __start) div {max_list}")
     )
     lists = cut.groupBy(key, "segment").agg(F.sort_array(F.collect_list(value)).alias(out))
     return lists.filter((F.col("segment") == 0) | (F.size(out) > 0))

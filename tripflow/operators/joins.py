@@ -1,22 +1,80 @@
-"""Lookup joins."""
+"""Joins that hold up with hot keys, and lookups broadcast only when they are small."""
 
 from __future__ import annotations
 
+import functools
+import operator
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tripflow.session import shuffle_parts
+
 MAX_BROADCAST_ROWS = 100_000
 
+# Keys with fewer rows than this are never treated as hot.
+HOT_ROWS = 1_000_000
+
+
+def is_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
+    """Whether a side is safe to broadcast. Stops reading at the bound."""
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def _all_equal(pairs: Sequence[tuple[str, str]]) -> Column:
+    return functools.reduce(operator.and_, (F.col(a).eqNullSafe(F.col(b)) for a, b in pairs))
+
 
-def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Mark a side for broadcast only after checking its row count.
+def attach_per_key(
+    rows: DataFrame,
+    per_key: DataFrame,
+    pairs: Sequence[tuple[str, str]],
+    count: str,
+    parts: int,
+    hot_rows: int = HOT_ROWS,
+) -> DataFrame:
+    """Join rows to the one row per key that was aggregated from them; null is a key too.
+
+    `count` holds the rows of each key. Keys with more than 1/parts of all rows,
+    of which there are fewer than `parts`, are joined by broadcast and never
+    shuffled; all other keys are small enough for a shuffled join.
+    """
+    same = _all_equal(pairs)
+    total, largest = per_key.agg(F.sum(count), F.max(count)).first()
+    bound = max(hot_rows, (total or 0) // parts)
+    if (largest or 0) <= bound:
+        return rows.join(per_key, same)
+    hot = F.broadcast(per_key.filter(F.col(count) > bound))
+    cold = per_key.filter(F.col(count) <= bound)
+    return rows.join(hot, same).unionByName(rows.join(hot, same, "left_anti").join(cold, same))
+
+
+def outer_join(
+    left: DataFrame,
+    right: DataFrame,
+    pairs: Sequence[tuple[str, str]],
+    how: str = "left",
+    parts: int | None = None,
+    hot_rows: int = HOT_ROWS,
+) -> DataFrame:
+    """Left or right outer equi-join on (left, right) column pairs; all column names must differ.
 
-    The check stops reading at the bound. A larger side comes back unmarked and
-    the join shuffles, with AQE splitting hot keys.
+    In an outer join AQE can split a hot key of the preserved side only. Where
+    the other side has one, the matches come from an inner join, which can be
+    split on both sides, and the preserved rows without a match are added.
     """
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+    if how not in ("left", "right"):
+        raise ValueError(f"unknown outer join {how!r}")
+    same = functools.reduce(operator.and_, (F.col(a) == F.col(b) for a, b in pairs))
+    preserved, other = (left, right) if how == "left" else (right, left)
+    keys = other.select(*(p[1] if how == "left" else p[0] for p in pairs)).dropna()
+    total, largest = keys.groupBy(*keys.columns).count().agg(F.sum("count"), F.max("count")).first()
+    bound = max(hot_rows, (total or 0) // (parts or shuffle_parts(left.sparkSession)))
+    if (largest or 0) <= bound:
+        return left.join(right, same, how)
+    unmatched = preserved.join(keys.distinct(), same, "left_anti")
+    return left.join(right, same, "inner").unionByName(unmatched, allowMissingColumns=True)
 
 
 def enrich_zones(
@@ -30,16 +88,17 @@ def enrich_zones(
     """Join one lookup once per role; `roles` maps an output prefix to the trip column.
 
     Left outer: a trip with an unknown or missing location keeps null attributes.
-    The lookup must hold one row per key.
+    The lookup must hold one row per key. It is broadcast if its row count, which
+    is checked, allows that; otherwise the joins shuffle, and AQE splits hot zones.
     """
     lookup = zones.select(zone_key, *attributes)
-    small = broadcast_if_small(lookup, max_rows)
+    small = is_small(lookup, max_rows)
     joined = trips
     for prefix, location in roles.items():
-        role = small.select(
+        role = lookup.select(
             F.col(zone_key).alias(f"__{prefix}_key"), *(F.col(a).alias(f"{prefix}{a}") for a in attributes)
         )
-        if small is not lookup:
+        if small:
             role = F.broadcast(role)
         joined = joined.join(role, F.col(location) == F.col(f"__{prefix}_key"), "left").drop(f"__{prefix}_key")
     return joined

@@ -1,20 +1,21 @@
 """Whole-table numbering, ranks and running totals without a one-task window.
 
 A window without PARTITION BY moves every row to one task. Here the rows are
-range-partitioned by the order, each range is summed on its own, and the totals
-of the ranges before it (one row per range) are added:
+range-partitioned by the order, each range is numbered or summed on its own, and
+the totals of the ranges before it (one row per range) are added:
 
     position(row) = rows in earlier ranges + position within the range
 
-The ranged rows are checkpointed in between. Range bounds come from a sample
-that may differ between two runs of the same plan, so the totals and the rows
-must be read from one materialised copy; it also cuts the lineage.
+The ranged rows are written to the shared folder in between. Range bounds come
+from a sample that may differ between two runs of the same plan, so totals and
+rows must be read from one copy; it also cuts the lineage, and the totals read
+only their own columns of it.
 
-Hot order keys: ranks and RANGE totals first aggregate to one row per order key.
-Numbering and ROWS totals break ties by all other columns, so rows that share an
-order key still spread over ranges; only groups of identical rows cannot be told
-apart, and where such a group is large its copies are counted, carried as one row
-and expanded again in parallel.
+Hot order keys: ranks and RANGE totals first aggregate to one row per order key
+and are joined back with the hot keys split off. Numbering and ROWS totals break
+ties by all other columns, so rows that share an order key still spread over
+ranges. Only identical rows cannot be told apart; where a group of them is large
+its copies are counted, carried as one row and expanded again in parallel.
 """
 
 from __future__ import annotations
@@ -25,13 +26,16 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tripflow.session import checkpoint_root
+from tripflow.operators.joins import attach_per_key
+from tripflow.session import materialise, shuffle_parts
 
 RANGE = "__range"
+POSITION = "__position"
 COPIES = "__copies"
+COPY = "__copy"
 
-# Identical rows up to this number stay plain rows of one range.
-MAX_COPIES_IN_RANGE = 1_000_000
+# Groups of identical rows up to this size are left as they are.
+HOT_COPIES = 1_000_000
 # Copies expanded by one task from one row.
 COPY_CHUNK = 100_000
 
@@ -43,108 +47,110 @@ class Key:
     name: str
     ascending: bool = True
 
-    def column(self, name: str | None = None) -> Column:
-        col = F.col(name or self.name)
-        return col.asc() if self.ascending else col.desc()
+    def column(self) -> Column:
+        return F.col(self.name).asc() if self.ascending else F.col(self.name).desc()
 
 
 def as_keys(order: Sequence[str | Key]) -> list[Key]:
     return [k if isinstance(k, Key) else Key(k) for k in order]
 
 
-def materialise(df: DataFrame) -> DataFrame:
-    """A reliable checkpoint in the shared folder: survives the loss of executors."""
-    checkpoint_root(df.sparkSession)
-    return df.checkpoint()
+def row_keys(df: DataFrame, order: Sequence[str | Key]) -> list[Key]:
+    """The order, then every other column as a tie-breaker."""
+    keys = as_keys(order)
+    named = {k.name.lower() for k in keys}
+    return keys + [Key(c) for c in df.columns if c.lower() not in named]
 
 
-def _with_sums_before(units: DataFrame, keys: Sequence[Key], sums: Sequence[str], ranges: int | None) -> DataFrame:
-    """Adds before_<c> for every c in sums: the sum over all rows that sort earlier."""
-    spark = units.sparkSession
-    ranges = ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
+def _ranged(df: DataFrame, keys: Sequence[Key], ranges: int) -> DataFrame:
+    """Rows in ranges of the order, each with its range and its position there; written once."""
     order = [k.column() for k in keys]
-    ranged = materialise(units.repartitionByRange(ranges, *order).withColumn(RANGE, F.spark_partition_id()))
+    placed = df.repartitionByRange(ranges, *order).sortWithinPartitions(*order)
+    # The generated id counts rows within a partition in its lower 33 bits.
+    position = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    return materialise(placed.select("*", F.spark_partition_id().alias(RANGE), position.alias(POSITION)))
+
 
-    # One row per range, whatever the size of the table.
+def _offsets(ranged: DataFrame, sums: dict[str, Column]) -> DataFrame:
+    """For every range the totals of all earlier ones: one row per range, whatever the table's size."""
     earlier = Window.orderBy(RANGE).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = ranged.groupBy(RANGE).agg(*(F.sum(c).alias(c) for c in sums)).select(
-        RANGE, *(F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"__offset_{c}") for c in sums)
+    totals = ranged.groupBy(RANGE).agg(*(column.alias(name) for name, column in sums.items()))
+    return totals.select(
+        RANGE, *(F.coalesce(F.sum(name).over(earlier), F.lit(0)).alias(f"__offset_{name}") for name in sums)
     )
-    within = Window.partitionBy(RANGE).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+
+
+def _with_sums_before(units: DataFrame, keys: Sequence[Key], sums: Sequence[str], ranges: int) -> DataFrame:
+    """Adds before_<c> for every c in sums: the sum over all rows that sort earlier."""
+    ranged = _ranged(units, keys, ranges)
+    offsets = _offsets(ranged, {c: F.sum(c) for c in sums})
+    within = Window.partitionBy(RANGE).orderBy(POSITION).rowsBetween(Window.unboundedPreceding, -1)
     local = ranged.select("*", *(F.coalesce(F.sum(c).over(within), F.lit(0)).alias(f"__local_{c}") for c in sums))
     return local.join(F.broadcast(offsets), RANGE).select(
         *units.columns, *((F.col(f"__offset_{c}") + F.col(f"__local_{c}")).alias(f"before_{c}") for c in sums)
     )
 
 
-def largest_copy_group(df: DataFrame) -> int:
-    """Upper bound for the number of identical rows; shuffles one hash and count per group."""
-    groups = df.groupBy(F.xxhash64(*df.columns).alias("h")).count()
-    return groups.agg(F.max("count")).first()[0] or 0
+def has_hot_copies(df: DataFrame, ranges: int, hot_copies: int = HOT_COPIES) -> bool:
+    """Whether some group of identical rows is too large for one range.
 
+    One pass with a mergeable frequent-items sketch over row hashes. With this
+    many tracked items it cannot miss a group that outgrows an even range.
+    """
+    tracked = min(64 * ranges, 1_000_000)
+    sketch = F.expr(f"approx_top_k(xxhash64(*), 1, {tracked})")
+    rows, top = df.agg(F.count(F.lit(1)), sketch).first()
+    return bool(top) and top[0]["count"] > max(hot_copies, rows // ranges)
 
-def _count_copies(df: DataFrame, max_copies: int) -> tuple[DataFrame, bool]:
-    """Rows with the number of copies each stands for, and whether any was folded."""
-    if largest_copy_group(df) <= max_copies:
-        return df.withColumn(COPIES, F.lit(1).cast("bigint")), False
-    return df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias(COPIES)), True
 
+def _fold_copies(df: DataFrame) -> DataFrame:
+    """Identical rows as one row with their number; counted before the shuffle."""
+    return df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias(COPIES))
 
-def _expand_copies(df: DataFrame, folded: bool, chunk: int) -> DataFrame:
-    """One row per copy with its number __copy from 0; big groups are cut and spread first."""
-    copy = F.lit(0).cast("bigint").alias("__copy")
-    if not folded:
-        return df.select("*", copy)
-    few = df.filter(F.col(COPIES) <= chunk).select(
-        "*", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(COPIES) - 1)).alias("__copy")
-    )
+
+def _expand_copies(df: DataFrame, chunk: int) -> DataFrame:
+    """One row per copy, numbered from 0; large groups are cut into chunks that spread over tasks."""
+    zero = F.lit(0).cast("bigint")
+    few = df.filter(F.col(COPIES) <= chunk).select("*", F.explode(F.sequence(zero, F.col(COPIES) - 1)).alias(COPY))
+    chunks = F.explode(F.sequence(zero, F.expr(f"({COPIES} - 1) div {chunk}")))
     first = F.col("__chunk") * chunk
     last = F.least(first + chunk, F.col(COPIES)) - 1
     many = (
         df.filter(F.col(COPIES) > chunk)
-        .select("*", F.explode(F.sequence(F.lit(0).cast("bigint"), F.expr(f"({COPIES} - 1) div {chunk}"))).alias("__chunk"))
-        .repartition(F.xxhash64("__chunk", "before___copies"))
-        .select("*", F.explode(F.sequence(first, last)).alias("__copy"))
+        .select("*", chunks.alias("__chunk"))
+        .repartition(F.xxhash64(f"before_{COPIES}", "__chunk"))
+        .select("*", F.explode(F.sequence(first, last)).alias(COPY))
         .drop("__chunk")
     )
     return few.unionByName(many)
 
 
-def _row_keys(df: DataFrame, order: Sequence[str | Key]) -> list[Key]:
-    keys = as_keys(order)
-    named = {k.name.lower() for k in keys}
-    return keys + [Key(c) for c in df.columns if c.lower() not in named]
-
-
 def number_rows(
     df: DataFrame,
     order: Sequence[str | Key],
     out: str = "row_number",
     ranges: int | None = None,
-    max_copies: int = MAX_COPIES_IN_RANGE,
+    hot_copies: int = HOT_COPIES,
     chunk: int = COPY_CHUNK,
 ) -> DataFrame:
     """ROW_NUMBER() OVER (ORDER BY order, then all other columns)."""
-    units, folded = _count_copies(df, max_copies)
-    placed = _with_sums_before(units, _row_keys(df, order), [COPIES], ranges)
-    rows = _expand_copies(placed, folded, chunk)
-    return rows.select(*df.columns, (F.col(f"before_{COPIES}") + F.col("__copy") + 1).alias(out))
+    ranges = ranges or shuffle_parts(df.sparkSession)
+    keys = row_keys(df, order)
+    if has_hot_copies(df, ranges, hot_copies):
+        placed = _with_sums_before(_fold_copies(df), keys, [COPIES], ranges)
+        number = F.col(f"before_{COPIES}") + F.col(COPY) + 1
+        return _expand_copies(placed, chunk).select(*df.columns, number.alias(out))
+    ranged = _ranged(df, keys, ranges)
+    offsets = _offsets(ranged, {"n": F.count(F.lit(1))})
+    number = F.col("__offset_n") + F.col(POSITION) + 1
+    return ranged.join(F.broadcast(offsets), RANGE).select(*df.columns, number.alias(out))
 
 
 def _per_key(df: DataFrame, keys: Sequence[Key], *aggs: Column) -> tuple[DataFrame, list[Key]]:
     """One row per order key, under names that cannot clash with the rows joined later."""
     renamed = [Key(f"__key{i}", k.ascending) for i, k in enumerate(keys)]
-    grouped = df.groupBy(*(F.col(k.name).alias(r.name) for k, r in zip(keys, renamed))).agg(*aggs)
-    return grouped, renamed
-
-
-def _join_per_key(df: DataFrame, keys: Sequence[Key], peers: DataFrame, renamed: Sequence[Key]) -> DataFrame:
-    """Peers are unique, so a hot key is on the row side alone, where AQE can split it."""
-    condition = None
-    for k, r in zip(keys, renamed):
-        same = df[k.name].eqNullSafe(peers[r.name])
-        condition = same if condition is None else condition & same
-    return df.join(peers, condition)
+    columns = [F.col(k.name).alias(r.name) for k, r in zip(keys, renamed)]
+    return df.groupBy(*columns).agg(F.count(F.lit(1)).alias("__n"), *aggs), renamed
 
 
 def rank_rows(
@@ -155,14 +161,19 @@ def rank_rows(
     ranges: int | None = None,
 ) -> DataFrame:
     """RANK() and DENSE_RANK() OVER (ORDER BY order)."""
+    ranges = ranges or shuffle_parts(df.sparkSession)
     keys = as_keys(order)
-    peers, renamed = _per_key(df, keys, F.count(F.lit(1)).alias("__n"))
+    peers, renamed = _per_key(df, keys)
     placed = _with_sums_before(peers.withColumn("__one", F.lit(1).cast("bigint")), renamed, ["__n", "__one"], ranges)
-    joined = _join_per_key(df, keys, placed, renamed)
+    ranked = placed.select(
+        *(r.name for r in renamed),
+        "__n",
+        (F.col("before___n") + 1).alias("__rank"),
+        (F.col("before___one") + 1).alias("__dense_rank"),
+    )
+    joined = attach_per_key(df, ranked, [(k.name, r.name) for k, r in zip(keys, renamed)], "__n", ranges)
     return joined.select(
-        *(df[c] for c in df.columns),
-        (F.col("before___n") + 1).alias(rank),
-        (F.col("before___one") + 1).alias(dense_rank),
+        *(F.col(c) for c in df.columns), F.col("__rank").alias(rank), F.col("__dense_rank").alias(dense_rank)
     )
 
 
@@ -173,7 +184,7 @@ def running_total(
     out: str = "running_total",
     frame: str = "rows",
     ranges: int | None = None,
-    max_copies: int = MAX_COPIES_IN_RANGE,
+    hot_copies: int = HOT_COPIES,
     chunk: int = COPY_CHUNK,
 ) -> DataFrame:
     """SUM(value) OVER (ORDER BY order ROWS | RANGE UNBOUNDED PRECEDING).
@@ -181,40 +192,41 @@ def running_total(
     ROWS adds row by row, ties broken by all other columns; RANGE gives rows
     with equal order keys the same total. Null until the first known value.
     """
+    ranges = ranges or shuffle_parts(df.sparkSession)
     if frame == "rows":
-        return _running_rows(df, value, order, out, ranges, max_copies, chunk)
+        return _running_rows(df, value, order, out, ranges, hot_copies, chunk)
     if frame == "range":
         return _running_range(df, value, order, out, ranges)
     raise ValueError(f"unknown frame {frame!r}")
 
 
-def _running_rows(df, value, order, out, ranges, max_copies, chunk) -> DataFrame:
-    units, folded = _count_copies(df, max_copies)
+def _running_rows(
+    df: DataFrame, value: str, order: Sequence[str | Key], out: str, ranges: int, hot_copies: int, chunk: int
+) -> DataFrame:
+    keys = row_keys(df, order)
+    folded = has_hot_copies(df, ranges, hot_copies)
+    units = _fold_copies(df) if folded else df.withColumn(COPIES, F.lit(1).cast("bigint"))
     known = F.col(value).isNotNull().cast("bigint")
     units = units.withColumns(
-        {
-            "__sum": F.coalesce(F.col(value) * F.col(COPIES), F.lit(0)),
-            "__known": known * F.col(COPIES),
-        }
+        {"__sum": F.coalesce(F.col(value) * F.col(COPIES), F.lit(0)), "__known": known * F.col(COPIES)}
     )
-    placed = _with_sums_before(units, _row_keys(df, order), [COPIES, "__sum", "__known"], ranges)
-    rows = _expand_copies(placed, folded, chunk)
-    own = F.coalesce(F.col(value) * (F.col("__copy") + 1), F.lit(0))
+    rows = _with_sums_before(units, keys, [COPIES, "__sum", "__known"] if folded else ["__sum", "__known"], ranges)
+    rows = _expand_copies(rows, chunk) if folded else rows.withColumn(COPY, F.lit(0).cast("bigint"))
+    own = F.coalesce(F.col(value) * (F.col(COPY) + 1), F.lit(0))
     total = F.when(F.col("before___known") + known > 0, F.col("before___sum") + own)
     return rows.select(*df.columns, total.alias(out))
 
 
-def _running_range(df, value, order, out, ranges) -> DataFrame:
+def _running_range(df: DataFrame, value: str, order: Sequence[str | Key], out: str, ranges: int) -> DataFrame:
     keys = as_keys(order)
     peers, renamed = _per_key(
-        df, keys,
-        F.coalesce(F.sum(value), F.lit(0)).alias("__sum"),
-        F.count(value).alias("__known"),
+        df, keys, F.coalesce(F.sum(value), F.lit(0)).alias("__sum"), F.count(value).alias("__known")
     )
     placed = _with_sums_before(peers, renamed, ["__sum", "__known"], ranges)
-    joined = _join_per_key(df, keys, placed, renamed)
     total = F.when(F.col("before___known") + F.col("__known") > 0, F.col("before___sum") + F.col("__sum"))
-    return joined.select(*(df[c] for c in df.columns), total.alias(out))
+    totals = placed.select(*(r.name for r in renamed), "__n", total.alias("__total"))
+    joined = attach_per_key(df, totals, [(k.name, r.name) for k, r in zip(keys, renamed)], "__n", ranges)
+    return joined.select(*(F.col(c) for c in df.columns), F.col("__total").alias(out))
 
 
 def with_total(df: DataFrame, value: str, out: str = "total") -> DataFrame:
@@ -222,12 +234,15 @@ def with_total(df: DataFrame, value: str, out: str = "total") -> DataFrame:
     return df.select("*", df.agg(F.sum(value)).scalar().alias(out))
 
 
-def sort_rows(df: DataFrame, order: Sequence[str | Key], max_copies: int = MAX_COPIES_IN_RANGE) -> DataFrame:
+def sort_rows(
+    df: DataFrame, order: Sequence[str | Key], ranges: int | None = None, hot_copies: int = HOT_COPIES
+) -> DataFrame:
     """Global sort; ties are ordered by the other columns, so equal keys spread over tasks.
 
-    Large groups of identical rows are spread by their position instead.
+    Where a large group of identical rows exists the rows are spread by their position instead.
     """
-    if largest_copy_group(df) <= max_copies:
-        return df.orderBy(*(k.column() for k in _row_keys(df, order)))
-    placed = number_rows(df, order, "__position", max_copies=max_copies)
-    return placed.orderBy("__position").drop("__position")
+    ranges = ranges or shuffle_parts(df.sparkSession)
+    if not has_hot_copies(df, ranges, hot_copies):
+        return df.orderBy(*(k.column() for k in row_keys(df, order)))
+    placed = number_rows(df, order, "__number", ranges, hot_copies)
+    return placed.orderBy("__number").drop("__number")

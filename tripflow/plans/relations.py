@@ -9,6 +9,7 @@ from tripflow.operators import (
     collect_values,
     first_per_key,
     number_rows,
+    outer_join,
     rank_rows,
     running_total,
     sort_rows,
@@ -33,7 +34,7 @@ def join_inner(spark, sf):
 
 
 def _labels(spark, sf):
-    """Labels of the better documents, their key renamed to stand beside the documents' own."""
+    """Labels, their key renamed to stand beside the documents' own."""
     return table(spark, sf, "labels").withColumnRenamed("doc_id", "label_doc_id")
 
 
@@ -44,7 +45,7 @@ def _labels(spark, sf):
 )
 def join_left(spark, sf):
     documents, labels = table(spark, sf, "documents"), _labels(spark, sf)
-    joined = documents.join(labels, documents["doc_id"] == labels["label_doc_id"], "left")
+    joined = outer_join(documents, labels, [("doc_id", "label_doc_id")])
     return joined.select("doc_id", "lang", "label_doc_id", "quality", "toxic")
 
 
@@ -55,7 +56,7 @@ def join_left(spark, sf):
 )
 def join_right(spark, sf):
     good, documents = _labels(spark, sf).filter("quality = 1"), table(spark, sf, "documents")
-    joined = good.join(documents, good["label_doc_id"] == documents["doc_id"], "right")
+    joined = outer_join(good, documents, [("label_doc_id", "doc_id")], "right")
     return joined.select("label_doc_id", "quality", "doc_id", "source")
 
 

@@ -6,9 +6,9 @@ import configparser
 import os
 import tempfile
 import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Mapping
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -103,14 +103,21 @@ def checkpoint_root(spark: SparkSession) -> str:
     return spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
 
 
+def shuffle_parts(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def scratch_path(spark: SparkSession, *labels: str) -> str:
     """A path nobody used yet below the shared folder."""
     return "/".join([checkpoint_root(spark).rstrip("/"), f"work-{uuid.uuid4().hex}", *labels])
 
 
-def unique_name(prefix: str) -> str:
-    return f"{prefix}_{uuid.uuid4().hex[:12]}"
+def materialise(df: DataFrame) -> DataFrame:
+    """The frame as a table in the shared folder: cuts the lineage and outlives executors."""
+    path = scratch_path(df.sparkSession, "table")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def join_path(base: str, parts: Sequence[str]) -> str:
-    return "/".join([base.rstrip("/"), *parts])
+def unique_name(prefix: str) -> str:
+    return f"{prefix}_{uuid.uuid4().hex[:12]}"
