@@ -24,6 +24,8 @@ def spark(tmp_path_factory):
             "spark.checkpoint.dir": str(base / "shared"),
             "spark.sql.warehouse.dir": str(base / "warehouse"),
             "spark.driver.memory": "4g",
+            # Plans are read by tests: print pushed filters in full.
+            "spark.sql.maxMetadataStringLength": "10000",
         },
     )
     session.sparkContext.setLogLevel("ERROR")

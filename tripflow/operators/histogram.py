@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
@@ -49,14 +49,25 @@ def column_histograms(
     ddl = "column string, low double, high double"
     limits = spark.createDataFrame([(c, low, high) for c, (low, high) in bounds.items()], ddl)
 
-    def bin_of(c: str):
-        low, high = bounds[c]
-        return F.least(F.floor((F.col(c) - low) / (high - low) * bins), F.lit(bins - 1)).cast("int")
+    def edge(i: Column, low: Column, high: Column) -> Column:
+        return F.when(i == bins, high).otherwise(low + i * ((high - low) / bins))
 
-    edge = lambda i: F.col("low") + (F.col("high") - F.col("low")) * i / bins
-    all_bins = limits.select(
-        "column", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"), "low", "high"
-    ).select("column", "bin", edge(F.col("bin")).alias("low"), edge(F.col("bin") + 1).alias("high"))
+    def bin_of(c: str) -> Column:
+        v, low, high = F.col(c), F.lit(bounds[c][0]), F.lit(bounds[c][1])
+        near = F.floor((v - low) / (high - low) * bins)
+        # The quotient may round across an edge; the edges as reported decide.
+        exact = (
+            F.when(v < edge(near, low, high), near - 1)
+            .when(v >= edge(near + 1, low, high), near + 1)
+            .otherwise(near)
+        )
+        return F.when(v.isNotNull(), F.least(exact, F.lit(bins - 1)).cast("int"))
+
+    slots = limits.select("column", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"), "low", "high")
+    ends = F.col("low"), F.col("high")
+    all_bins = slots.select(
+        "column", "bin", edge(F.col("bin"), *ends).alias("low"), edge(F.col("bin") + 1, *ends).alias("high")
+    )
     if not bounds:
         return all_bins.withColumn("n", F.lit(0).cast("bigint"))
     cells = finite.select(

@@ -300,12 +300,17 @@ HISTOGRAM_COLUMNS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_
             UNPIVOT (SELECT {", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in HISTOGRAM_COLUMNS)} FROM lineitem)
             ON {", ".join(HISTOGRAM_COLUMNS)} INTO NAME "column" VALUE v),
         bounds AS (SELECT "column", min(v) AS lo, max(v) AS hi FROM cells GROUP BY "column"),
+        near AS (
+            SELECT "column", v, lo, (hi - lo) / 50 AS step, floor((v - lo) / (hi - lo) * 50) AS b
+            FROM cells JOIN bounds USING ("column")),
         counts AS (
-            SELECT "column", CAST(least(floor((v - lo) / (hi - lo) * 50), 49) AS INTEGER) AS bin, count(*) AS n
-            FROM cells JOIN bounds USING ("column") GROUP BY 1, 2),
+            SELECT "column", CAST(least(CASE WHEN v < lo + b * step THEN b - 1
+                                             WHEN v >= lo + (b + 1) * step THEN b + 1 ELSE b END, 49) AS INTEGER) AS bin,
+                   count(*) AS n
+            FROM near GROUP BY 1, 2),
         slots AS (SELECT "column", lo, hi, CAST(unnest(range(50)) AS INTEGER) AS bin FROM bounds)
-        SELECT "column", bin, lo + (hi - lo) * bin / 50 AS low, lo + (hi - lo) * (bin + 1) / 50 AS high,
-               coalesce(n, 0) AS n
+        SELECT "column", bin, lo + bin * ((hi - lo) / 50) AS low,
+               CASE WHEN bin = 49 THEN hi ELSE lo + (bin + 1) * ((hi - lo) / 50) END AS high, coalesce(n, 0) AS n
         FROM slots LEFT JOIN counts USING ("column", bin)""",
 )
 def histogram_50(spark, sf):
