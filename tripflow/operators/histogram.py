@@ -52,17 +52,6 @@ def column_histograms(
     def edge(i: Column, low: Column, high: Column) -> Column:
         return F.when(i == bins, high).otherwise(low + i * ((high - low) / bins))
 
-    def bin_of(c: str) -> Column:
-        v, low, high = F.col(c), F.lit(bounds[c][0]), F.lit(bounds[c][1])
-        near = F.floor((v - low) / (high - low) * bins)
-        # The quotient may round across an edge; the edges as reported decide.
-        exact = (
-            F.when(v < edge(near, low, high), near - 1)
-            .when(v >= edge(near + 1, low, high), near + 1)
-            .otherwise(near)
-        )
-        return F.when(v.isNotNull(), F.least(exact, F.lit(bins - 1)).cast("int"))
-
     slots = limits.select("column", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"), "low", "high")
     ends = F.col("low"), F.col("high")
     all_bins = slots.select(
@@ -70,9 +59,25 @@ def column_histograms(
     )
     if not bounds:
         return all_bins.withColumn("n", F.lit(0).cast("bigint"))
-    cells = finite.select(
-        F.explode(F.array(*(F.struct(F.lit(c).alias("column"), bin_of(c).alias("bin")) for c in bounds))).alias("cell")
+
+    # Each cell carries its column's extremes, so one short expression bins them all.
+    cells = F.array(
+        *(
+            F.struct(F.lit(c).alias("column"), F.col(c).alias("v"), F.lit(low).alias("low"), F.lit(high).alias("high"))
+            for c, (low, high) in bounds.items()
+        )
+    )
+    v, (low, high) = F.col("v"), ends
+    near = F.col("near")
+    # The quotient may round across an edge; the edges as reported decide.
+    exact = F.when(v < edge(near, low, high), near - 1).when(v >= edge(near + 1, low, high), near + 1).otherwise(near)
+    counts = (
+        finite.select(F.explode(cells).alias("cell"))
+        .select("cell.*")
+        .filter(v.isNotNull())
+        .withColumn("near", F.floor((v - low) / (high - low) * bins))
+        .groupBy("column", F.least(exact, F.lit(bins - 1)).cast("int").alias("bin"))
+        .agg(F.count("*").alias("n"))
     )
-    counts = cells.filter("cell.bin IS NOT NULL").groupBy("cell.column", "cell.bin").agg(F.count("*").alias("n"))
     joined = all_bins.join(counts, ["column", "bin"], "left")
     return joined.select("column", "bin", "low", "high", F.coalesce("n", F.lit(0)).cast("bigint").alias("n"))
