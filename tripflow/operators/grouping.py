@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from tripflow.operators.joins import attach_per_key
 from tripflow.operators.ordered import number_rows
-from tripflow.session import shuffle_parts
 
 MAX_LIST = 100_000
 
@@ -24,7 +23,6 @@ def collect_values(
     As with collect_list, nulls are left out and a key with nulls alone gets an
     empty array.
     """
-    ranges = ranges or shuffle_parts(df.sparkSession)
     rows = df.select(F.col(key), F.col(value).isNull().alias("__unknown"), F.col(value))
     placed = number_rows(rows, [key, "__unknown", value], "__number", ranges)
     starts = placed.groupBy(F.col(key).alias("__key")).agg(

@@ -31,7 +31,7 @@ def attach_per_key(
     per_key: DataFrame,
     pairs: Sequence[tuple[str, str]],
     count: str,
-    parts: int,
+    parts: int | None = None,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Join rows to the one row per key that was aggregated from them; null is a key too.
@@ -41,6 +41,7 @@ def attach_per_key(
     shuffled; all other keys are small enough for a shuffled join.
     """
     same = _all_equal(pairs)
+    parts = parts or shuffle_parts(rows.sparkSession)
     total, largest = per_key.agg(F.sum(count), F.max(count)).first()
     bound = max(hot_rows, (total or 0) // parts)
     if (largest or 0) <= bound:

@@ -62,10 +62,15 @@ def row_keys(df: DataFrame, order: Sequence[str | Key]) -> list[Key]:
     return keys + [Key(c) for c in df.columns if c.lower() not in named]
 
 
-def _ranged(df: DataFrame, keys: Sequence[Key], ranges: int) -> DataFrame:
-    """Rows in ranges of the order, each with its range and its position there; written once."""
+def _ranged(df: DataFrame, keys: Sequence[Key], ranges: int | None) -> DataFrame:
+    """Rows in ranges of the order, each with its range and its position there; written once.
+
+    Without a number of ranges there are as many as shuffle partitions, and AQE
+    joins small neighbours.
+    """
     order = [k.column() for k in keys]
-    placed = df.repartitionByRange(ranges, *order).sortWithinPartitions(*order)
+    split = df.repartitionByRange(ranges, *order) if ranges else df.repartitionByRange(*order)
+    placed = split.sortWithinPartitions(*order)
     # The generated id counts rows within a partition in its lower 33 bits.
     position = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
     return materialise(placed.select("*", F.spark_partition_id().alias(RANGE), position.alias(POSITION)))
@@ -80,7 +85,7 @@ def _offsets(ranged: DataFrame, sums: dict[str, Column]) -> DataFrame:
     )
 
 
-def _with_sums_before(units: DataFrame, keys: Sequence[Key], sums: Sequence[str], ranges: int) -> DataFrame:
+def _with_sums_before(units: DataFrame, keys: Sequence[Key], sums: Sequence[str], ranges: int | None) -> DataFrame:
     """Adds before_<c> for every c in sums: the sum over all rows that sort earlier."""
     ranged = _ranged(units, keys, ranges)
     offsets = _offsets(ranged, {c: F.sum(c) for c in sums})
@@ -91,12 +96,13 @@ def _with_sums_before(units: DataFrame, keys: Sequence[Key], sums: Sequence[str]
     )
 
 
-def has_hot_copies(df: DataFrame, ranges: int, hot_copies: int = HOT_COPIES) -> bool:
+def has_hot_copies(df: DataFrame, ranges: int | None = None, hot_copies: int = HOT_COPIES) -> bool:
     """Whether some group of identical rows is too large for one range.
 
     One pass with a mergeable frequent-items sketch over row hashes. With this
     many tracked items it cannot miss a group that outgrows an even range.
     """
+    ranges = ranges or shuffle_parts(df.sparkSession)
     tracked = min(64 * ranges, 1_000_000)
     sketch = F.expr(f"approx_top_k(xxhash64(*), 1, {tracked})")
     rows, top = df.agg(F.count(F.lit(1)), sketch).first()
@@ -109,7 +115,11 @@ def _fold_copies(df: DataFrame) -> DataFrame:
 
 
 def _expand_copies(df: DataFrame, chunk: int) -> DataFrame:
-    """One row per copy, numbered from 0; large groups are cut into chunks that spread over tasks."""
+    """One row per copy, numbered from 0; large groups are cut into chunks that spread over tasks.
+
+    The number of those tasks is fixed: AQE would join them, as the few rows
+    that stand for the chunks look small before they are expanded.
+    """
     zero = F.lit(0).cast("bigint")
     few = df.filter(F.col(COPIES) <= chunk).select("*", F.explode(F.sequence(zero, F.col(COPIES) - 1)).alias(COPY))
     chunks = F.explode(F.sequence(zero, F.expr(f"({COPIES} - 1) div {chunk}")))
@@ -118,7 +128,7 @@ def _expand_copies(df: DataFrame, chunk: int) -> DataFrame:
     many = (
         df.filter(F.col(COPIES) > chunk)
         .select("*", chunks.alias("__chunk"))
-        .repartition(F.xxhash64(f"before_{COPIES}", "__chunk"))
+        .repartition(shuffle_parts(df.sparkSession), F.xxhash64(f"before_{COPIES}", "__chunk"))
         .select("*", F.explode(F.sequence(first, last)).alias(COPY))
         .drop("__chunk")
     )
@@ -134,18 +144,21 @@ def number_rows(
     chunk: int = COPY_CHUNK,
 ) -> DataFrame:
     """ROW_NUMBER() OVER (ORDER BY order, then all other columns)."""
-    ranges = ranges or shuffle_parts(df.sparkSession)
     keys = row_keys(df, order)
     if has_hot_copies(df, ranges, hot_copies):
-        placed = _with_sums_before(_fold_copies(df), keys, [COPIES], ranges)
-        number = F.col(f"before_{COPIES}") + F.col(COPY) + 1
-        return _expand_copies(placed, chunk).select(*df.columns, number.alias(out))
+        return _number_folded(df, keys, out, ranges, chunk)
     ranged = _ranged(df, keys, ranges)
     offsets = _offsets(ranged, {"n": F.count(F.lit(1))})
     number = F.col("__offset_n") + F.col(POSITION) + 1
     return ranged.join(F.broadcast(offsets), RANGE).select(*df.columns, number.alias(out))
 
 
+def _number_folded(df: DataFrame, keys: Sequence[Key], out: str, ranges: int | None, chunk: int) -> DataFrame:
+    placed = _with_sums_before(_fold_copies(df), keys, [COPIES], ranges)
+    number = F.col(f"before_{COPIES}") + F.col(COPY) + 1
+    return _expand_copies(placed, chunk).select(*df.columns, number.alias(out))
+
+
 def _per_key(df: DataFrame, keys: Sequence[Key], *aggs: Column) -> tuple[DataFrame, list[Key]]:
     """One row per order key, under names that cannot clash with the rows joined later."""
     renamed = [Key(f"__key{i}", k.ascending) for i, k in enumerate(keys)]
@@ -161,7 +174,6 @@ def rank_rows(
     ranges: int | None = None,
 ) -> DataFrame:
     """RANK() and DENSE_RANK() OVER (ORDER BY order)."""
-    ranges = ranges or shuffle_parts(df.sparkSession)
     keys = as_keys(order)
     peers, renamed = _per_key(df, keys)
     placed = _with_sums_before(peers.withColumn("__one", F.lit(1).cast("bigint")), renamed, ["__n", "__one"], ranges)
@@ -192,7 +204,6 @@ def running_total(
     ROWS adds row by row, ties broken by all other columns; RANGE gives rows
     with equal order keys the same total. Null until the first known value.
     """
-    ranges = ranges or shuffle_parts(df.sparkSession)
     if frame == "rows":
         return _running_rows(df, value, order, out, ranges, hot_copies, chunk)
     if frame == "range":
@@ -201,7 +212,7 @@ def running_total(
 
 
 def _running_rows(
-    df: DataFrame, value: str, order: Sequence[str | Key], out: str, ranges: int, hot_copies: int, chunk: int
+    df: DataFrame, value: str, order: Sequence[str | Key], out: str, ranges: int | None, hot_copies: int, chunk: int
 ) -> DataFrame:
     keys = row_keys(df, order)
     folded = has_hot_copies(df, ranges, hot_copies)
@@ -217,7 +228,9 @@ def _running_rows(
     return rows.select(*df.columns, total.alias(out))
 
 
-def _running_range(df: DataFrame, value: str, order: Sequence[str | Key], out: str, ranges: int) -> DataFrame:
+def _running_range(
+    df: DataFrame, value: str, order: Sequence[str | Key], out: str, ranges: int | None
+) -> DataFrame:
     keys = as_keys(order)
     peers, renamed = _per_key(
         df, keys, F.coalesce(F.sum(value), F.lit(0)).alias("__sum"), F.count(value).alias("__known")
@@ -235,14 +248,17 @@ def with_total(df: DataFrame, value: str, out: str = "total") -> DataFrame:
 
 
 def sort_rows(
-    df: DataFrame, order: Sequence[str | Key], ranges: int | None = None, hot_copies: int = HOT_COPIES
+    df: DataFrame,
+    order: Sequence[str | Key],
+    ranges: int | None = None,
+    hot_copies: int = HOT_COPIES,
+    chunk: int = COPY_CHUNK,
 ) -> DataFrame:
     """Global sort; ties are ordered by the other columns, so equal keys spread over tasks.
 
     Where a large group of identical rows exists the rows are spread by their position instead.
     """
-    ranges = ranges or shuffle_parts(df.sparkSession)
+    keys = row_keys(df, order)
     if not has_hot_copies(df, ranges, hot_copies):
-        return df.orderBy(*(k.column() for k in row_keys(df, order)))
-    placed = number_rows(df, order, "__number", ranges, hot_copies)
-    return placed.orderBy("__number").drop("__number")
+        return df.orderBy(*(k.column() for k in keys))
+    return _number_folded(df, keys, "__number", ranges, chunk).orderBy("__number").drop("__number")

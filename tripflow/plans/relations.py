@@ -313,16 +313,16 @@ def sample_seeded(spark, sf):
 
 @query(
     "union_positional",
-    """SELECT c_name AS id, CAST(c_custkey AS VARCHAR) AS name FROM customer
-       UNION ALL SELECT CAST(s_suppkey AS VARCHAR), s_name FROM supplier""",
+    """SELECT CAST(c_custkey AS VARCHAR) AS id, c_name AS name FROM customer
+       UNION ALL SELECT s_name, CAST(s_suppkey AS VARCHAR) FROM supplier""",
 )
 def union_positional(spark, sf):
-    """By position: the first frame names the columns, whatever the second one calls them."""
+    """By position: the second frame has its columns in another order, so its values change names."""
     customers = table(spark, sf, "customer").select(
-        F.col("c_name").alias("id"), F.col("c_custkey").cast("string").alias("name")
+        F.col("c_custkey").cast("string").alias("id"), F.col("c_name").alias("name")
     )
     suppliers = table(spark, sf, "supplier").select(
-        F.col("s_suppkey").cast("string").alias("any_name"), F.col("s_name").alias("other_name")
+        F.col("s_name").alias("name"), F.col("s_suppkey").cast("string").alias("id")
     )
     return customers.union(suppliers)
 

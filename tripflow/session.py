@@ -93,14 +93,13 @@ def checkpoint_root(spark: SparkSession) -> str:
     executors are one process; on a cluster the setting is required.
     """
     context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        root = spark.conf.get("spark.checkpoint.dir", None)
-        if root is None:
-            if not context.master.startswith("local"):
-                raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-            root = tempfile.mkdtemp(prefix="tripflow-")
+    root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if root is None:
+        if not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        root = tempfile.mkdtemp(prefix="tripflow-")
         context.setCheckpointDir(root)
-    return spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    return root
 
 
 def shuffle_parts(spark: SparkSession) -> int:
