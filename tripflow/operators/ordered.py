@@ -89,8 +89,11 @@ def _with_sums_before(units: DataFrame, keys: Sequence[Key], sums: Sequence[str]
     """Adds before_<c> for every c in sums: the sum over all rows that sort earlier."""
     ranged = _ranged(units, keys, ranges)
     offsets = _offsets(ranged, {c: F.sum(c) for c in sums})
+    last = ranged.agg(F.max(RANGE)).first()[0] or 0
     within = Window.partitionBy(RANGE).orderBy(POSITION).rowsBetween(Window.unboundedPreceding, -1)
-    local = ranged.select("*", *(F.coalesce(F.sum(c).over(within), F.lit(0)).alias(f"__local_{c}") for c in sums))
+    # One task per range; hashing the range numbers would put several into one task.
+    alone = ranged.repartitionById(last + 1, RANGE)
+    local = alone.select("*", *(F.coalesce(F.sum(c).over(within), F.lit(0)).alias(f"__local_{c}") for c in sums))
     return local.join(F.broadcast(offsets), RANGE).select(
         *units.columns, *((F.col(f"__offset_{c}") + F.col(f"__local_{c}")).alias(f"before_{c}") for c in sums)
     )
