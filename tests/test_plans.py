@@ -6,6 +6,8 @@ import pytest
 
 import __spark_entry__ as contract
 from tripflow.medallion import gold, silver
+from tripflow.operators import collect_values, number_rows, rank_rows, running_total
+from tripflow.plans.base import table
 from tripflow.plans.medallion import yellow_trips
 from tripflow.plans.trips import raw_green
 from tripflow.sources import save
@@ -56,10 +58,18 @@ def test_top_k_keeps_k_rows_per_task(spark, sf_dir):
 
 def test_no_window_over_all_rows(spark, sf_dir):
     """A window in one task may only see one row per range."""
-    for name in ("win_row_number", "win_rank", "win_cumsum_rows", "win_cumsum_range", "collect_list"):
-        plan = plan_of(QUERIES[name](spark, sf_dir))
-        for single in re.findall(r"Exchange SinglePartition.*\n((?:.*\n){2})", plan):
-            assert "HashAggregate(keys=[__range" in single, name
+    lines = table(spark, sf_dir, "lineitem")
+    for df in (
+        number_rows(lines, ["l_shipdate"], ranges=4),
+        number_rows(lines, ["l_shipdate"], ranges=4, hot_copies=0),
+        rank_rows(lines, ["l_shipdate"], ranges=4),
+        running_total(lines, "l_quantity", ["l_shipdate"], ranges=4),
+        running_total(lines, "l_quantity", ["l_shipdate"], frame="range", ranges=4),
+        collect_values(lines, "l_suppkey", "l_partkey", ranges=4),
+    ):
+        plan = plan_of(df)
+        inputs = re.findall(r"Exchange SinglePartition.*\n(.*)", plan)
+        assert inputs and all("HashAggregate(keys=[__range" in i for i in inputs)
 
 
 def test_gold_reads_its_own_columns_only(spark, sf_dir):
