@@ -51,9 +51,8 @@ def digest(names, rows):
     return hashlib.sha256("\n".join(lines).encode()).hexdigest(), lines
 
 
-def compare(spark, con, sf_dir: str, fn, sql: str) -> str | None:
-    """None if both sides agree, or what differs."""
-    result = fn(spark, sf_dir)
+def compare(con, result, sql: str) -> str | None:
+    """None if the frame and the SQL agree, or what differs."""
     relation = con.sql(sql)
     theirs = {n: SAME_TYPES.get(str(t), str(t)) for n, t in zip(relation.columns, relation.types)}
     ours = {f.name: f.dataType.simpleString() for f in result.schema.fields}
@@ -86,7 +85,7 @@ def main() -> None:
         start = time.time()
         try:
             if name in oracles:
-                problem = compare(spark, con, sf_dir, fn, oracles[name])
+                problem = compare(con, fn(spark, sf_dir), oracles[name])
                 state = problem or "ok"
             else:
                 problem, state = None, f"{fn(spark, sf_dir).count()} rows, no SQL"

@@ -4,8 +4,17 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tripflow.operators import Key, collect_values, first_per_key, number_rows, rank_rows, running_total, sort_rows, with_total
-from tripflow.operators.ordered import has_hot_copies
+from tripflow.operators import (
+    Key,
+    collect_values,
+    first_per_key,
+    has_hot_group,
+    number_rows,
+    rank_rows,
+    running_total,
+    sort_rows,
+    with_total,
+)
 
 
 def rows_of(df):
@@ -87,10 +96,17 @@ def test_empty_input(spark):
     assert sort_rows(empty, ["k"]).collect() == []
 
 
-def test_hot_copies_are_found(skewed):
-    assert has_hot_copies(skewed, 8, hot_copies=10)
-    assert not has_hot_copies(skewed, 8, hot_copies=1000)
-    assert not has_hot_copies(skewed.dropDuplicates(), 8, hot_copies=10)
+def test_hot_groups_are_found(spark, skewed):
+    columns = skewed.columns
+    assert has_hot_group(skewed, columns, 8, hot_rows=10)
+    assert not has_hot_group(skewed, columns, 8, hot_rows=1000)
+    assert not has_hot_group(skewed.dropDuplicates(), columns, 8, hot_rows=10)
+    assert has_hot_group(skewed.dropDuplicates(), ["k"], 8, hot_rows=10)
+    # One group just above an even share, among rows that are all different.
+    many = spark.range(0, 200_000, 1, 4).withColumn("g", F.when(F.col("id") % 100 == 0, -1).otherwise(F.col("id")))
+    assert has_hot_group(many, ["g"], 101, hot_rows=10)
+    assert not has_hot_group(many, ["g"], 90, hot_rows=10)
+    assert not has_hot_group(many, ["id"], 101, hot_rows=10)
 
 
 def test_with_total(skewed):

@@ -2,8 +2,6 @@
 
 import re
 
-import pytest
-
 import __spark_entry__ as contract
 from tripflow.medallion import gold, silver
 from tripflow.operators import collect_values, number_rows, rank_rows, running_total
@@ -19,13 +17,6 @@ def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - {"udf_square"}))
-def test_no_python_and_no_product(spark, sf_dir, name):
-    plan = plan_of(QUERIES[name](spark, sf_dir))
-    assert not re.search("Python|InPandas|InArrow", plan)
-    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
-
-
 def test_projections_do_not_shuffle(spark, sf_dir):
     for name in ("gold_tips", "gold_performance", "gold_financials", "gold_classifications", "silver_yellow",
                  "zone_enrichment", "trip_events_json", "filter_conjunction"):

@@ -5,6 +5,7 @@ from tripflow.session import (
     layer_catalog_conf,
     load_storage_conf,
     materialise,
+    scale_conf,
     scratch_path,
     storage_conf_from_env,
     unique_name,
@@ -154,6 +155,11 @@ def test_layer_catalogs():
     assert conf["spark.sql.catalog.silver_catalog.type"] == "hadoop"
 
 
+def test_shuffle_partitions_grow_with_the_input():
+    assert scale_conf(1 << 30)["spark.sql.shuffle.partitions"] == "200"
+    assert scale_conf(100 << 40)["spark.sql.shuffle.partitions"] == "102400"
+
+
 def test_kafka_options():
     assert kafka_options("h1:1,h2:2", "trips")["kafka.bootstrap.servers"] == "h1:1,h2:2"
 

@@ -9,13 +9,11 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tripflow.operators.skew import HOT_ROWS, has_hot_group
 from tripflow.session import shuffle_parts
 
 MAX_BROADCAST_ROWS = 100_000
 
-# Keys with fewer rows than this are never treated as hot.
-HOT_ROWS = 1_000_000
-
 
 def is_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
     """Whether a side is safe to broadcast. Stops reading at the bound."""
@@ -70,9 +68,7 @@ def outer_join(
     same = functools.reduce(operator.and_, (F.col(a) == F.col(b) for a, b in pairs))
     preserved, other = (left, right) if how == "left" else (right, left)
     keys = other.select(*(p[1] if how == "left" else p[0] for p in pairs)).dropna()
-    total, largest = keys.groupBy(*keys.columns).count().agg(F.sum("count"), F.max("count")).first()
-    bound = max(hot_rows, (total or 0) // (parts or shuffle_parts(left.sparkSession)))
-    if (largest or 0) <= bound:
+    if not has_hot_group(keys, keys.columns, parts, hot_rows):
         return left.join(right, same, how)
     unmatched = preserved.join(keys.distinct(), same, "left_anti")
     return left.join(right, same, "inner").unionByName(unmatched, allowMissingColumns=True)

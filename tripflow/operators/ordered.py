@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripflow.operators.joins import attach_per_key
+from tripflow.operators.skew import HOT_ROWS, has_hot_group
 from tripflow.session import materialise, shuffle_parts
 
 RANGE = "__range"
@@ -34,8 +35,6 @@ POSITION = "__position"
 COPIES = "__copies"
 COPY = "__copy"
 
-# Groups of identical rows up to this size are left as they are.
-HOT_COPIES = 1_000_000
 # Copies expanded by one task from one row.
 COPY_CHUNK = 100_000
 
@@ -99,19 +98,6 @@ def _with_sums_before(units: DataFrame, keys: Sequence[Key], sums: Sequence[str]
     )
 
 
-def has_hot_copies(df: DataFrame, ranges: int | None = None, hot_copies: int = HOT_COPIES) -> bool:
-    """Whether some group of identical rows is too large for one range.
-
-    One pass with a mergeable frequent-items sketch over row hashes. With this
-    many tracked items it cannot miss a group that outgrows an even range.
-    """
-    ranges = ranges or shuffle_parts(df.sparkSession)
-    tracked = min(64 * ranges, 1_000_000)
-    sketch = F.expr(f"approx_top_k(xxhash64(*), 1, {tracked})")
-    rows, top = df.agg(F.count(F.lit(1)), sketch).first()
-    return bool(top) and top[0]["count"] > max(hot_copies, rows // ranges)
-
-
 def _fold_copies(df: DataFrame) -> DataFrame:
     """Identical rows as one row with their number; counted before the shuffle."""
     return df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias(COPIES))
@@ -143,12 +129,12 @@ def number_rows(
     order: Sequence[str | Key],
     out: str = "row_number",
     ranges: int | None = None,
-    hot_copies: int = HOT_COPIES,
+    hot_copies: int = HOT_ROWS,
     chunk: int = COPY_CHUNK,
 ) -> DataFrame:
     """ROW_NUMBER() OVER (ORDER BY order, then all other columns)."""
     keys = row_keys(df, order)
-    if has_hot_copies(df, ranges, hot_copies):
+    if has_hot_group(df, df.columns, ranges, hot_copies):
         return _number_folded(df, keys, out, ranges, chunk)
     ranged = _ranged(df, keys, ranges)
     offsets = _offsets(ranged, {"n": F.count(F.lit(1))})
@@ -199,7 +185,7 @@ def running_total(
     out: str = "running_total",
     frame: str = "rows",
     ranges: int | None = None,
-    hot_copies: int = HOT_COPIES,
+    hot_copies: int = HOT_ROWS,
     chunk: int = COPY_CHUNK,
 ) -> DataFrame:
     """SUM(value) OVER (ORDER BY order ROWS | RANGE UNBOUNDED PRECEDING).
@@ -218,7 +204,7 @@ def _running_rows(
     df: DataFrame, value: str, order: Sequence[str | Key], out: str, ranges: int | None, hot_copies: int, chunk: int
 ) -> DataFrame:
     keys = row_keys(df, order)
-    folded = has_hot_copies(df, ranges, hot_copies)
+    folded = has_hot_group(df, df.columns, ranges, hot_copies)
     units = _fold_copies(df) if folded else df.withColumn(COPIES, F.lit(1).cast("bigint"))
     known = F.col(value).isNotNull().cast("bigint")
     units = units.withColumns(
@@ -254,7 +240,7 @@ def sort_rows(
     df: DataFrame,
     order: Sequence[str | Key],
     ranges: int | None = None,
-    hot_copies: int = HOT_COPIES,
+    hot_copies: int = HOT_ROWS,
     chunk: int = COPY_CHUNK,
 ) -> DataFrame:
     """Global sort; ties are ordered by the other columns, so equal keys spread over tasks.
@@ -262,6 +248,6 @@ def sort_rows(
     Where a large group of identical rows exists the rows are spread by their position instead.
     """
     keys = row_keys(df, order)
-    if not has_hot_copies(df, ranges, hot_copies):
+    if not has_hot_group(df, df.columns, ranges, hot_copies):
         return df.orderBy(*(k.column() for k in keys))
     return _number_folded(df, keys, "__number", ranges, chunk).orderBy("__number").drop("__number")

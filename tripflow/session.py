@@ -71,6 +71,20 @@ def layer_catalog_conf(warehouses: Mapping[str, str]) -> dict[str, str]:
     return conf
 
 
+def scale_conf(input_bytes: int, partition_bytes: int = 1 << 30) -> dict[str, str]:
+    """Shuffle settings for an input of a known size.
+
+    There are enough shuffle partitions for the whole input to pass through one
+    shuffle at `partition_bytes` each; AQE joins them where less arrives.
+    """
+    parts = max(200, -(-input_bytes // partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(min(partition_bytes // 4, 256 << 20)),
+    }
+
+
 def build_session(
     app_name: str,
     master: str | None = None,
