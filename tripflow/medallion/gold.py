@@ -70,14 +70,17 @@ def financials(trips: DataFrame, fees: Sequence[str] = YELLOW_FEES, keys: Sequen
 
 
 def classifications(
-    trips: DataFrame, card_codes: Sequence[str] = YELLOW_CARD_CODES, keys: Sequence[str] = KEYS
+    trips: DataFrame,
+    card_codes: Sequence[str] = YELLOW_CARD_CODES,
+    keys: Sequence[str] = KEYS,
+    pickup: str = "pickup_datetime",
 ) -> DataFrame:
-    hour = F.hour(keys[1])
+    hour = F.hour(pickup)
     distance = F.col("trip_distance")
     return trips.select(
         *keys,
         (hour.between(*MORNING_PEAK) | hour.between(*EVENING_PEAK)).alias("is_peak_hour"),
-        F.dayofweek(keys[1]).isin(*WEEKEND_DAYS).alias("is_weekend"),
+        F.dayofweek(pickup).isin(*WEEKEND_DAYS).alias("is_weekend"),
         F.when(distance < SHORT_BELOW, "short")
         .when(distance < MEDIUM_BELOW, "medium")
         .otherwise("long")
@@ -109,15 +112,20 @@ def fhvhv_summary(trips: DataFrame) -> DataFrame:
     )
 
 
+# Published tables per clean table; those of single trips carry the given keys.
 YELLOW_TABLES = {
     "yellow_taxi_tips": tips,
     "yellow_taxi_performance": performance,
-    "yellow_taxi_financials": financials,
-    "yellow_taxi_classifications": classifications,
+    "yellow_taxi_financials": lambda trips, keys: financials(trips, YELLOW_FEES, keys),
+    "yellow_taxi_classifications": lambda trips, keys: classifications(trips, YELLOW_CARD_CODES, keys),
 }
 GREEN_TABLES = {
     "green_taxi_tips": tips,
     "green_taxi_performance": performance,
-    "green_taxi_financials": lambda trips: financials(trips, GREEN_FEES),
-    "green_taxi_classifications": lambda trips: classifications(trips, GREEN_CARD_CODES),
+    "green_taxi_financials": lambda trips, keys: financials(trips, GREEN_FEES, keys),
+    "green_taxi_classifications": lambda trips, keys: classifications(trips, GREEN_CARD_CODES, keys),
+}
+SUMMARY_TABLES = {
+    "fhv_trip": {"fhv_trip_summary": lambda trips, keys: fhv_summary(trips)},
+    "fhvhv_trip": {"fhvhv_trip_summary": lambda trips, keys: fhvhv_summary(trips)},
 }

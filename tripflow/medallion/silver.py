@@ -204,6 +204,11 @@ def fhvhv(raw: DataFrame) -> DataFrame:
     return with_positive_duration(trips, *TIMES)
 
 
+def with_trip_id(trips: DataFrame) -> DataFrame:
+    """A random unique id per row, fixed once the table is written."""
+    return trips.select(F.expr("uuid()").alias("trip_id"), "*")
+
+
 def single_dataset(raw: DataFrame, zones: DataFrame) -> DataFrame:
     """One raw dataset kept in its own layout: deduplicated, gated, with both zones looked up.
 
