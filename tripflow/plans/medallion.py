@@ -153,7 +153,7 @@ def zone_enrichment(spark, sf):
 
 @query("silver_enriched", _with_zones_sql(trips.SINGLE_SQL))
 def silver_enriched(spark, sf):
-    return silver.single_dataset(trips.raw_modern(spark, sf), zones(spark, sf))
+    return zoneless(silver.single_dataset(trips.raw_modern(spark, sf), zones(spark, sf)))
 
 
 # --- published tables ------------------------------------------------------
@@ -192,7 +192,7 @@ def single_trips(spark, sf) -> DataFrame:
         FROM ({SINGLE_TRIPS_SQL})""",
 )
 def gold_extreme_tip(spark, sf):
-    return gold.tips_with_extremes(single_trips(spark, sf), SINGLE_KEYS)
+    return zoneless(gold.tips_with_extremes(single_trips(spark, sf), SINGLE_KEYS))
 
 
 def _performance_sql(keys: str, source: str) -> str:
@@ -214,7 +214,7 @@ def gold_performance_green(spark, sf):
 
 @query("gold_performance_whole_minutes", _performance_sql("VendorID, tpep_pickup_datetime", SINGLE_TRIPS_SQL))
 def gold_performance_whole_minutes(spark, sf):
-    return gold.performance(single_trips(spark, sf), SINGLE_KEYS)
+    return zoneless(gold.performance(single_trips(spark, sf), SINGLE_KEYS))
 
 
 def _financials_sql(keys: str, fees: tuple[str, ...], source: str) -> str:
@@ -236,7 +236,7 @@ def gold_financials_green(spark, sf):
 
 @query("gold_financials_7fee", _financials_sql("VendorID, tpep_pickup_datetime", gold.SINGLE_FEES, SINGLE_TRIPS_SQL))
 def gold_financials_7fee(spark, sf):
-    return gold.financials(single_trips(spark, sf), gold.SINGLE_FEES, SINGLE_KEYS)
+    return zoneless(gold.financials(single_trips(spark, sf), gold.SINGLE_FEES, SINGLE_KEYS))
 
 
 def _classifications_sql(keys: tuple[str, str], codes: str, source: str) -> str:
@@ -265,7 +265,7 @@ def gold_classifications_green(spark, sf):
 
 @query("gold_classifications_single", _classifications_sql(SINGLE_KEYS, "'1'", SINGLE_TRIPS_SQL))
 def gold_classifications_single(spark, sf):
-    return gold.classifications(single_trips(spark, sf), gold.GREEN_CARD_CODES, SINGLE_KEYS, SINGLE_KEYS[1])
+    return zoneless(gold.classifications(single_trips(spark, sf), gold.GREEN_CARD_CODES, SINGLE_KEYS, SINGLE_KEYS[1]))
 
 
 @query(

@@ -48,8 +48,9 @@ INTERMEDIATE_UNTIL = "1999-01-01"
 
 
 def trip_source(spark: SparkSession, sf: str) -> DataFrame:
-    picked = f"timestampadd(MINUTE, CAST({PICKUP_MINUTE} AS INT), l_shipdate)"
-    dropped = f"timestampadd(SECOND, CAST({LENGTH_SECONDS} AS INT), {picked})"
+    # Plain second arithmetic: these expressions end up in filters and projections alike.
+    begin = f"unix_timestamp(CAST(l_shipdate AS TIMESTAMP)) + {PICKUP_MINUTE} * 60"
+    picked, dropped = f"timestamp_seconds({begin})", f"timestamp_seconds({begin} + {LENGTH_SECONDS})"
     return table(spark, sf, "lineitem").selectExpr(
         "l_shipdate AS day", f"{picked} AS pickup", f"{dropped} AS dropoff",
         *(f"{sql} AS {name}" for name, sql in TRIP_EXPRESSIONS.items()),
