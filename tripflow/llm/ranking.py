@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 SLOTS = 65_536
 
 # Rows that one cell of a group should hold.
-CELL_ROWS = 20_000
+CELL_ROWS = 5_000
 
 
 def shuffle_key(seed: int, column: Column) -> Column:
