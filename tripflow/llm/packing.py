@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripflow.llm.ranking import rank_in_groups, shuffle_key, shuffle_slot, slots_for
-from tripflow.llm.tokens import load_tokenizer, worker_encoder
+from tripflow.llm.tokens import in_parts, load_tokenizer, worker_encoder
 from tripflow.session import materialise
 
 LENGTH = 1024
@@ -62,10 +62,9 @@ def pieces(docs: DataFrame, tokenizer: str, length: int = LENGTH, end_id: int =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = worker_encoder(shared.value, 4)
-        for batch in batches:
-            texts = [t or "" for t in batch.column("text").to_pylist()]
+        for batch in (part for whole in batches for part in in_parts(whole)):
             of, number, starts, lengths, ids = [], [], [], [], []
-            for row, coded in enumerate(encoder.encode(texts)):
+            for row, coded in enumerate(encoder.encode(batch.column("text"))):
                 coded += end
                 for k, (start, size) in enumerate(cut(len(coded) // 4, length)):
                     of.append(row), number.append(k), starts.append(start), lengths.append(size)

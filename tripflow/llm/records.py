@@ -34,7 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tripflow.llm.tokens import load_tokenizer, width_for, worker_encoder
+from tripflow.llm.tokens import in_parts, load_tokenizer, width_for, worker_encoder
 from tripflow.session import materialise, scratch_path, shuffle_parts
 
 END_ID = 0
@@ -91,9 +91,9 @@ def write_records(docs: DataFrame, folder: str, tokenizer: str, end_id: int = EN
         system, base = filesystem(folder)
         out, name, files, at, before = None, "", 0, 0, 0
         try:
-            for batch in batches:
+            for batch in (part for whole in batches for part in in_parts(whole)):
                 names, offsets, sizes, counts, starts = [], [], [], [], []
-                for ids in encoder.encode([t or "" for t in batch.column("text").to_pylist()]):
+                for ids in encoder.encode(batch.column("text")):
                     if out is None or at >= file_bytes:
                         if out is not None:
                             out.close()
