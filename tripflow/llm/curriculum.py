@@ -151,7 +151,7 @@ def by_position(df: DataFrame, at: str, ties: Sequence[str]) -> DataFrame:
     """Rows in ranges of position, one range per partition; rows without one are spread and end each partition."""
     parts = shuffle_parts(df.sparkSession)
     ranged = F.least(F.floor(F.col(at) * parts), F.lit(parts - 1))
-    place = F.coalesce(ranged, F.pmod(F.xxhash64(*ties), F.lit(parts))).cast("int")
+    place = F.when(F.col(at).isNotNull(), ranged).otherwise(F.pmod(F.xxhash64(*ties), F.lit(parts))).cast("int")
     return df.repartitionById(parts, place).sortWithinPartitions(F.col(at).asc_nulls_last(), *ties)
 
 
