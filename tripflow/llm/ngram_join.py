@@ -52,7 +52,7 @@ REMEMBERED = 300_000
 PER_CLASS = 16
 # Share of the hash space whose tokens are counted, by bits of the set size, in
 # multiples of the share of tokens that a partner may lack.
-SHARES = ((7, 10.0), (9, 5.0), (11, 2.5), (64, 1.8))
+SHARES = ((6, 10.0), (8, 2.2), (10, 1.6), (64, 1.3))
 # Copies up to this many are told to all tasks; more are shuffled.
 BROADCAST_COPIES = 1_000_000
 # Sets in a block of the last comparison.
