@@ -133,16 +133,25 @@ def broken_rules(m: Column, rules: Sequence[Rule] = RULES) -> Column:
     return F.array_compact(F.array(*checks))
 
 
+def base_failed(m: Column) -> Column:
+    return (m["n_words"] < 20) | (100 * m["n_repeat_words"] > 30 * m["n_words"])
+
+
 def assess(docs: DataFrame, rules: Sequence[Rule] = RULES, text: str = "text", out: str = "quality") -> DataFrame:
     """Adds a struct with all counts, the broken rules and the verdict `kept`."""
-    measured = docs.withColumn(out, measures(F.col(text)))
-    m = F.col(out)
-    failed = (m["n_words"] < 20) | (100 * m["n_repeat_words"] > 30 * m["n_words"])
-    measured = measured.withColumn(out, m.withField("broken", broken_rules(m, rules)).withField("base_failed", failed))
-    return measured.withColumn(out, m.withField("kept", ~m["base_failed"] & (F.size(m["broken"]) == 0)))
+
+    def judged(m: Column) -> Column:
+        broken, failed = broken_rules(m, rules), base_failed(m)
+        verdict = m.withField("broken", broken).withField("base_failed", failed)
+        return verdict.withField("kept", ~failed & (F.size(broken) == 0))
+
+    return docs.withColumn(out, bind(measures(F.col(text)), judged))
 
 
 def keep(docs: DataFrame, rules: Sequence[Rule] = RULES, text: str = "text") -> DataFrame:
-    """The documents that pass, with the columns they came with."""
-    flag = "__quality"
-    return assess(docs, rules, text, flag).filter(F.col(flag)["kept"]).select(*[F.col(f"`{c}`") for c in docs.columns])
+    """The documents that pass, with the columns they came with.
+
+    The condition binds the measures once: a filter over a projected struct
+    would compute them anew for every rule that reads them.
+    """
+    return docs.filter(bind(measures(F.col(text)), lambda m: ~base_failed(m) & (F.size(broken_rules(m, rules)) == 0)))
