@@ -69,3 +69,16 @@ def test_one_scan_per_schema(spark, drifting):
 def test_read_families(spark, drifting):
     families = read_families(spark, list(drifting.values()), YELLOW_FAMILIES, YELLOW_DEFAULT_FAMILY)
     assert {name: df.count() for name, df in families.items()} == {"modern": 3, "legacy": 1}
+
+
+def test_parts_of_one_folder_may_differ(spark, tmp_path):
+    from tripflow.operators.drift import read_drifting
+
+    path = str(tmp_path / "t.parquet")
+    spark.range(2).selectExpr("id AS a").write.parquet(path)
+    spark.range(2).selectExpr("id AS a", "'x' AS extra").write.mode("append").parquet(path)
+    merged = read_drifting(spark, [path])
+    assert sorted(merged.columns) == ["a", "extra"] and merged.count() == 4
+    spark.range(2).selectExpr("CAST(id AS STRING) AS a").write.mode("append").parquet(path)
+    clashing = read_drifting(spark, [path])
+    assert dict(clashing.dtypes) == {"a": "string", "extra": "string"} and clashing.count() == 6

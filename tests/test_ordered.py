@@ -92,7 +92,7 @@ def test_empty_input(spark):
     assert rank_rows(empty, ["k"]).collect() == []
     assert running_total(empty, "v", ["k"]).collect() == []
     assert with_total(empty, "v").collect() == []
-    assert collect_values(empty, "k", "v").collect() == []
+    assert collect_values(empty, "k", "v", max_list=10).collect() == []
     assert sort_rows(empty, ["k"]).collect() == []
 
 
@@ -147,3 +147,14 @@ def test_first_per_key(skewed):
     window = Window.partitionBy("k").orderBy("i", "v")
     expected = skewed.withColumn("n", F.row_number().over(window)).filter("n = 1").drop("n")
     assert rows_of(first_per_key(skewed, ["k"], ["i"])) == rows_of(expected)
+
+
+@pytest.mark.parametrize("kind", ["decimal(12,2)", "decimal(30,10)", "decimal(38,18)", "double", "int"])
+@pytest.mark.parametrize("hot_copies", [2, 1_000_000])
+def test_running_totals_keep_digits_and_type(spark, kind, hot_copies):
+    rows = spark.range(40).selectExpr("id % 7 AS o", f"CAST(0.1234567891 * (id % 3) AS {kind}) AS v")
+    plain = rows.selectExpr("o", "v", "SUM(v) OVER (ORDER BY o, v ROWS UNBOUNDED PRECEDING) AS running_total")
+    own = running_total(rows, "v", ["o", "v"], "running_total", "rows", ranges=3, hot_copies=hot_copies)
+    assert own.dtypes == plain.dtypes
+    near = lambda df: sorted((r["o"], float(r["v"]), round(float(r["running_total"]), 9)) for r in df.collect())
+    assert near(own) == near(plain)

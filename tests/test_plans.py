@@ -56,7 +56,7 @@ def test_no_window_over_all_rows(spark, sf_dir):
         rank_rows(lines, ["l_shipdate"], ranges=4),
         running_total(lines, "l_quantity", ["l_shipdate"], ranges=4),
         running_total(lines, "l_quantity", ["l_shipdate"], frame="range", ranges=4),
-        collect_values(lines, "l_suppkey", "l_partkey", ranges=4),
+        collect_values(lines, "l_suppkey", "l_partkey", 100_000, ranges=4),
     ):
         plan = plan_of(df)
         inputs = re.findall(r"Exchange SinglePartition.*\n(.*)", plan)

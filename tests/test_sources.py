@@ -170,3 +170,13 @@ def test_scratch_lies_in_the_shared_folder(spark):
     assert first != second
     assert first.startswith(root) and second.startswith(root)
     assert materialise(spark.range(4)).inputFiles()[0].removeprefix("file://").startswith(root)
+
+
+def test_entries_of_a_folder_whose_name_repeats(spark, tmp_path):
+    from tripflow.sources.files import list_entries, list_paths
+
+    folder = tmp_path / "raw" / "2024" / "raw"
+    spark.range(3).write.parquet(str(folder / "yellow_tripdata_1.parquet"))
+    assert [p.rsplit("/", 1)[-1] for p in list_entries(spark, str(folder))] == ["yellow_tripdata_1.parquet"]
+    assert len(list_paths(spark, str(folder), "yellow_*")) == 1
+    assert [p.rsplit("/", 1)[-1] for p in list_entries(spark, str(tmp_path / "raw"))] == ["2024"]

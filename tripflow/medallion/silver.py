@@ -35,11 +35,11 @@ def project(raw: DataFrame, layout: Sequence[Item]) -> DataFrame:
     def column(item: Item) -> Column:
         if item.source is None:
             return F.lit(None).cast(item.type).alias(item.name)
-        value = F.col(item.source)
-        if item.source.lower() in types:
-            value = to_type(value, types[item.source.lower()], item.type)
-        if item.missing is not None:
-            value = F.coalesce(value, F.lit(item.missing))
+        value, kind = F.col(item.source), types.get(item.source.lower())
+        if item.missing is not None:  # only what is missing is filled; what can't be read stays unknown
+            value = F.coalesce(value, F.lit(item.missing) if kind is None else F.lit(item.missing).cast(kind))
+        if kind is not None:
+            value = to_type(value, kind, item.type)
         return value.alias(item.name)
 
     return raw.select(*map(column, layout))

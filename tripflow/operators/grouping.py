@@ -10,11 +10,9 @@ from pyspark.sql import functions as F
 from tripflow.operators.joins import attach_per_key
 from tripflow.operators.ordered import number_rows
 
-MAX_LIST = 100_000
-
 
 def collect_values(
-    df: DataFrame, key: str, value: str, out: str = "items", max_list: int = MAX_LIST, ranges: int | None = None
+    df: DataFrame, key: str, value: str, max_list: int, out: str = "items", ranges: int | None = None
 ) -> DataFrame:
     """The values of every key as sorted arrays (key, segment, out).
 
@@ -41,9 +39,10 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> D
     A min over structs: partial aggregation leaves one candidate per key and
     task before the shuffle, where a row_number window would move whole groups.
     """
-    rest = [c for c in df.columns if c not in {*keys, *order}]
+    names = {c.lower() for c in keys}
+    rest = [c for c in df.columns if c.lower() not in names | {c.lower() for c in order}]
     best = df.groupBy(*keys).agg(F.min(F.struct(*order, *rest)).alias("__best"))
-    return best.select(*(F.col(c) if c in keys else F.col(f"__best.{c}").alias(c) for c in df.columns))
+    return best.select(*(F.col(c) if c.lower() in names else F.col(f"__best.{c}").alias(c) for c in df.columns))
 
 
 def word_counts(lines: DataFrame, column: str = "value", delimiter: str = " ") -> DataFrame:

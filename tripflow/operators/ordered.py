@@ -25,6 +25,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, DecimalType
 
 from tripflow.operators.joins import attach_per_key
 from tripflow.operators.skew import HOT_ROWS, has_hot_group
@@ -37,6 +38,8 @@ COPY = "__copy"
 
 # Copies expanded by one task from one row.
 COPY_CHUNK = 100_000
+# Digits that a product with a bigint adds to a decimal.
+COUNT_DIGITS = 21
 
 
 @dataclass(frozen=True)
@@ -93,9 +96,16 @@ def _with_sums_before(units: DataFrame, keys: Sequence[Key], sums: Sequence[str]
     # One task per range; hashing the range numbers would put several into one task.
     alone = ranged.repartitionById(last + 1, RANGE)
     local = alone.select("*", *(F.coalesce(F.sum(c).over(within), F.lit(0)).alias(f"__local_{c}") for c in sums))
-    return local.join(F.broadcast(offsets), RANGE).select(
-        *units.columns, *((F.col(f"__offset_{c}") + F.col(f"__local_{c}")).alias(f"before_{c}") for c in sums)
-    )
+    before = lambda c: _added(F.col(f"__offset_{c}"), F.col(f"__local_{c}"), local.schema[f"__local_{c}"].dataType)
+    return local.join(F.broadcast(offsets), RANGE).select(*units.columns, *(before(c).alias(f"before_{c}") for c in sums))
+
+
+def _added(a: Column, b: Column, kind: DataType) -> Column:
+    """a + b; of the widest decimals as 37 digits, since a sum of 38 digits would lose one behind the point."""
+    if isinstance(kind, DecimalType) and kind.precision == 38:
+        narrow = DecimalType(kind.precision - 1, kind.scale)
+        return a.cast(narrow) + b.cast(narrow)
+    return a + b
 
 
 def _fold_copies(df: DataFrame) -> DataFrame:
@@ -204,16 +214,21 @@ def _running_rows(
     df: DataFrame, value: str, order: Sequence[str | Key], out: str, ranges: int | None, hot_copies: int, chunk: int
 ) -> DataFrame:
     keys = row_keys(df, order)
-    folded = has_hot_group(df, df.columns, ranges, hot_copies)
+    result = df.select(F.sum(value).alias(out)).schema[0].dataType
+    # A wide decimal times a count would lose digits: its copies are added one by one.
+    kind = df.schema[value].dataType
+    exact = not isinstance(kind, DecimalType) or kind.precision + COUNT_DIGITS <= 38
+    folded = exact and has_hot_group(df, df.columns, ranges, hot_copies)
     units = _fold_copies(df) if folded else df.withColumn(COPIES, F.lit(1).cast("bigint"))
+    times = (lambda n: F.col(value) * n) if folded else (lambda n: F.col(value).cast(result))
     known = F.col(value).isNotNull().cast("bigint")
     units = units.withColumns(
-        {"__sum": F.coalesce(F.col(value) * F.col(COPIES), F.lit(0)), "__known": known * F.col(COPIES)}
+        {"__sum": F.coalesce(times(F.col(COPIES)), F.lit(0).cast(result)), "__known": known * F.col(COPIES)}
     )
     rows = _with_sums_before(units, keys, [COPIES, "__sum", "__known"] if folded else ["__sum", "__known"], ranges)
     rows = _expand_copies(rows, chunk) if folded else rows.withColumn(COPY, F.lit(0).cast("bigint"))
-    own = F.coalesce(F.col(value) * (F.col(COPY) + 1), F.lit(0))
-    total = F.when(F.col("before___known") + known > 0, F.col("before___sum") + own)
+    own = F.coalesce(times(F.col(COPY) + 1), F.lit(0).cast(result))
+    total = F.when(F.col("before___known") + known > 0, _added(F.col("before___sum").cast(result), own.cast(result), result).cast(result))
     return rows.select(*df.columns, total.alias(out))
 
 

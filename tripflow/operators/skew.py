@@ -12,9 +12,8 @@ from tripflow.session import shuffle_parts
 # Groups up to this many rows never need splitting.
 HOT_ROWS = 1_000_000
 
-# Items the sketch tracks per part: its error stays far below an even part's share.
-TRACKED_PER_PART = 64
-MAX_TRACKED = 1_000_000
+# Buckets of hashes that are counted, per part: an even bucket stays far below an even part.
+BUCKETS_PER_PART = 64
 
 
 def has_hot_group(
@@ -22,11 +21,12 @@ def has_hot_group(
 ) -> bool:
     """Whether some group of rows equal in `columns` holds more than an even part of all rows.
 
-    One pass with a mergeable frequent-items sketch over hashes. The sketch
-    cannot miss such a group; it only steers the plan, never what comes out.
+    One pass that counts rows per bucket of hashes before it shuffles them, one
+    row per bucket and task. A group's rows share a bucket, so such a group
+    cannot be missed; it only steers the plan, never what comes out.
     """
     parts = parts or shuffle_parts(df.sparkSession)
-    tracked = min(TRACKED_PER_PART * parts, MAX_TRACKED)
-    hashes = df.select(F.xxhash64(*columns).alias("h"))
-    rows, top = hashes.agg(F.count(F.lit(1)), F.expr(f"approx_top_k(h, 1, {tracked})")).first()
-    return bool(top) and top[0]["count"] > max(hot_rows, rows // parts)
+    bucket = F.pmod(F.xxhash64(*columns), F.lit(BUCKETS_PER_PART * parts))
+    counts = df.select(bucket.alias("bucket")).groupBy("bucket").count()
+    rows, most = counts.agg(F.sum("count"), F.max("count")).first()
+    return bool(rows) and most > max(hot_rows, rows // parts)
