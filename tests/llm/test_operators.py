@@ -250,3 +250,67 @@ def test_pipeline_decisions(spark, sf_dir):
     for r in frames[-1].collect()[:50]:
         ids = np.array([*whole.encode(mixed[r["doc_id"]]["text"], add_special_tokens=False).ids, 2], "<u4")
         assert zlib.crc32(ids[r["start"] : r["start"] + r["length"]].tobytes()) == r["ids_crc32"]
+
+
+CLASHING = (
+    "n_lines n_dropped kept_text shard slot position total rank before size rows words key copies positions source_size target score "
+    "quality n hi lo cell filter signature component component_id class_id length piece start ids sequence_id offset file part found "
+    "toxic fold w b"
+).split()
+
+
+@pytest.fixture(scope="module")
+def clashing_docs(spark, odd_docs):
+    """Odd texts, all rows twice, rows without an id or without anything, and columns named like working names."""
+    more = [(None, "without an id", "en", "wordless", None), (None, None, None, None, None), (70, "", "en", "wordless", 0), (71, " ", "en", "wordless", 1)]
+    rows = odd_docs.union(odd_docs).union(spark.createDataFrame(more, odd_docs.schema))
+    return rows.withColumns({c: F.lit(f"own {c}") for c in CLASHING})
+
+
+@pytest.mark.parametrize(("name", "stage"), corpus_pipeline.STAGES)
+def test_stage_with_clashing_columns(spark, clashing_docs, name, stage):
+    got = stage(spark, clashing_docs, "")
+    plain = stage(spark, clashing_docs.drop(*CLASHING), "")
+    count = lambda df: collections.Counter(map(tuple, df.select(*plain.columns).collect()))
+    assert count(got) == count(plain)
+    if stage is not corpus_pipeline.STAGES[-1][1]:
+        assert got.columns == clashing_docs.columns
+        assert {r["kept_text"] for r in got.select("kept_text").collect()} <= {"own kept_text"}
+
+
+def test_operators_with_clashing_columns(spark, clashing_docs, tmp_path):
+    n = clashing_docs.count()
+    cleaned = line_dedup.dedup_lines(clashing_docs, min_docs=1_000)
+    assert sorted(r["kept_text"] for r in cleaned.collect()) == sorted(r["text"] or "" for r in clashing_docs.collect())
+    placed = sharding.stratified_shards(clashing_docs, 3)
+    assert set(placed.columns) == set(clashing_docs.columns)
+    assert len({(r["shard"], r["slot"]) for r in placed.collect()}) == n
+    assert {r["score"] for r in toxicity.score(clashing_docs, toxicity.Model(0.25)).collect()} == {0.25}
+    assert quality.assess(clashing_docs).select("quality.n_words").count() == n
+    index = records.write_records(clashing_docs, str(tmp_path), PATH)
+    assert records.read_records(index, str(tmp_path)).count() == n
+    found = ngram_join.ngram_components(clashing_docs, 3, 90)
+    assert found.count() == n and found.filter("doc_id IS NULL AND component_id IS NOT NULL").count() == 0
+    again = packing.pack(packing.pack(packing.pieces(clashing_docs, PATH)))
+    assert again.columns[-2:] == ["sequence_id", "offset"] and again.filter("piece = 0").count() == n
+    assert licences.find_licences(clashing_docs.withColumn("text", F.lit(licences.TEMPLATES["MIT"]))).filter("licence = 'MIT'").count() == 13
+
+
+def test_top_k_leaves_out_rows_without_an_id(spark):
+    rows = [(None, [9.0, 9.0]), (0, [1.0, 0.0]), (1, [0.5, 0.0]), (2, [2.0, 0.0]), (2, [2.0, 0.0])]
+    got = topk.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") == 0, k=3).collect()
+    assert [(r["vec_id"], r["rank"]) for r in sorted(got, key=lambda r: r["rank"])] == [(2, 1), (2, 2), (1, 3)]
+
+
+def test_blocks_bounded_by_tokens(make_docs, monkeypatch):
+    monkeypatch.setattr(ngram_join, "FREQUENT", 3)
+    monkeypatch.setattr(ngram_join, "BLOCK_TOKENS", 200)
+    rng = np.random.default_rng(3)
+    texts = []
+    for _ in range(120):
+        words = [f"b{i}" for i in range(int(rng.integers(30, 60)))]
+        for k in rng.integers(0, len(words), int(rng.integers(0, 4))):
+            words[k] = f"n{rng.integers(0, 3)}"
+        texts.append(" ".join(words))
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in ngram_join.ngram_components(make_docs(texts), 3, 80).collect()}
+    assert got == plain_components(dict(enumerate(texts)), 3, 80)

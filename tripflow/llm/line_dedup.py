@@ -15,7 +15,8 @@ lower-cased, as a 128-bit BLAKE2 digest. Lines whose key is shorter than
 Defined results: a null or empty text is one empty line and its kept text is
 empty; every row counts as a document, repeated rows too; rows with equal ids
 are each cleaned by the same keys; an empty table gives an empty table; further
-columns are kept, while `n_lines`, `n_dropped` and `kept_text` must be free.
+columns are kept, but those named like a result (`n_lines`, `n_dropped` and
+`kept_text`, after the caller's prefix) give way to it.
 Lines of a hot key are counted before they are shuffled and probed in cells of
 bounded size, each with a copy of its shard's filter.
 """
@@ -43,6 +44,7 @@ MIN_CHARS = 1
 MIN_CELL, MAX_CELL = 2_048, 1_000_000
 
 FILTERS = "shard int, filter binary"
+RESULTS = {"n_lines": T.LongType(), "n_dropped": T.LongType(), "kept_text": T.StringType()}
 
 
 def line_key(line: bytes) -> bytes:
@@ -208,9 +210,11 @@ class LineIndex:
         exact = self.probe(keys).join(self.frequent().select("hi", "lo"), ["hi", "lo"])
         return exact.groupBy("doc_id").agg(F.collect_set(F.struct("hi", "lo")).alias("drop"))
 
-    def clean(self, docs: DataFrame, keys: DataFrame | None = None) -> DataFrame:
-        """All documents with n_lines, n_dropped and kept_text."""
+    def clean(self, docs: DataFrame, keys: DataFrame | None = None, prefix: str = "") -> DataFrame:
+        """All documents with n_lines, n_dropped and kept_text, named after `prefix`."""
         keys = self.keys(docs) if keys is None else keys
+        results = [prefix + c for c in RESULTS]
+        docs = docs.drop(*results)
         drops = self.repeated_lines(keys)
         drops = drops.select(F.col("doc_id").alias("__doc"), F.col("drop").alias("__drop")).hint("shuffle_hash")
         joined = docs.join(drops, docs["doc_id"].eqNullSafe(drops["__doc"]), "left").drop("__doc")
@@ -235,19 +239,15 @@ class LineIndex:
                     total.append(len(lines)), gone.append(len(lines) - len(stay)), kept.append("\n".join(stay))
                 added = [pa.array(total, pa.int64()), pa.array(gone, pa.int64()), pa.array(kept, pa.string())]
                 columns = [batch.column(c) for c in names] + added
-                yield pa.RecordBatch.from_arrays(columns, names=[*names, "n_lines", "n_dropped", "kept_text"])
+                yield pa.RecordBatch.from_arrays(columns, names=[*names, *results])
 
-        return joined.mapInArrow(run, _with_result(docs))
+        added = [T.StructField(c, kind) for c, kind in zip(results, RESULTS.values())]
+        return joined.mapInArrow(run, T.StructType([*docs.schema.fields, *added]))
 
 
-def _with_result(docs: DataFrame) -> T.StructType:
-    added = [T.StructField("n_lines", T.LongType()), T.StructField("n_dropped", T.LongType()), T.StructField("kept_text", T.StringType())]
-    return T.StructType([*docs.schema.fields, *added])
-
-
-def dedup_lines(docs: DataFrame, min_docs: int = MIN_DOCS, min_chars: int = MIN_CHARS) -> DataFrame:
+def dedup_lines(docs: DataFrame, min_docs: int = MIN_DOCS, min_chars: int = MIN_CHARS, prefix: str = "") -> DataFrame:
     """Drops from every document the lines whose key is found in `min_docs` documents of the table."""
     index = LineIndex(docs.sparkSession, min_docs, min_chars)
     keys = index.keys(docs)
     index.insert(keys)
-    return index.clean(docs, keys)
+    return index.clean(docs, keys, prefix)

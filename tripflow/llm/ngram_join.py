@@ -55,8 +55,8 @@ PER_CLASS = 16
 SHARES = ((6, 10.0), (8, 2.2), (10, 1.6), (64, 1.3))
 # Copies up to this many are told to all tasks; more are shuffled.
 BROADCAST_COPIES = 1_000_000
-# Sets in a block of the last comparison.
-BLOCK = 1_024
+# Sets in a block of the last comparison, and their tokens, on average.
+BLOCK, BLOCK_TOKENS = 1_024, 4_000_000
 
 SIGNED = (
     "doc_id bigint, n bigint, hi bigint, lo bigint, "
@@ -288,13 +288,15 @@ def joining_links(rows: pd.DataFrame, percent: int) -> list[tuple[int, int]]:
 def links_across(open_: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links (a, b) between components among the sets of one signature.
 
-    `open_` has (signature, doc_id, component). Signatures with the same
+    `open_` has (signature, doc_id, n, component). Signatures with the same
     lowest component are handled together, so that a pair isn't compared once
-    per signature. A group is cut into blocks, and any two of them are a cell.
+    per signature. A group is cut into blocks of bounded sets and tokens, and
+    any two of them are a cell.
     """
     lowest = open_.groupBy("signature").agg(F.min("component").alias("part"))
-    rows = materialise(open_.join(lowest, "signature").select("part", "doc_id", "component").distinct())
-    blocks = rows.groupBy("part").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    rows = materialise(open_.join(lowest, "signature").select("part", "doc_id", "n", "component").distinct())
+    enough = F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(F.sum("n") / BLOCK_TOKENS))
+    blocks = rows.groupBy("part").agg(enough.cast("int").alias("blocks"))
     dealt = rows.join(blocks, "part").withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
     others = F.sequence(F.lit(0), F.col("blocks") - 1)
     spread = dealt.withColumn("other", F.explode(others)).select(
@@ -334,7 +336,7 @@ def ngram_components(docs: DataFrame, size: int = 5, percent: int = 80) -> DataF
 
     # Pairs that no hub settled: sets of one signature in different components.
     labelled = shared.filter("size > 2").join(found.withColumnRenamed("id", "doc_id"), "doc_id", "left")
-    labelled = labelled.select("signature", "doc_id", F.coalesce("component", "doc_id").alias("component"))
+    labelled = labelled.select("signature", "doc_id", "n", F.coalesce("component", "doc_id").alias("component"))
     split = labelled.groupBy("signature").agg(F.min("component").alias("low"), F.max("component").alias("high"))
     open_ = materialise(labelled.join(split.filter("low <> high").select("signature"), "signature"))
     more = materialise(links_across(open_, sets, percent))

@@ -13,7 +13,8 @@ pieces are then ranked inside their length and look up their place.
 Defined results: a null or empty text is one piece with the end id; repeated
 rows are packed like any others; equal lengths are told apart by a seeded key
 of doc_id, then doc_id, piece and start; an empty table gives an empty table.
-`pack` keeps further columns; those it adds must be free.
+`pack` keeps further columns, but those named like the ones it adds give way;
+null ids are packed like any others.
 """
 
 from __future__ import annotations
@@ -152,6 +153,7 @@ def places(patterns: list[tuple[list[int], int]]) -> np.ndarray:
 
 def pack(parts: DataFrame, length: int = LENGTH, seed: int = SEED) -> DataFrame:
     """Adds `sequence_id` and `offset` to rows with doc_id, piece, start and length."""
+    parts = parts.drop("sequence_id", "offset")
     keyed = materialise(parts.withColumn("__key", shuffle_key(seed, F.col("doc_id"))))
     counts = {r["length"]: r["n"] for r in keyed.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}  # `length` rows
     table = keyed.sparkSession.sparkContext.broadcast(places(plan(counts, length)))  # bounded by the patterns

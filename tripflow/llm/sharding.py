@@ -7,8 +7,9 @@ stretches gives shards whose row counts differ by one at most.
 
 Defined results: null sources form one source; null, empty and long texts are
 rows like any other; repeated rows get places of their own (which copy gets
-which is open); an empty table gives an empty table; columns that clash with
-`shard` or `slot` raise. Equal texts are not kept together: the law that holds
+which is open); an empty table gives an empty table; columns named like a
+result (`shard`, `slot`, and `position`, `total` in `interleave`) give way to
+it. Equal texts are not kept together: the law that holds
 is about row counts and the mixture.
 """
 
@@ -23,18 +24,19 @@ from tripflow.session import materialise, shuffle_parts
 SEED = 20
 
 
-def interleave(df: DataFrame, key: str, stratum: str, seed: int = SEED) -> DataFrame:
-    """Adds `position`, the place of each row in the interleaved table, and `total`, the number of rows.
+def interleave(
+    df: DataFrame, key: str, stratum: str, seed: int = SEED, position: str = "position", total: str = "total"
+) -> DataFrame:
+    """Adds the place of each row in the interleaved table, and the number of rows.
 
     The columns of `df` travel through two shuffles, so pass those that are
     wanted and no others. Three passes over stored rows, two shuffles; each
     task orders one cell of about `CELL_ROWS` rows.
     """
-    if clash := {"position", "total"} & set(df.columns):
-        raise ValueError(f"columns {sorted(clash)} are taken")
+    df = df.drop(position, total)
     keyed = materialise(df.withColumn("__key", shuffle_key(seed, F.col(key))))
-    total = keyed.count()
-    slots = slots_for(total)
+    rows = keyed.count()
+    slots = slots_for(rows)
     ties = ["__key", *[c for c in df.columns if c != stratum]]
     inside = rank_in_groups(
         keyed.withColumn("__slot", shuffle_slot(F.col("__key"), slots)), [stratum], "__slot", ties, rank="__rank"
@@ -48,24 +50,25 @@ def interleave(df: DataFrame, key: str, stratum: str, seed: int = SEED) -> DataF
         .drop("__rank", "__size")
     )
     order = ["__fraction", stratum, *ties]
-    placed = rank_in_groups(ranked, [], "__slot", order, rank="position")
-    return placed.withColumn("total", F.lit(total).cast("long")).select(*df.columns, "position", "total")
+    placed = rank_in_groups(ranked, [], "__slot", order, rank=position)
+    return placed.withColumn(total, F.lit(rows).cast("long")).select(*df.columns, position, total)
 
 
 def cut(df: DataFrame, shards: int) -> DataFrame:
-    """Turns `position` and `total` into `shard` and `slot`, the gapless place in the shard."""
-    shard = f"position * {shards}L div total"
-    first = F.expr(f"(({shard}) * total + {shards}L - 1) div {shards}L")
+    """Turns `__position` and `__total` into `shard` and `slot`, the gapless place in the shard."""
+    shard = f"__position * {shards}L div __total"
+    first = F.expr(f"(({shard}) * __total + {shards}L - 1) div {shards}L")
     return df.select(
-        *[c for c in df.columns if c not in ("position", "total")],
+        *[c for c in df.columns if c not in ("__position", "__total")],
         F.expr(shard).cast("int").alias("shard"),
-        (F.col("position") - first).cast("long").alias("slot"),
+        (F.col("__position") - first).cast("long").alias("slot"),
     )
 
 
 def stratified_shards(df: DataFrame, shards: int, key: str = "doc_id", stratum: str = "source", seed: int = SEED) -> DataFrame:
     """Every row with its shard and its place there."""
-    return cut(interleave(df, key, stratum, seed), shards)
+    free = df.drop("shard", "slot")
+    return cut(interleave(free, key, stratum, seed, "__position", "__total"), shards)
 
 
 def write_shards(df: DataFrame, path: str) -> None:

@@ -12,7 +12,8 @@ Queries come in blocks and shards in groups, both of bounded size; a task holds
 one block and one group. All arithmetic is on integers.
 
 Defined results: vectors that are null or hold null or non-finite components
-take no part, as query or candidate; vectors of other lengths than the query's
+take no part, as query or candidate, and neither do rows without an id;
+vectors of other lengths than the query's
 are no candidates; ties go to the smaller id; of query rows with equal ids the
 smallest vector asks, and no row with its id answers; repeated candidates all
 count; an empty table gives an empty table; further columns are not read. A
@@ -162,7 +163,7 @@ def _searcher(k: int):
 
 def top_k(vectors: DataFrame, is_query: Column, k: int = 5, scale: int = 256) -> DataFrame:
     """query_id, rank, vec_id and score of each query's k best rows; (vec_id, embedding) is read."""
-    read = vectors.select("vec_id", quantised(F.col("embedding"), scale).alias("vector")).filter("vector IS NOT NULL")
+    read = vectors.select("vec_id", quantised(F.col("embedding"), scale).alias("vector")).filter("vec_id IS NOT NULL AND vector IS NOT NULL")
     points = materialise(read.withColumn("dim", F.size("vector")))
     # A shard holds rows of one length.
     shards = max(1, -(-points.count() // SHARD_ROWS))

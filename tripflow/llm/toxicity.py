@@ -17,7 +17,8 @@ Defined results: a null or empty text has no windows and gets the score of
 that; without labels of both classes every score is the share of toxic
 labels; of several labels of a document the highest counts, null labels don't;
 null ids are never held out and never labelled; an empty table gives an empty
-table; further columns are kept in `score`, where `score` must be free.
+table; further columns are kept in `score`, but one named like the result
+gives way to it.
 """
 
 from __future__ import annotations
@@ -194,6 +195,7 @@ def train(docs: DataFrame, labels: DataFrame, max_per_class: int = MAX_PER_CLASS
 
 def score(docs: DataFrame, model: Model, out: str = "score") -> DataFrame:
     """Every document with its score between 0 and 1."""
+    docs = docs.drop(out)
     names = docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
