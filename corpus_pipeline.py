@@ -25,9 +25,10 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines found in ten documents go, with their copies; n_chars follows the text."""
-    cleaned = line_dedup.dedup_lines(docs, min_docs=10, min_chars=1)
-    new = {"text": F.col("kept_text"), "n_chars": F.length("kept_text").cast("long")}
-    return cleaned.withColumns({c: v for c, v in new.items() if c in docs.columns}).select(*docs.columns)
+    cleaned = line_dedup.dedup_lines(docs, min_docs=10, min_chars=1, prefix="__")
+    new = {"text": F.col("__kept_text"), "n_chars": F.length("__kept_text").cast("long")}
+    replaced = cleaned.withColumns({c: v for c, v in new.items() if c in docs.columns})
+    return replaced.select(*[f"`{c}`" for c in docs.columns])
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
