@@ -43,23 +43,24 @@ def test_outer_join_refuses_other_kinds(hot):
 def test_is_small_stops_at_the_bound(spark):
     assert is_small(spark.range(10), 10)
     assert not is_small(spark.range(11), 10)
+    assert not is_small(spark.range(10).withColumn("text", F.repeat(F.lit("x"), 100)), 10, 1_000)
 
 
-def test_employees_and_departments(spark):
-    employees = spark.createDataFrame(
-        [("1", "d01"), ("2", "d02"), ("3", "d03"), ("4", "d03"), ("5", "d05"), ("6", "d06")], "emp_id string, dept string"
-    )
-    departments = spark.createDataFrame(
-        [("d01", "HR"), ("d02", "Marketing"), ("d03", "Accounts"), ("d04", "IT"), ("d05", "Finance")],
-        "dept_id string, department string",
-    )
-    same = F.col("dept") == F.col("dept_id")
-    left = outer_join(employees, departments, [("dept", "dept_id")], "left")
-    right = outer_join(employees, departments, [("dept", "dept_id")], "right")
-    assert employees.join(departments, same, "inner").count() == 5
-    assert [r.emp_id for r in left.filter("department IS NULL").collect()] == ["6"]
-    assert [r.department for r in right.filter("emp_id IS NULL").collect()] == ["IT"]
-    assert [r.emp_id for r in employees.join(departments, same, "left_anti").collect()] == ["6"]
+def test_is_small_reads_no_further_than_the_bound(spark):
+    late = spark.range(0, 1_000, 1, 100).select(F.when(F.col("id") < 500, F.col("id")).otherwise(F.raise_error(F.lit("read on"))).alias("id"))
+    assert not is_small(late, 15)
+
+
+def test_join_kinds_over_rides_and_depots(spark):
+    rides = spark.createDataFrame([(k, None if k % 7 == 0 else k % 5) for k in range(20)], "ride int, depot_of int")
+    depots = spark.createDataFrame([(d, f"depot {d}") for d in range(1, 8)], "depot int, name string")
+    pairs, same = [("depot_of", "depot")], F.col("depot_of") == F.col("depot")
+    unplaced = sorted(k for k in range(20) if k % 7 == 0 or k % 5 == 0)
+    left, right = (outer_join(rides, depots, pairs, how) for how in ("left", "right"))
+    assert rides.join(depots, same).count() == 20 - len(unplaced)
+    assert sorted(r.ride for r in left.filter("name IS NULL").collect()) == unplaced
+    assert sorted(r.depot for r in right.filter("ride IS NULL").collect()) == [5, 6, 7]
+    assert sorted(r.ride for r in rides.join(depots, same, "left_anti").collect()) == unplaced
 
 
 @pytest.mark.parametrize("max_rows", [1, 1000])

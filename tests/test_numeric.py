@@ -54,7 +54,7 @@ def test_pca_like_numpy(frame):
     values = np.sort(np.linalg.eigvalsh(np.corrcoef(data.T)))[::-1]
     assert np.allclose([r.explained_variance for r in explained.orderBy("component").collect()], values / values.sum())
     assert scores.count() == 500
-    assert len(scores.first().pca_features) == 3
+    assert len(scores.first().scores) == 3
 
 
 def test_regression_like_numpy(spark):

@@ -158,3 +158,10 @@ def test_running_totals_keep_digits_and_type(spark, kind, hot_copies):
     assert own.dtypes == plain.dtypes
     near = lambda df: sorted((r["o"], float(r["v"]), round(float(r["running_total"]), 9)) for r in df.collect())
     assert near(own) == near(plain)
+
+
+def test_rows_with_maps(spark):
+    rows = spark.range(30).select((F.col("id") % 4).alias("k"), "id", F.create_map(F.lit("a"), F.col("id")).alias("m"))
+    assert sorted(r.row_number for r in number_rows(rows, ["k"]).collect()) == list(range(1, 31))
+    assert [r.id for r in sort_rows(rows, ["k"]).collect()] == [r.id for r in rows.orderBy("k", "id").collect()]
+    assert max(r.running_total for r in running_total(rows, "id", ["k"]).collect()) == 435

@@ -1,5 +1,5 @@
 from tripflow.functions.expressions import (
-    age_stage,
+    banded,
     elapsed_minutes,
     elapsed_whole_minutes,
     fee_total,
@@ -10,6 +10,6 @@ from tripflow.functions.expressions import (
 from tripflow.functions.udfs import square_udf
 
 __all__ = [
-    "age_stage", "elapsed_minutes", "elapsed_whole_minutes", "fee_total", "guarded_ratio",
+    "banded", "elapsed_minutes", "elapsed_whole_minutes", "fee_total", "guarded_ratio",
     "split_part_at", "square_udf", "to_type",
 ]

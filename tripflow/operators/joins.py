@@ -13,11 +13,18 @@ from tripflow.operators.skew import HOT_ROWS, has_hot_group
 from tripflow.session import shuffle_parts
 
 MAX_BROADCAST_ROWS = 100_000
+MAX_BROADCAST_BYTES = 64 << 20
 
 
-def is_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
-    """Whether a side is safe to broadcast. Stops reading at the bound."""
-    return df.limit(max_rows + 1).count() <= max_rows
+def is_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, max_bytes: int = MAX_BROADCAST_BYTES) -> bool:
+    """Whether a side is safe to broadcast, by its rows and their size as JSON.
+
+    Reads one partition, then a few more at a time, and stops at the bound of
+    rows; the driver receives the sizes alone.
+    """
+    size = F.octet_length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])))
+    sizes = [r[0] for r in df.select(size).take(max_rows + 1)]
+    return len(sizes) <= max_rows and sum(sizes) <= max_bytes
 
 
 def _all_equal(pairs: Sequence[tuple[str, str]]) -> Column:
@@ -85,8 +92,8 @@ def enrich_zones(
     """Join one lookup once per role; `roles` maps an output prefix to the trip column.
 
     Left outer: a trip with an unknown or missing location keeps null attributes.
-    The lookup must hold one row per key. It is broadcast if its row count, which
-    is checked, allows that; otherwise the joins shuffle, and AQE splits hot zones.
+    The lookup must hold one row per key. It is broadcast if its rows and bytes, which
+    are checked, allow that; otherwise the joins shuffle, and AQE splits hot zones.
     """
     lookup = zones.select(zone_key, *attributes)
     small = is_small(lookup, max_rows)

@@ -25,7 +25,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, DecimalType
+from pyspark.sql.types import ArrayType, DataType, DecimalType, MapType, StructType, VariantType
 
 from tripflow.operators.joins import attach_per_key
 from tripflow.operators.skew import HOT_ROWS, has_hot_group
@@ -58,10 +58,21 @@ def as_keys(order: Sequence[str | Key]) -> list[Key]:
 
 
 def row_keys(df: DataFrame, order: Sequence[str | Key]) -> list[Key]:
-    """The order, then every other column as a tie-breaker."""
+    """The order, then every other column that can be ordered as a tie-breaker."""
     keys = as_keys(order)
     named = {k.name.lower() for k in keys}
-    return keys + [Key(c) for c in df.columns if c.lower() not in named]
+    return keys + [Key(f.name) for f in df.schema.fields if f.name.lower() not in named and _can_be_ordered(f.dataType)]
+
+
+def _can_be_ordered(kind: DataType) -> bool:
+    if isinstance(kind, StructType):
+        return all(_can_be_ordered(f.dataType) for f in kind.fields)
+    return _can_be_ordered(kind.elementType) if isinstance(kind, ArrayType) else not isinstance(kind, (MapType, VariantType))
+
+
+def _has_hot_copies(df: DataFrame, ranges: int | None, hot_copies: int) -> bool:
+    """Whether identical rows have to be folded; rows with maps can't be told to be identical and never are."""
+    return all(_can_be_ordered(f.dataType) for f in df.schema.fields) and has_hot_group(df, df.columns, ranges, hot_copies)
 
 
 def _ranged(df: DataFrame, keys: Sequence[Key], ranges: int | None) -> DataFrame:
@@ -144,7 +155,7 @@ def number_rows(
 ) -> DataFrame:
     """ROW_NUMBER() OVER (ORDER BY order, then all other columns)."""
     keys = row_keys(df, order)
-    if has_hot_group(df, df.columns, ranges, hot_copies):
+    if _has_hot_copies(df, ranges, hot_copies):
         return _number_folded(df, keys, out, ranges, chunk)
     ranged = _ranged(df, keys, ranges)
     offsets = _offsets(ranged, {"n": F.count(F.lit(1))})
@@ -218,7 +229,7 @@ def _running_rows(
     # A wide decimal times a count would lose digits: its copies are added one by one.
     kind = df.schema[value].dataType
     exact = not isinstance(kind, DecimalType) or kind.precision + COUNT_DIGITS <= 38
-    folded = exact and has_hot_group(df, df.columns, ranges, hot_copies)
+    folded = exact and _has_hot_copies(df, ranges, hot_copies)
     units = _fold_copies(df) if folded else df.withColumn(COPIES, F.lit(1).cast("bigint"))
     times = (lambda n: F.col(value) * n) if folded else (lambda n: F.col(value).cast(result))
     known = F.col(value).isNotNull().cast("bigint")
@@ -263,6 +274,6 @@ def sort_rows(
     Where a large group of identical rows exists the rows are spread by their position instead.
     """
     keys = row_keys(df, order)
-    if not has_hot_group(df, df.columns, ranges, hot_copies):
+    if not _has_hot_copies(df, ranges, hot_copies):
         return df.orderBy(*(k.column() for k in keys))
     return _number_folded(df, keys, "__number", ranges, chunk).orderBy("__number").drop("__number")

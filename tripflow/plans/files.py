@@ -9,10 +9,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
-from tripflow.functions import age_stage
 from tripflow.operators import word_counts
 from tripflow.plans.base import query, table
-from tripflow.plans.projections import STAGE_SQL, staged_parts
+from tripflow.plans.projections import SIZE_SQL, parts_by_size
 from tripflow.session import scratch_path, unique_name
 from tripflow.sources import (
     bronze_sample,
@@ -222,18 +221,16 @@ def ingest_bronze(spark, sf):
 
 @query(
     "sql_insert",
-    f"""SELECT first_name, age, life_stage FROM (
-            SELECT p_name AS first_name, p_size AS age, {STAGE_SQL} AS life_stage FROM part
-            UNION ALL SELECT 'frank', 4, 'child')
-        WHERE life_stage = 'teenager' OR first_name = 'frank'""",
+    f"""SELECT p_partkey, p_size, size_band FROM (
+            SELECT p_partkey, p_size, {SIZE_SQL} AS size_band FROM part UNION ALL SELECT -1, 99, 'unlisted')
+        WHERE size_band IN ('medium', 'unlisted')""",
 )
 def sql_insert(spark, sf):
     """A managed table, a row inserted by SQL and a SQL query over it."""
-    people = f"{fresh_layer(spark, 'people')}.some_people"
-    staged = staged_parts(spark, sf).select(F.col("p_name").alias("first_name"), F.col("p_size").alias("age"), "life_stage")
-    staged.write.mode("overwrite").saveAsTable(people)
-    spark.sql(f"INSERT INTO {people} VALUES ('frank', 4, 'child')")
-    return spark.sql(f"SELECT * FROM {people} WHERE life_stage = 'teenager' OR first_name = 'frank'")
+    banded_parts = f"{fresh_layer(spark, 'parts')}.by_size"
+    parts_by_size(spark, sf).select("p_partkey", "p_size", "size_band").write.saveAsTable(banded_parts)
+    spark.sql(f"INSERT INTO {banded_parts} VALUES (-1, 99, 'unlisted')")
+    return spark.sql(f"SELECT * FROM {banded_parts} WHERE size_band IN ('medium', 'unlisted')")
 
 
 @query("sql_temp_view", "SELECT * FROM orders WHERE o_orderpriority = '5-LOW'")
@@ -245,13 +242,13 @@ def sql_temp_view(spark, sf):
 
 @query(
     "inline_names",
-    f"""SELECT {STAGE_SQL} AS life_stage, count(*) AS n, max(first_name) AS example
-        FROM part JOIN (VALUES ('sue', 32), ('li', 3), ('bob', 41), ('heo', 13)) AS t(first_name, age) ON p_size = age
-        GROUP BY 1""",
+    f"""SELECT size_band, CAST(shelf AS BIGINT) AS shelf, count(*) AS n, min(p_partkey) AS first_part
+        FROM (SELECT *, {SIZE_SQL} AS size_band FROM part)
+        JOIN (VALUES ('small', 1), ('medium', 2), ('oversize', 7)) AS t(band, shelf) ON size_band = band
+        GROUP BY size_band, shelf""",
 )
 def inline_names(spark, sf):
     """Rows given in the program with names alone, their types found by Spark."""
-    people = spark.createDataFrame([("sue", 32), ("li", 3), ("bob", 41), ("heo", 13)], ["first_name", "age"])
-    joined = table(spark, sf, "part").join(F.broadcast(people), F.col("p_size") == F.col("age"))
-    staged = joined.withColumn("life_stage", age_stage("age"))
-    return staged.groupBy("life_stage").agg(F.count("*").alias("n"), F.max("first_name").alias("example"))
+    shelves = spark.createDataFrame([("small", 1), ("medium", 2), ("oversize", 7)], ["band", "shelf"])
+    joined = parts_by_size(spark, sf).join(F.broadcast(shelves), F.col("size_band") == F.col("band"))  # three rows
+    return joined.groupBy("size_band", "shelf").agg(F.count("*").alias("n"), F.min("p_partkey").alias("first_part"))

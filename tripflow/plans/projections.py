@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType
 
 from tripflow.functions import (
-    age_stage,
+    banded,
     elapsed_minutes,
     elapsed_whole_minutes,
     split_part_at,
@@ -31,25 +31,26 @@ def rename_column(spark, sf):
     return table(spark, sf, "customer").withColumnRenamed("c_acctbal", "balance")
 
 
-@query("constant_column", "SELECT event_id, event_type, value, 'new' AS flag FROM events")
+@query("constant_column", "SELECT event_id, event_type, value, 'event' AS record_kind FROM events")
 def constant_column(spark, sf):
-    return table(spark, sf, "events").select("event_id", "event_type", "value").withColumn("flag", F.lit("new"))
+    return table(spark, sf, "events").select("event_id", "event_type", "value").withColumn("record_kind", F.lit("event"))
 
 
 @query(
     "computed_totals",
-    """SELECT l_orderkey, l_linenumber, l_quantity * l_extendedprice AS multiply,
-              l_extendedprice + l_quantity + l_tax - l_discount - l_linenumber AS totals,
+    """SELECT l_orderkey, l_linenumber, l_extendedprice * (1 - l_discount) AS net_price,
+              l_extendedprice * (1 - l_discount) * (1 + l_tax) AS charged,
               l_extendedprice / (l_quantity + 1) AS unit_share
        FROM lineitem""",
 )
 def computed_totals(spark, sf):
     price, quantity = F.col("l_extendedprice"), F.col("l_quantity")
+    net = price * (1 - F.col("l_discount"))
     return table(spark, sf, "lineitem").select(
         "l_orderkey",
         "l_linenumber",
-        (quantity * price).alias("multiply"),
-        (price + quantity + F.col("l_tax") - F.col("l_discount") - F.col("l_linenumber")).alias("totals"),
+        net.alias("net_price"),
+        (net * (1 + F.col("l_tax"))).alias("charged"),
         (price / (quantity + 1)).alias("unit_share"),
     )
 
@@ -78,43 +79,45 @@ def cast_columns(spark, sf):
 
 @query(
     "case_flags",
-    """SELECT p_partkey,
-              CASE WHEN p_type = 'ECONOMY' THEN 'Economy' ELSE 'Other' END AS type_flag,
-              CASE WHEN p_type = 'ECONOMY' AND p_retailprice < 1000 THEN 'Economy_Inexpensive'
-                   WHEN p_type = 'ECONOMY' AND p_retailprice > 1000 THEN 'Economy_Expensive'
-                   ELSE 'Other' END AS price_flag
+    """SELECT p_partkey, p_size >= 40 AS bulky,
+              CASE WHEN p_size IS NULL OR p_retailprice IS NULL THEN 'unrated'
+                   WHEN p_size >= 40 AND p_retailprice <= 950 THEN 'bargain'
+                   WHEN p_size <= 10 AND p_retailprice >= 950 THEN 'dear'
+                   ELSE 'usual' END AS value_class
        FROM part""",
 )
 def case_flags(spark, sf):
-    economy = F.col("p_type") == "ECONOMY"
-    price = F.col("p_retailprice")
-    return table(spark, sf, "part").select(
-        "p_partkey",
-        F.when(economy, "Economy").otherwise("Other").alias("type_flag"),
-        F.when(economy & (price < 1000), "Economy_Inexpensive")
-        .when(economy & (price > 1000), "Economy_Expensive")
-        .otherwise("Other")
-        .alias("price_flag"),
+    """Conditions over two columns, tried in turn; what is missing is told apart first."""
+    size, price = F.col("p_size"), F.col("p_retailprice")
+    bulky = size >= 40
+    value_class = (
+        F.when(size.isNull() | price.isNull(), "unrated")
+        .when(bulky & (price <= 950), "bargain")
+        .when((size <= 10) & (price >= 950), "dear")
+        .otherwise("usual")
     )
+    return table(spark, sf, "part").select("p_partkey", bulky.alias("bulky"), value_class.alias("value_class"))
 
 
-STAGE_SQL = "CASE WHEN p_size < 13 THEN 'child' WHEN p_size BETWEEN 13 AND 19 THEN 'teenager' ELSE 'adult' END"
+SIZE_BANDS = ((10, "small"), (25, "medium"), (40, "large"))
+SIZE_SQL = """CASE WHEN p_size <= 10 THEN 'small' WHEN p_size <= 25 THEN 'medium' WHEN p_size <= 40 THEN 'large'
+    WHEN p_size IS NOT NULL THEN 'oversize' END"""
 
 
-def staged_parts(spark, sf):
-    """Parts with their size read as an age."""
-    return table(spark, sf, "part").withColumn("life_stage", age_stage("p_size"))
+def parts_by_size(spark, sf):
+    """Parts with the band of their size."""
+    return table(spark, sf, "part").withColumn("size_band", banded(F.col("p_size"), SIZE_BANDS, "oversize"))
 
 
 @query(
     "life_stage",
-    f"""SELECT p_name AS first_name, p_size AS age, life_stage
-        FROM (SELECT *, {STAGE_SQL} AS life_stage FROM part)
-        WHERE life_stage IN ('teenager', 'adult')""",
+    f"""SELECT p_partkey, p_size, size_band FROM (SELECT *, {SIZE_SQL} AS size_band FROM part)
+        WHERE size_band IN ('small', 'oversize')""",
 )
 def life_stage(spark, sf):
-    grown = staged_parts(spark, sf).where(F.col("life_stage").isin(["teenager", "adult"]))
-    return grown.select(F.col("p_name").alias("first_name"), F.col("p_size").alias("age"), "life_stage")
+    """Rows chosen by a computed label."""
+    extremes = parts_by_size(spark, sf).where(F.col("size_band").isin(["small", "oversize"]))
+    return extremes.select("p_partkey", "p_size", "size_band")
 
 
 # --- filters ---------------------------------------------------------------
@@ -213,20 +216,20 @@ def dropna_subset(spark, sf):
 
 @query(
     "fillna_all",
-    f"SELECT event_id, coalesce(event_type, 'NotAvailable') AS event_type, user_id, value FROM ({GAPS_SQL})",
+    f"SELECT event_id, coalesce(event_type, 'unrecorded') AS event_type, user_id, value FROM ({GAPS_SQL})",
 )
 def fillna_all(spark, sf):
-    return events_with_gaps(spark, sf).fillna("NotAvailable")
+    return events_with_gaps(spark, sf).fillna("unrecorded")
 
 
 @query(
     "fillna_subset",
-    f"""SELECT event_id, coalesce(event_type, 'NotAvailable') AS event_type, label
+    f"""SELECT event_id, coalesce(event_type, 'unrecorded') AS event_type, label
         FROM (SELECT *, nullif(event_type, 'view') AS label FROM ({GAPS_SQL}))""",
 )
 def fillna_subset(spark, sf):
     gaps = events_with_gaps(spark, sf).withColumn("label", F.nullif("event_type", F.lit("view")))
-    return gaps.select("event_id", "event_type", "label").fillna("NotAvailable", subset=["event_type"])
+    return gaps.select("event_id", "event_type", "label").fillna("unrecorded", subset=["event_type"])
 
 
 @query(
@@ -306,7 +309,7 @@ def array_contains(spark, sf):
 
 @query(
     "date_current",
-    """SELECT event_id, current_date AS curr_date, CAST(current_date + 7 AS DATE) AS week_after,
+    """SELECT event_id, current_date AS run_date, CAST(current_date + 7 AS DATE) AS due_in_7,
               CAST(date_diff('day', CAST(ts AS DATE), current_date) AS INTEGER) AS age_days
        FROM events""",
 )
@@ -314,16 +317,16 @@ def date_current(spark, sf):
     today = F.current_date()
     return table(spark, sf, "events").select(
         "event_id",
-        today.alias("curr_date"),
-        F.date_add(today, 7).alias("week_after"),
+        today.alias("run_date"),
+        F.date_add(today, 7).alias("due_in_7"),
         F.datediff(today, F.col("ts").cast("date")).alias("age_days"),
     )
 
 
 @query(
     "date_arith",
-    """SELECT o_orderkey, d AS order_date, CAST(d + 7 AS DATE) AS week_after, CAST(d - 7 AS DATE) AS week_before,
-              CAST(d - 7 AS DATE) AS week_before_sub, 7 AS days_forward, -7 AS days_back
+    """SELECT o_orderkey, d AS order_date, CAST(d + 7 AS DATE) AS due_in_7, CAST(d - 7 AS DATE) AS due_7_ago,
+              CAST(d - 7 AS DATE) AS due_7_back, 7 AS days_forward, -7 AS days_back
        FROM (SELECT o_orderkey, CAST(o_orderdate AS DATE) AS d FROM orders)""",
 )
 def date_arith(spark, sf):
@@ -331,13 +334,13 @@ def date_arith(spark, sf):
     dated = table(spark, sf, "orders").select("o_orderkey", F.col("o_orderdate").cast("date").alias("order_date"))
     weeks = dated.withColumns(
         {
-            "week_after": F.date_add(day, 7),
-            "week_before": F.date_add(day, -7),
-            "week_before_sub": F.date_sub(day, 7),
+            "due_in_7": F.date_add(day, 7),
+            "due_7_ago": F.date_add(day, -7),
+            "due_7_back": F.date_sub(day, 7),
         }
     )
     return weeks.withColumns(
-        {"days_forward": F.datediff("week_after", "order_date"), "days_back": F.datediff("order_date", "week_after")}
+        {"days_forward": F.datediff("due_in_7", "order_date"), "days_back": F.datediff("order_date", "due_in_7")}
     )
 
 

@@ -17,7 +17,7 @@ from tripflow.operators import (
     word_counts,
 )
 from tripflow.plans.base import query, table
-from tripflow.plans.projections import STAGE_SQL, staged_parts
+from tripflow.plans.projections import SIZE_SQL, parts_by_size
 
 # --- joins -----------------------------------------------------------------
 
@@ -129,28 +129,28 @@ def agg_multi(spark, sf):
 
 @query(
     "life_stage_avg",
-    f"""SELECT {STAGE_SQL} AS life_stage, round(avg(p_partkey), 6) AS avg_p_partkey,
+    f"""SELECT {SIZE_SQL} AS size_band, round(avg(p_partkey), 6) AS avg_p_partkey,
                round(avg(p_size), 6) AS avg_p_size, round(avg(p_retailprice), 6) AS avg_p_retailprice
         FROM part GROUP BY 1""",
 )
 def life_stage_avg(spark, sf):
     """Average of every numeric column per group."""
-    means = staged_parts(spark, sf).groupBy("life_stage").avg()
+    means = parts_by_size(spark, sf).groupBy("size_band").avg()
     return means.select(
-        "life_stage", *(F.round(means[c], 6).alias("avg_" + c[4:-1]) for c in means.columns if c != "life_stage")
+        "size_band", *(F.round(means[c], 6).alias("avg_" + c[4:-1]) for c in means.columns if c != "size_band")
     )
 
 
-@query("sql_global_avg", "SELECT round(avg(p_size), 6) AS avg_age FROM part")
+@query("sql_global_avg", "SELECT round(avg(p_size), 6) AS mean_size FROM part")
 def sql_global_avg(spark, sf):
-    return spark.sql("SELECT round(avg(p_size), 6) AS avg_age FROM {people}", people=table(spark, sf, "part"))
+    return spark.sql("SELECT round(avg(p_size), 6) AS mean_size FROM {parts}", parts=table(spark, sf, "part"))
 
 
-@query("sql_group_avg", f"SELECT {STAGE_SQL} AS life_stage, round(avg(p_size), 6) AS avg_age FROM part GROUP BY 1")
+@query("sql_group_avg", f"SELECT {SIZE_SQL} AS size_band, round(avg(p_size), 6) AS mean_size FROM part GROUP BY 1")
 def sql_group_avg(spark, sf):
     return spark.sql(
-        "SELECT life_stage, round(avg(p_size), 6) AS avg_age FROM {people} GROUP BY life_stage",
-        people=staged_parts(spark, sf),
+        "SELECT size_band, round(avg(p_size), 6) AS mean_size FROM {parts} GROUP BY size_band",
+        parts=parts_by_size(spark, sf),
     )
 
 
@@ -243,33 +243,33 @@ def win_rank(spark, sf):
 @query(
     "win_cumsum_rows",
     """SELECT event_id, event_type, value, round(sum(value) OVER (
-                  ORDER BY event_type, event_id, value ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 2) AS cumsum
+                  ORDER BY event_type, event_id, value ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 2) AS value_so_far
        FROM events""",
 )
 def win_cumsum_rows(spark, sf):
     events = table(spark, sf, "events").select("event_id", "event_type", "value")
-    return running_total(events, "value", ["event_type", "event_id"], "cumsum").withColumn(
-        "cumsum", F.round("cumsum", 2)
+    return running_total(events, "value", ["event_type", "event_id"], "value_so_far").withColumn(
+        "value_so_far", F.round("value_so_far", 2)
     )
 
 
 @query(
     "win_cumsum_range",
-    """SELECT l_orderkey, l_linenumber, l_shipdate, l_quantity, sum(l_quantity) OVER (ORDER BY l_shipdate) AS cumsum
+    """SELECT l_orderkey, l_linenumber, l_shipdate, l_quantity, sum(l_quantity) OVER (ORDER BY l_shipdate) AS quantity_so_far
        FROM lineitem""",
 )
 def win_cumsum_range(spark, sf):
     lines = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_shipdate", "l_quantity")
-    return running_total(lines, "l_quantity", ["l_shipdate"], "cumsum", frame="range")
+    return running_total(lines, "l_quantity", ["l_shipdate"], "quantity_so_far", frame="range")
 
 
 @query(
     "win_total",
-    "SELECT l_orderkey, l_linenumber, l_quantity, sum(l_quantity) OVER () AS totalsum FROM lineitem",
+    "SELECT l_orderkey, l_linenumber, l_quantity, sum(l_quantity) OVER () AS quantity_overall FROM lineitem",
 )
 def win_total(spark, sf):
     lines = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity")
-    return with_total(lines, "l_quantity", "totalsum")
+    return with_total(lines, "l_quantity", "quantity_overall")
 
 
 # --- sorting and sampling --------------------------------------------------
