@@ -226,6 +226,28 @@ def test_licences(make_docs, odd_docs):
     assert licences.find_licences(odd_docs).count() == 0
 
 
+
+def test_short_licence_lines(make_docs):
+    texts = ["All rights reserved.", "x y z. ALL RIGHTS RESERVED", "all the rights reserved", "all rights", "it is under MIT license here"]
+    texts += ["Code under the BSD-3-Clause.", "SPDX-License-Identifier: ISC", None, "rights reserved all rights reserved"]
+    rows = licences.find_licences(make_docs(texts)).collect()
+    found = {(r["doc_id"], r["licence"]): (r["containment"], r["n_shingles"], r["first_word"]) for r in rows}
+    line = "All rights reserved"
+    assert {i: v for (i, n), v in found.items() if n == line} == {0: (1.0, 1, 0), 1: (1.0, 1, 3), 8: (1.0, 1, 2)}
+    assert {i for i, _ in found} == {0, 1, 4, 5, 6, 8}
+    assert {n.split(" ")[0] for i, n in found if i in (4, 5, 6)} == {"MIT", "BSD-3-Clause", "ISC"}
+    own = licences.find_licences(make_docs(texts), {"one": "rights", "two": "all rights"}).collect()
+    assert {(r["doc_id"], r["licence"]) for r in own} == {(i, "one") for i in (0, 1, 2, 3, 8)} | {(i, "two") for i in (0, 1, 3, 8)}
+
+
+def test_licence_families(make_docs):
+    """Every template is found whole in a text that holds it."""
+    names = list(licences.TEMPLATES)
+    rows = licences.find_licences(make_docs([f"some words {licences.TEMPLATES[n]} and more" for n in names])).collect()
+    assert {names[r["doc_id"]] for r in rows if r["licence"] == names[r["doc_id"]] and r["containment"] == 1} == set(names)
+    for family in ("BSD-2-Clause", "BSD-3-Clause", "ISC", "GPL-2.0", "LGPL-2.1", "LGPL-3.0", "AGPL-3.0"):
+        assert any(n.startswith(family) for n in names)
+
 def test_pipeline_decisions(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     frames = [docs]

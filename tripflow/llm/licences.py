@@ -1,8 +1,9 @@
 """Licence texts found in documents: MinHash bands retrieve templates, exact containment confirms them.
 
 Texts and templates are cut into words (lower case, letters and digits of
-ASCII) and these into five-word shingles. Templates with m shingles form a
-class. A document is covered by overlapping windows that begin at every
+ASCII) and these into five-word shingles; a template of fewer words is one
+shingle of its own length and found only whole. Templates with m shingles of
+equal length form a class. A document is covered by overlapping windows that begin at every
 `step`-th shingle and are so long that any m neighbouring shingles lie within
 one of them. If those m hold the share `containment` of a template, window and
 template have a Jaccard similarity of at least
@@ -18,7 +19,9 @@ them, since a band's value is the hash of one shingle on either side; so
 windows are made only around such shingles. Everything is Spark's own
 functions, in one pass; the only shuffle gathers the matches per document.
 Templates are a parameter, and their tables are broadcast: rows in proportion
-to the templates' words, not to the documents.
+to the templates' words, not to the documents. Those given by default are the
+common families' texts, headers and notices; texts of one family contain most
+of each other, so each of them is returned, with its containment.
 
 Defined results: null, empty and short texts match nothing; texts of any
 length are scanned whole; of windows with equal containment the first counts;
@@ -30,11 +33,12 @@ from __future__ import annotations
 
 import math
 import re
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tripflow.llm.licence_texts import TEMPLATES
 from tripflow.llm.quality import bind
 
 SHINGLE = 5
@@ -42,53 +46,17 @@ CONTAINMENT = 0.8
 MISS = 1e-6
 MAX_TEMPLATE_WORDS = 200_000
 
-# The wording of public licence notices.
-TEMPLATES = {
-    "Apache-2.0 notice": "Licensed under the Apache License, Version 2.0.",
-    "MIT notice": "Released under the MIT License.",
-    "GPL-3.0 notice": "This work is licensed under the GNU General Public License, version 3.",
-    "CC-BY-NC-4.0 notice": "Licensed under CC BY-NC 4.0.",
-    "CC-BY-4.0 notice": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
-    "CC-BY-SA-4.0 notice": (
-        "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."
-    ),
-    "Apache-2.0 header": (
-        'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance '
-        "with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless "
-        "required by applicable law or agreed to in writing, software distributed under the License is distributed on "
-        'an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License '
-        "for the specific language governing permissions and limitations under the License."
-    ),
-    "MIT": (
-        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
-        'documentation files (the "Software"), to deal in the Software without restriction, including without '
-        "limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the "
-        "Software, and to permit persons to whom the Software is furnished to do so, subject to the following "
-        "conditions: The above copyright notice and this permission notice shall be included in all copies or "
-        'substantial portions of the Software. THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS '
-        "OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE "
-        "AND NONINFRINGEMENT."
-    ),
-    "GPL-3.0 header": (
-        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General "
-        "Public License as published by the Free Software Foundation, either version 3 of the License, or (at your "
-        "option) any later version. This program is distributed in the hope that it will be useful, but WITHOUT ANY "
-        "WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the "
-        "GNU General Public License for more details."
-    ),
-    "MPL-2.0 header": (
-        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was "
-        "not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."
-    ),
-}
-
-
 def template_words(text: str) -> list[str]:
     return re.findall("[a-z0-9]+", text.lower())
 
 
+def shingle_length(words: list[str]) -> int:
+    return min(SHINGLE, len(words))
+
+
 def shingles(words: list[str]) -> list[str]:
-    return [" ".join(words[i : i + SHINGLE]) for i in range(len(words) - SHINGLE + 1)]
+    k = shingle_length(words)
+    return [" ".join(words[i : i + k]) for i in range(len(words) - k + 1)] if k else []
 
 
 def settings(m: int, containment: float = CONTAINMENT, miss: float = MISS) -> tuple[int, int, int]:
@@ -101,28 +69,30 @@ def settings(m: int, containment: float = CONTAINMENT, miss: float = MISS) -> tu
     return step, window, bands
 
 
-def _hash_at(words: Column, i: Column) -> Column:
-    return F.xxhash64(*[F.get(words, i + k) for k in range(SHINGLE)])
+def _hash_at(words: Column, i: Column, k: int) -> Column:
+    return F.xxhash64(*[F.get(words, i + j) for j in range(k)])
 
 
-def _hashes(words: Column) -> Column:
-    return F.transform(F.sequence(F.lit(0), F.size(words) - SHINGLE), lambda i: _hash_at(words, i))
+def _hashes(words: Column, k: Column, lengths: Sequence[int]) -> Column:
+    """The hashes of all shingles of k words, which is one of `lengths`."""
+    made = lambda n: F.transform(F.sequence(F.lit(0), F.size(words) - n), lambda i: _hash_at(words, i, n))
+    return F.coalesce(*[F.when(k == n, made(n)) for n in lengths])
 
 
-def _bands(words: Column, bands: Column) -> Column:
+def _bands(hashes: Column, bands: Column) -> Column:
     """One MinHash per band over the shingles of a window."""
 
     def all_bands(hashes: Column) -> Column:
         least = lambda j: F.array_min(F.transform(hashes, lambda h: F.xxhash64(h, j)))
         return F.transform(F.sequence(F.lit(0), bands - 1), lambda j: F.struct(j.alias("band"), least(j).alias("value")))
 
-    return bind(_hashes(words), all_bands)
+    return bind(hashes, all_bands)
 
 
-def _texts(words: Column) -> Column:
+def _texts(words: Column, k: Column) -> Column:
     """The distinct shingles of a window, as text."""
     return F.array_distinct(
-        F.transform(F.sequence(F.lit(1), F.size(words) - SHINGLE + 1), lambda i: F.array_join(F.slice(words, i, SHINGLE), " "))
+        F.transform(F.sequence(F.lit(1), F.size(words) - k + 1), lambda i: F.array_join(F.slice(words, i, k), " "))
     )
 
 
@@ -134,55 +104,61 @@ def find_licences(
     cut = {name: template_words(text) for name, text in templates.items()}
     if sum(map(len, cut.values())) > MAX_TEMPLATE_WORDS:
         raise ValueError("the templates are too large to be broadcast")
-    if short := [name for name, words in cut.items() if len(words) < SHINGLE]:
-        raise ValueError(f"templates of less than {SHINGLE} words: {short}")
-    spans = {name: len(words) - SHINGLE + 1 for name, words in cut.items()}
-    classes = {m: settings(m, containment, miss) for m in set(spans.values())}
-
-    rows = [(name, words, spans[name], classes[spans[name]][2]) for name, words in cut.items()]
-    known = spark.createDataFrame(rows, "licence string, words array<string>, m int, bands int").coalesce(1)
-    marks: dict[int, set[int]] = {m: set() for m in classes}
-    for row in known.select("m", _hashes(F.col("words")).alias("h")).collect():  # the templates
-        marks[row["m"]].update(row["h"])
-    banded = known.select("licence", "m", "words", F.explode(_bands(F.col("words"), F.col("bands"))).alias("b"))
-    index = F.broadcast(banded.select(F.col("licence"), F.col("m"), F.col("b.band"), F.col("b.value"), _texts(F.col("words")).alias("shingles")))
-
-    def of_class(hits: Column, n: Column, m: int) -> Column:
-        step, window, _ = classes[m]
-        last = F.floor((n - 1) / F.lit(step)).cast("int")
+    if empty := [name for name, words in cut.items() if not words]:
+        raise ValueError(f"templates without words: {empty}")
+    # A class is the length of the shingles and their number.
+    kinds = {name: (shingle_length(words), len(shingles(words))) for name, words in cut.items()}
+    classes = {kind: settings(kind[1], containment, miss) for kind in sorted(set(kinds.values()))}
+    lengths = sorted({k for k, _ in classes})
+
+    rows = [(name, words, *kinds[name], classes[kinds[name]][2]) for name, words in cut.items()]
+    known = spark.createDataFrame(rows, "licence string, words array<string>, k int, m int, bands int").coalesce(1)
+    hashes = _hashes(F.col("words"), F.col("k"), lengths)
+    marks: dict[tuple[int, int], set[int]] = {kind: set() for kind in classes}
+    for row in known.select("k", "m", hashes.alias("h")).collect():  # the templates
+        marks[row["k"], row["m"]].update(row["h"])
+    begins = {k: {s.split()[0] for name, words in cut.items() if kinds[name][0] == k for s in shingles(words)} for k in lengths}
+    every = {k: set().union(*[marks[kind] for kind in classes if kind[0] == k]) for k in lengths}
+    banded = known.select("licence", "k", "m", "words", F.explode(_bands(hashes, F.col("bands"))).alias("b"))
+    index = F.broadcast(banded.select("licence", "k", "m", "b.band", "b.value", _texts(F.col("words"), F.col("k")).alias("shingles")))
+
+    def of_class(hits: Column, words: Column, kind: tuple[int, int]) -> Column:
+        (k, m), (step, window, bands) = kind, classes[kind]
+        last = F.floor((F.size(words) - k) / F.lit(step)).cast("int")
 
         def around(hit: Column) -> Column:
             until = F.least(last, F.floor(hit["i"] / F.lit(step)).cast("int"))
             first = F.greatest(F.lit(0), F.ceil((hit["i"] - (window - 1)) / F.lit(step)).cast("int"))
             return F.sequence(F.least(first, until), until)
 
-        own = F.filter(hits, lambda h: h["h"].isin(*marks[m]))
-        starts = F.array_distinct(F.flatten(F.transform(own, around)))
-        return F.transform(starts, lambda s: F.struct(F.lit(m).alias("m"), (s * step).alias("at")))
+        def cut_out(start: Column) -> Column:
+            at = (start * step).alias("at")
+            own = F.slice(words, start * step + 1, window + k - 1).alias("words")
+            return F.struct(F.lit(k).alias("k"), F.lit(m).alias("m"), F.lit(bands).alias("bands"), at, own)
 
-    def windows(hits: Column, n: Column) -> Column:
-        """Windows of every class that hold a shingle of the class."""
-        return F.concat(*[of_class(hits, n, m) for m in sorted(classes)])
+        own = F.filter(hits, lambda h: h["h"].isin(*marks[kind]))
+        return F.transform(F.array_distinct(F.flatten(F.transform(own, around))), cut_out)
 
-    every = set().union(*marks.values())
+    def windows(words: Column, k: int) -> Column:
+        """Windows of the classes of shingle length k that hold a shingle of the class."""
+        starts = F.sequence(F.lit(0), F.size(words) - k)
+        known_at = lambda i: F.get(words, i).isin(*begins[k]) & _hash_at(words, i, k).isin(*every[k])
+        hits = F.transform(F.filter(starts, known_at), lambda i: F.struct(i.alias("i"), _hash_at(words, i, k).alias("h")))
+        all_classes = lambda h: F.when(F.size(h) > 0, F.concat(*[of_class(h, words, kind) for kind in classes if kind[0] == k]))
+        return F.when(F.size(words) >= k, bind(hits, all_classes))
 
     def scan(words: Column) -> Column:
-        n = F.size(words) - SHINGLE + 1
-        pairs = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.struct(i.alias("i"), _hash_at(words, i).alias("h")))
-        hits = F.filter(pairs, lambda p: p["h"].isin(*every))
-        length = lambda m: F.element_at(F.create_map(*[F.lit(x) for k, v in classes.items() for x in (k, v[1])]), m)
-        cut_out = lambda w: w.withField("words", F.slice(words, w["at"] + 1, length(w["m"]) + SHINGLE - 1))
-        made = bind(hits, lambda h: F.when(F.size(h) > 0, F.transform(windows(h, n), cut_out)))
-        return F.when(n > 0, made)
+        return F.flatten(F.array_compact(F.array(*[windows(words, k) for k in lengths])))
 
     text = F.split(F.lower(F.coalesce(F.col("text"), F.lit(""))), "[^a-z0-9]+")
-    scanned = docs.select("doc_id", bind(text, scan).alias("found")).filter("found IS NOT NULL")
-    near = scanned.select("doc_id", F.explode("found").alias("w")).filter(F.size("w.words") >= SHINGLE)
-    count = F.element_at(F.create_map(*[F.lit(x) for k, v in classes.items() for x in (k, v[2])]), F.col("w.m"))
-    asked = near.select("doc_id", "w", F.explode(_bands(F.col("w.words"), count)).alias("b"))
-    same = (F.col("w.m") == F.col("m")) & (F.col("b.band") == F.col("band")) & (F.col("b.value") == F.col("value"))
+    scanned = docs.select("doc_id", bind(text, scan).alias("found")).filter(F.size("found") > 0)
+    near = scanned.select("doc_id", F.explode("found").alias("w")).filter(F.size("w.words") >= F.col("w.k"))
+    asked = near.select("doc_id", "w", F.explode(_bands(_hashes(F.col("w.words"), F.col("w.k"), lengths), F.col("w.bands"))).alias("b"))
+    same = (F.col("w.k") == F.col("k")) & (F.col("w.m") == F.col("m"))
+    same = same & (F.col("b.band") == F.col("band")) & (F.col("b.value") == F.col("value"))
     collided = asked.join(index, same).select("doc_id", "licence", "w", "shingles")
-    judged = collided.withColumn("matched", F.size(F.array_intersect(_texts(F.col("w.words")), F.col("shingles"))).cast("long"))
+    found = F.size(F.array_intersect(_texts(F.col("w.words"), F.col("w.k")), F.col("shingles")))
+    judged = collided.withColumn("matched", found.cast("long"))
     judged = judged.withColumn("n_shingles", F.size("shingles").cast("long"))
     passed = judged.filter(F.col("matched") >= F.ceil(F.lit(containment) * F.col("n_shingles") - 1e-9))
     best = passed.groupBy("doc_id", "licence", "n_shingles").agg(
