@@ -209,6 +209,14 @@ def test_quality_of_odd_texts(odd_docs):
     assert not any(r["kept"] for i, r in got.items() if i != 7) and got[7]["n_words"] == 60_000
 
 
+
+def test_short_texts_may_repeat_a_line(make_docs):
+    own = [" ".join(f"the w{i}x{k}" for k in range(15)) for i in range(9)]
+    docs = make_docs(["\n".join([own[0], "a line", "a line"]), "\n".join([*own[:5], *["a line"] * 5]), "\n".join(own)])
+    assert [r["doc_id"] for r in quality.keep(docs).collect()] == [2]
+    assert sorted(r["doc_id"] for r in quality.keep(docs, quality.FLOORED_RULES).collect()) == [0, 2]
+
+
 def test_licences(make_docs, odd_docs):
     mit, notice = licences.TEMPLATES["MIT"], licences.TEMPLATES["GPL-3.0 notice"]
     filler = " ".join(f"f{i}" for i in range(300))

@@ -10,7 +10,7 @@ name, since the measures live in a struct of their own.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -31,16 +31,18 @@ STOP_WORDS = (
 
 @dataclass(frozen=True)
 class Rule:
-    """A measure that must lie between two bounds, in texts of at least `from_words` words."""
+    """A measure that must lie between two bounds, in texts of at least `from_words` words and `from_lines` lines."""
 
     name: str
     measure: str
     low: float | None = None
     high: float | None = None
     from_words: int = 0
+    from_lines: int = 0
 
 
-# Ratios over short texts vary by chance, so some rules hold from a length on.
+# Ratios over short texts vary by chance, so some rules hold from a length on. These are the rules of op9's SQL, which
+# states duplicate_lines for texts of any number of lines.
 RULES = (
     Rule("length", "n_words", 20, 1_000_000),
     Rule("word_length", "mean_word_length", 2.5, 12.0),
@@ -50,6 +52,9 @@ RULES = (
     Rule("repeated_words", "repeat_word_ratio", None, 0.3),
 )
 
+# One line that occurs twice is a third of three lines.
+FLOORED_RULES = tuple(replace(r, from_lines=8) if r.name == "duplicate_lines" else r for r in RULES)
+
 
 def bind(value: Column, body: Callable[[Column], Column]) -> Column:
     """`body(value)` with the value computed once."""
@@ -129,7 +134,10 @@ def broken_rules(m: Column, rules: Sequence[Rule] = RULES) -> Column:
             bad = bad | (value < rule.low)
         if rule.high is not None:
             bad = bad | (value > rule.high)
-        checks.append(F.when(bad & (m["n_words"] >= rule.from_words), F.lit(rule.name)))
+        bad = bad & (m["n_words"] >= rule.from_words)
+        if rule.from_lines:
+            bad = bad & (m["lines"]["all"] >= rule.from_lines)
+        checks.append(F.when(bad, F.lit(rule.name)))
     return F.array_compact(F.array(*checks))
 
 
