@@ -24,9 +24,15 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines found in ten documents go, with their copies; n_chars follows the text."""
+    """Lines found in ten documents go, with their copies; n_chars follows the text.
+
+    A document that this would leave without a word passes on unchanged, so that
+    the next stage keeps one of its group.
+    """
     cleaned = line_dedup.dedup_lines(docs, min_docs=10, min_chars=1, prefix="__")
-    new = {"text": F.col("__kept_text"), "n_chars": F.length("__kept_text").cast("long")}
+    blank = lambda c: F.btrim(F.coalesce(F.col(c), F.lit("")), F.lit(quality.BLANKS)) == ""
+    left = F.when(blank("__kept_text") & ~blank("text"), F.col("text")).otherwise(F.col("__kept_text"))
+    new = {"text": left, "n_chars": F.length(left).cast("long")}
     replaced = cleaned.withColumns({c: v for c, v in new.items() if c in docs.columns})
     return replaced.select(*[f"`{c}`" for c in docs.columns])
 

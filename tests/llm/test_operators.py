@@ -282,6 +282,15 @@ def test_pipeline_decisions(spark, sf_dir):
         assert zlib.crc32(ids[r["start"] : r["start"] + r["length"]].tobytes()) == r["ids_crc32"]
 
 
+def test_pipeline_keeps_one_of_many_copies(spark, make_docs):
+    copied = "\n".join(" ".join(f"the w{i}x{k}" for k in range(15)) for i in range(4))
+    docs = make_docs([copied] * 12 + ["\n".join([copied, f"an own line {i}"]) for i in range(2)] + [" \n"])
+    lined = corpus_pipeline.repeated_lines(spark, docs, "")
+    got = {r["doc_id"]: (r["text"], r["n_chars"]) for r in lined.collect()}
+    assert all(got[i] == (copied, len(copied)) for i in range(12)) and got[12][0] == "an own line 0" and got[14][0] == " \n"
+    assert [r["doc_id"] for r in corpus_pipeline.near_duplicates(spark, lined, "").filter("doc_id < 12").collect()] == [0]
+
+
 CLASHING = (
     "n_lines n_dropped kept_text shard slot position total rank before size rows words key copies positions source_size target score "
     "quality n hi lo cell filter signature component component_id class_id length piece start ids sequence_id offset file part found "
