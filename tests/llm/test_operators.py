@@ -183,6 +183,30 @@ def test_ngram_components(make_docs, monkeypatch, size, percent, frequent):
     assert got == plain_components(dict(enumerate(texts)), size, percent)
 
 
+@pytest.mark.parametrize("block", [8, 1_024])
+def test_all_links_are_returned(make_docs, odd_docs, monkeypatch, block):
+    monkeypatch.setattr(ngram_join, "BLOCK", block)
+    rng = np.random.default_rng(11)
+    texts = ["", None, "one", "One"]
+    for i in range(90):
+        words = [f"b{i % 2}x{k}" for k in range(40)]
+        for k in rng.integers(0, 40, int(rng.integers(0, 3))):
+            words[k] = f"n{rng.integers(0, 3)}"
+        texts.append(" ".join(words))
+    sets = {}
+    for i, t in enumerate(texts):
+        own = frozenset(zip(*[(t or "").lower().split()[k:] for k in range(3)])) or frozenset((t or "").lower().split())
+        if own and own not in sets.values():
+            sets[i] = own
+    plain = {(a, b) for a in sets for b in sets if a < b and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])}
+    docs = make_docs(texts)
+    got = [tuple(r) for r in ngram_join.class_links(docs, 3, 80).collect()]
+    assert len(got) == len(set(got)) and set(got) == plain and len(plain) > len(sets)
+    counts = {r["doc_id"]: r["n_links"] for r in ngram_join.link_counts(docs, 3, 80).collect()}
+    assert counts == {i: sum(i in pair for pair in plain) for i in sets}
+    assert ngram_join.class_links(odd_docs.limit(0)).count() == ngram_join.link_counts(odd_docs.limit(0)).count() == 0
+
+
 def test_keep_first_of_repeated_rows(odd_docs):
     kept = sorted(r["doc_id"] for r in ngram_join.keep_first(odd_docs.union(odd_docs)).collect())
     assert kept == [0, 1, 2, 3, 4, 5, 7, 8, 9]

@@ -22,7 +22,8 @@ Sets that share a signature are first compared with one of them, the hub, so a
 group of thousands of near copies costs one comparison each. Where the sets of
 a signature are still in several components, they are compared across these in
 blocks: a task holds two blocks and returns only links that join components.
-Comparisons are exact, over the sets' 64-bit hashes.
+Comparisons are exact, over the sets' 64-bit hashes. `class_links` and
+`link_counts` compare all sets of a component, so they return every link.
 
 Defined results: a null, empty or blank text has no n-grams and is linked
 with nothing; a text with fewer words than an n-gram has one, its whole
@@ -250,25 +251,16 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return judged.filter(100 * F.col("i") >= percent * (F.col("s") - F.col("i"))).select("a", "b")
 
 
-def joining_links(rows: pd.DataFrame, percent: int) -> list[tuple[int, int]]:
-    """Links between components of the rows of one or two blocks; at most one less than there are components."""
-    ids, of = rows["doc_id"].tolist(), rows["component"].tolist()
+def close_sets(rows: pd.DataFrame, percent: int) -> Iterator[tuple[int, np.ndarray]]:
+    """For each row of one block, or of the first of two, the places of all rows whose sets reach the similarity."""
     sides = rows["side"].tolist()
     sets = [np.asarray(t, np.int64) for t in rows["tokens"]]
     sizes = np.array([len(t) for t in sets])
-    root = {c: c for c in of}
-
-    def find(c):
-        while root[c] != c:
-            root[c] = c = root[root[c]]
-        return c
-
     flat = np.concatenate(sets)
     owner = np.repeat(np.arange(len(sets)), sizes)
     order = np.argsort(flat, kind="stable")
     flat, owner = flat[order], owner[order]
     one_block = len(set(sides)) == 1
-    links = []
     for i, tokens in enumerate(sets):
         if sides[i] and not one_block:
             continue
@@ -276,7 +268,21 @@ def joining_links(rows: pd.DataFrame, percent: int) -> list[tuple[int, int]]:
         spans = high - low
         places = np.repeat(low - np.concatenate([[0], np.cumsum(spans)[:-1]]), spans) + np.arange(spans.sum())
         shared = np.bincount(owner[places], minlength=len(sets))
-        close = np.flatnonzero(100 * shared >= percent * (sizes + len(tokens) - shared))
+        yield i, np.flatnonzero(100 * shared >= percent * (sizes + len(tokens) - shared))
+
+
+def joining_links(rows: pd.DataFrame, percent: int) -> list[tuple[int, int]]:
+    """Links between components of the rows of one or two blocks; at most one less than there are components."""
+    ids, of = rows["doc_id"].tolist(), rows["component"].tolist()
+    root = {c: c for c in of}
+
+    def find(c):
+        while root[c] != c:
+            root[c] = c = root[root[c]]
+        return c
+
+    links = []
+    for i, close in close_sets(rows, percent):
         for j in close:
             a, b = find(of[i]), find(of[j])
             if a != b:
@@ -294,7 +300,16 @@ def links_across(open_: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     any two of them are a cell.
     """
     lowest = open_.groupBy("signature").agg(F.min("component").alias("part"))
-    rows = materialise(open_.join(lowest, "signature").select("part", "doc_id", "n", "component").distinct())
+    cells = _cells(materialise(open_.join(lowest, "signature").select("part", "doc_id", "n", "component").distinct()), sets)
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame(joining_links(rows, percent), columns=["a", "b"], dtype="int64")
+
+    return cells.groupBy("part", "first", "second").applyInPandas(run, "a bigint, b bigint")
+
+
+def _cells(rows: DataFrame, sets: DataFrame) -> DataFrame:
+    """Rows (part, doc_id, n, component) with their tokens, once per cell: two blocks, or one, of a part."""
     enough = F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(F.sum("n") / BLOCK_TOKENS))
     blocks = rows.groupBy("part").agg(enough.cast("int").alias("blocks"))
     dealt = rows.join(blocks, "part").withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
@@ -303,12 +318,7 @@ def links_across(open_: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         "part", F.least("block", "other").alias("first"), F.greatest("block", "other").alias("second"),
         (F.col("block") > F.col("other")).cast("int").alias("side"), "doc_id", "component",
     )
-    cells = spread.join(sets, "doc_id")
-
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame(joining_links(rows, percent), columns=["a", "b"], dtype="int64")
-
-    return cells.groupBy("part", "first", "second").applyInPandas(run, "a bigint, b bigint")
+    return spread.join(sets, "doc_id")
 
 
 def ngram_components(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
@@ -350,6 +360,62 @@ def ngram_components(docs: DataFrame, size: int = 5, percent: int = 80) -> DataF
     return out.select("doc_id", F.col("n").alias("n_shingles"), alone("class_id"), alone("component_id"))
 
 
+def _component_cells(docs: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """The representatives of all classes that have n-grams, and those of components of several classes in cells."""
+    found = materialise(ngram_components(docs, size, percent))
+    heads = found.filter("doc_id = class_id AND n_shingles > 0")
+    heads = materialise(heads.select("doc_id", F.col("n_shingles").alias("n"), F.col("component_id").alias("component")).distinct())
+    several = heads.groupBy("component").agg(F.count(F.lit(1)).alias("classes")).filter("classes > 1").select("component")
+    rows = materialise(heads.join(several, "component").select(F.col("component").alias("part"), "doc_id", "n", "component"))
+    members = rows.select("doc_id")
+    sets = materialise(whole_sets(docs.join(members, "doc_id", "left_semi"), size).dropDuplicates(["doc_id"]))
+    return heads, _cells(rows, sets)
+
+
+def _links_of_cell(rows: pd.DataFrame, percent: int) -> Iterator[tuple[int, np.ndarray]]:
+    """For each row the places of the rows it is linked with, so that a cell names each pair once."""
+    sides = rows["side"].to_numpy()
+    one_block = len(set(sides)) == 1
+    for i, close in close_sets(rows, percent):
+        yield i, close[close > i] if one_block else close[sides[close] == 1]
+
+
+def class_links(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
+    """(a, b), a < b: all pairs of class representatives whose sets reach the similarity, each verified.
+
+    Both ends of a link are in one component, so each component is cut into
+    blocks and any two of them are compared in full. A group of k near copies
+    with different texts has k * (k - 1) / 2 links; `link_counts` gives their
+    number without returning the pairs.
+    """
+    _, cells = _component_cells(docs, size, percent)
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        ids, ends = rows["doc_id"].to_numpy(), [np.zeros((0, 2), np.int64)]
+        for i, close in _links_of_cell(rows, percent):
+            ends.append(np.stack([np.full(len(close), ids[i]), ids[close]], axis=1))
+        pairs = np.concatenate(ends)
+        return pd.DataFrame({"a": pairs.min(axis=1), "b": pairs.max(axis=1)})
+
+    return cells.groupBy("part", "first", "second").applyInPandas(run, "a bigint, b bigint")
+
+
+def link_counts(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
+    """(doc_id, n_links): per class representative the classes it is linked with, 0 included; summed per cell first."""
+    heads, cells = _component_cells(docs, size, percent)
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        counts = np.zeros(len(rows), np.int64)
+        for i, close in _links_of_cell(rows, percent):
+            counts[i] += len(close)
+            counts[close] += 1
+        return pd.DataFrame({"doc_id": rows["doc_id"], "found": counts})
+
+    counts = cells.groupBy("part", "first", "second").applyInPandas(run, "doc_id bigint, found bigint")
+    counts = counts.groupBy("doc_id").agg(F.sum("found").alias("found"))
+    return heads.join(counts, "doc_id", "left").select("doc_id", F.coalesce("found", F.lit(0)).cast("long").alias("n_links"))
+
+
 def keep_first(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """One document of each component, the one with the smallest id, with the columns it came with.
 
