@@ -15,6 +15,7 @@ from tripflow.operators import (
     sort_rows,
     with_total,
 )
+from tripflow.operators import ordered
 
 
 def rows_of(df):
@@ -165,3 +166,22 @@ def test_rows_with_maps(spark):
     assert sorted(r.row_number for r in number_rows(rows, ["k"]).collect()) == list(range(1, 31))
     assert [r.id for r in sort_rows(rows, ["k"]).collect()] == [r.id for r in rows.orderBy("k", "id").collect()]
     assert max(r.running_total for r in running_total(rows, "id", ["k"]).collect()) == 435
+
+
+def test_copies_that_are_not_folded_spread_over_ranges(spark, monkeypatch):
+    sizes, own = [], ordered._ranged
+
+    def watched(*args):
+        made = own(*args)
+        sizes.append(max(r["count"] for r in made.groupBy(ordered.RANGE).count().collect()))
+        return made
+
+    monkeypatch.setattr(ordered, "_ranged", watched)
+    maps = spark.range(0, 600, 1, 6).select(F.lit("k").alias("k"), F.create_map(F.lit("a"), F.lit(1)).alias("m"))
+    got = number_rows(maps, ["k"], ranges=6, hot_copies=10)
+    assert got.columns == ["k", "m", "row_number"] and sorted(r.row_number for r in got.collect()) == list(range(1, 601))
+    wide = spark.range(0, 600, 1, 6).selectExpr("'k' AS k", "CAST(1 AS decimal(30,2)) AS v")
+    totals = running_total(wide, "v", ["k"], ranges=6, hot_copies=10)
+    assert totals.columns == ["k", "v", "running_total"] and sorted(int(r.running_total) for r in totals.collect()) == list(range(1, 601))
+    assert sort_rows(maps, ["k"], ranges=6, hot_copies=10).columns == ["k", "m"]
+    assert len(sizes) == 2 and max(sizes) < 300

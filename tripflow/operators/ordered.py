@@ -15,7 +15,9 @@ Hot order keys: ranks and RANGE totals first aggregate to one row per order key
 and are joined back with the hot keys split off. Numbering and ROWS totals break
 ties by all other columns, so rows that share an order key still spread over
 ranges. Only identical rows cannot be told apart; where a group of them is large
-its copies are counted, carried as one row and expanded again in parallel.
+its copies are counted, carried as one row and expanded again in parallel. Where
+they can't be (columns without an order, decimals too wide for a product) the rows
+are numbered, and the number is the last order key.
 """
 
 from __future__ import annotations
@@ -35,6 +37,7 @@ RANGE = "__range"
 POSITION = "__position"
 COPIES = "__copies"
 COPY = "__copy"
+TIE = "__tie"
 
 # Copies expanded by one task from one row.
 COPY_CHUNK = 100_000
@@ -75,6 +78,19 @@ def _has_hot_copies(df: DataFrame, ranges: int | None, hot_copies: int) -> bool:
     return all(_can_be_ordered(f.dataType) for f in df.schema.fields) and has_hot_group(df, df.columns, ranges, hot_copies)
 
 
+def _unfolded(
+    df: DataFrame, keys: Sequence[Key], ranges: int | None, hot_copies: int, exact: bool = True
+) -> tuple[DataFrame, list[Key]]:
+    """Rows that are not folded, and their keys; those of a large group of equal keys get a number of their own.
+
+    The numbers are written once, since ranges and rows have to see the same.
+    """
+    known = exact and all(_can_be_ordered(f.dataType) for f in df.schema.fields)  # then found to hold no such group
+    if known or not has_hot_group(df, [k.name for k in keys], ranges, hot_copies):
+        return df, list(keys)
+    return materialise(df.withColumn(TIE, F.monotonically_increasing_id())), [*keys, Key(TIE)]
+
+
 def _ranged(df: DataFrame, keys: Sequence[Key], ranges: int | None) -> DataFrame:
     """Rows in ranges of the order, each with its range and its position there; written once.
 
@@ -157,7 +173,7 @@ def number_rows(
     keys = row_keys(df, order)
     if _has_hot_copies(df, ranges, hot_copies):
         return _number_folded(df, keys, out, ranges, chunk)
-    ranged = _ranged(df, keys, ranges)
+    ranged = _ranged(*_unfolded(df, keys, ranges, hot_copies), ranges)
     offsets = _offsets(ranged, {"n": F.count(F.lit(1))})
     number = F.col("__offset_n") + F.col(POSITION) + 1
     return ranged.join(F.broadcast(offsets), RANGE).select(*df.columns, number.alias(out))
@@ -230,7 +246,11 @@ def _running_rows(
     kind = df.schema[value].dataType
     exact = not isinstance(kind, DecimalType) or kind.precision + COUNT_DIGITS <= 38
     folded = exact and _has_hot_copies(df, ranges, hot_copies)
-    units = _fold_copies(df) if folded else df.withColumn(COPIES, F.lit(1).cast("bigint"))
+    if folded:
+        units = _fold_copies(df)
+    else:
+        units, keys = _unfolded(df, keys, ranges, hot_copies, exact)
+        units = units.withColumn(COPIES, F.lit(1).cast("bigint"))
     times = (lambda n: F.col(value) * n) if folded else (lambda n: F.col(value).cast(result))
     known = F.col(value).isNotNull().cast("bigint")
     units = units.withColumns(
@@ -275,5 +295,6 @@ def sort_rows(
     """
     keys = row_keys(df, order)
     if not _has_hot_copies(df, ranges, hot_copies):
-        return df.orderBy(*(k.column() for k in keys))
+        rows, keys = _unfolded(df, keys, ranges, hot_copies)
+        return rows.orderBy(*(k.column() for k in keys)).select(*df.columns)
     return _number_folded(df, keys, "__number", ranges, chunk).orderBy("__number").drop("__number")
