@@ -40,6 +40,12 @@ def test_query_without_sql_is_repeatable(spark, sf_dir, name):
         assert first == second
 
 
+def test_directory_scan_reads_all_orders_from_several_files(spark, sf_dir):
+    files = QUERIES["scan_parquet_directory"](spark, sf_dir).inputFiles()
+    assert len(files) > 1
+    assert spark.read.parquet(*files).count() == spark.read.parquet(f"{sf_dir}/orders.parquet").count()
+
+
 def test_entry(spark):
     result = contract.entry(spark)
     assert result.columns == ["layer", "name", "status", "n"]

@@ -12,7 +12,7 @@ from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType, Str
 from tripflow.operators import word_counts
 from tripflow.plans.base import query, table
 from tripflow.plans.projections import SIZE_SQL, parts_by_size
-from tripflow.session import scratch_path, unique_name
+from tripflow.session import scratch_path, shuffle_parts, unique_name
 from tripflow.sources import (
     bronze_sample,
     discover_files,
@@ -59,7 +59,10 @@ def scan_parquet_multi(spark, sf):
 
 @query("scan_parquet_directory", "SELECT * FROM orders WHERE o_orderstatus = 'F'")
 def scan_parquet_directory(spark, sf):
-    return read_parquet(spark, f"{_split_orders(spark, sf)}/done")
+    """A folder that holds all orders in several files."""
+    path = scratch_path(spark, "orders")
+    save(table(spark, sf, "orders").repartition(shuffle_parts(spark)), path)
+    return read_parquet(spark, path).filter(F.col("o_orderstatus") == "F")
 
 
 CUSTOMER_DDL = "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, c_mktsegment STRING"
