@@ -6,7 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripflow.llm import curriculum, licences, line_dedup, ngram_join, packing, quality, records, sharding, topk, toxicity
+from tripflow.llm import (
+    curriculum, filter_audit, licences, line_dedup, ngram_join, packing, quality, records, sharding, topk, toxicity,
+)
 from tripflow.plans.base import QueryFn, table
 
 QUERIES: dict[str, QueryFn] = {}
@@ -186,3 +188,44 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_licence_scan")
 def op10_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.find_licences(table(spark, sf_dir, "documents"))
+
+
+@query(
+    "op13_filter_audit",
+    f"""
+    WITH w AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t, {SQL_WORDS} AS words FROM documents),
+    l AS (SELECT doc_id, max(CAST(quality = 1 AS INTEGER)) AS good, max(CAST(toxic = 1 AS INTEGER)) AS toxic
+        FROM labels GROUP BY doc_id),
+    m AS (
+        SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+            CAST(len(words) < 100 AS INTEGER) + 2 * CAST(100 * len(list_distinct(words)) < 80 * len(words) AS INTEGER)
+            + 4 * CAST(100 * len(regexp_extract_all(t, '[A-Z]')) > 10 * length(t) AS INTEGER)
+            + 8 * CAST(regexp_matches(t, '[#$%&*|]') AS INTEGER)
+            + 16 * CAST(coalesce(doc_id > min(doc_id) OVER (PARTITION BY t), false) AS INTEGER) AS fails
+        FROM w LEFT JOIN l USING (doc_id)),
+    c AS (SELECT part, fails, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM m GROUP BY part, fails),
+    f AS (SELECT x, 1 << CAST(i AS INTEGER) AS b FROM (VALUES ('A', 0), ('B', 1), ('C', 2), ('D', 3), ('E', 4)) v(x, i)),
+    o AS (
+        SELECT f1.x || f2.x || f3.x || f4.x || f5.x AS filter_order, [f1.b, f2.b, f3.b, f4.b, f5.b] AS bits
+        FROM f f1, f f2, f f3, f f4, f f5 WHERE (f1.b | f2.b | f3.b | f4.b | f5.b) = 31),
+    s AS (
+        SELECT filter_order, step, bits[step] AS b, list_sum(bits[:step]) AS after, list_sum(bits[:step]) - bits[step] AS before
+        FROM o, (SELECT unnest(range(1, 6)) AS step)),
+    r AS (
+        SELECT part, filter_order, CAST(step AS INTEGER) AS step, b,
+            sum(CASE WHEN fails & after = 0 THEN n ELSE 0 END) AS kept,
+            sum(CASE WHEN fails & before = 0 AND fails & b <> 0 THEN n ELSE 0 END) AS removed,
+            sum(CASE WHEN fails & before <> 0 AND fails & b <> 0 THEN n ELSE 0 END) AS redundant,
+            sum(CASE WHEN fails = b THEN n ELSE 0 END) AS unique_fails,
+            sum(CASE WHEN fails & before = 0 AND fails & b <> 0 THEN good ELSE 0 END) AS good_lost,
+            sum(CASE WHEN fails & before = 0 AND fails & b <> 0 THEN toxic ELSE 0 END) AS toxic_lost
+        FROM c, s GROUP BY part, filter_order, step, b)
+    SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+        CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails,
+        CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+        CAST(sum(removed) OVER (PARTITION BY part, b) AS BIGINT) AS shapley
+    FROM r
+    """,
+)
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
