@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripflow.llm import (
-    curriculum, filter_audit, licences, line_dedup, ngram_join, packing, quality, records, sharding, topk, toxicity,
+    curriculum, filter_audit, licences, line_dedup, ngram_join, packing, quality, records, secret_scan, sharding, topk,
+    toxicity,
 )
 from tripflow.plans.base import QueryFn, table
 
@@ -190,6 +191,17 @@ def op10_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.find_licences(table(spark, sf_dir, "documents"))
 
 
+@query("op11_secret_scan")
+def op11_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = secret_scan.scan(docs, secret_scan.train(docs))
+    listed = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    base = F.filter("spans", lambda s: s["kind"] != secret_scan.KINDS[-1])
+    return found.select(
+        "doc_id", "n_assign", "n_access", "n_hex", "n_crf", F.sha2(listed(base), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans")
+    )
+
+
 @query(
     "op13_filter_audit",
     f"""
