@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripflow.llm import (
-    curriculum, filter_audit, licences, line_dedup, ngram_join, packing, quality, records, secret_scan, sharding, topk,
+    alignment, curriculum, filter_audit, licences, line_dedup, ngram_join, packing, quality, records, secret_scan, sharding, topk,
     toxicity,
 )
 from tripflow.plans.base import QueryFn, table
@@ -16,6 +16,7 @@ QUERIES: dict[str, QueryFn] = {}
 ORACLES: dict[str, str] = {}
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 # SQL for the words of a text.
 SQL_WORDS = "regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')"
@@ -202,6 +203,13 @@ def op11_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op12_token_alignment")
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    both = alignment.Tokenizers.load(TOKENIZER, PIECES)
+    counted = alignment.align_and_count(table(spark, sf_dir, "documents").select("doc_id", "text"), both)
+    return counted.withColumnRenamed("groups", "groups_sha256")
+
+
 @query(
     "op13_filter_audit",
     f"""
