@@ -109,7 +109,7 @@ def test_groups_as_text_and_rare_pairs(make_docs, monkeypatch):
     for i, text in enumerate(texts):
         groups = Plain().groups(text)[2]
         assert told[i] == ";".join(",".join(map(str, x)) + "|" + ",".join(map(str, y)) for x, y in groups)
-    counts = alignment.pair_counts(aligned, both.aligner().space[1])
+    counts = alignment.pair_counts(aligned, len(both.lengths_b))
     for most in (0, 2, 1_000):
         sums = {r["row"]: (r["n_best"], r["count_sum"]) for r in alignment.link_sums(aligned, counts, most).collect()}
         rows = {r["row"]: r["doc_id"] for r in aligned.collect()}
@@ -125,3 +125,13 @@ def test_diagonals_divide_the_merge_evenly():
             i, j = alignment.diagonal(a, b, d)
             assert i + j in (d, d + 1) and sorted([*((e, 0) for e in a[:i]), *((e, 1) for e in b[:j])]) == merged[: i + j]
             assert not (0 < i and j < len(b) and a[i - 1] == b[j])
+
+
+def test_tokens_equal_the_libraries(odd_docs):
+    plain = Plain()
+    texts = [t for t in ODD if t] + [r["text"] for r in odd_docs.collect() if r["text"]] + ["ελληνικά Кириллица €5 … “q”", "\u0300a \u2028 b", "I'll we'RE'"]
+    first, second = alignment.FirstTokens(alignment.load_tokenizer(FIRST)), alignment.SecondTokens(open(SECOND, "rb").read())
+    assert first.ranked and second.by_words
+    for text, a, b in zip(texts, first.encode(texts), second.encode(texts)):
+        assert a.tolist() == plain.a.encode(" " + text, add_special_tokens=False).ids == plain.a.encode(" " + text).ids
+        assert b is None or b.tolist() == plain.b.encode(text)

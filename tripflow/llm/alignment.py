@@ -25,7 +25,11 @@ very long texts are whole rows, whose memory is that of one text and its distinc
 
 from __future__ import annotations
 
+import functools
 import hashlib
+import json
+import re
+from array import array
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -36,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tripflow.llm.tokens import Encoder, byte_letters, in_parts, load_tokenizer
+from tripflow.llm.tokens import byte_letters, in_parts, load_tokenizer
 from tripflow.session import materialise, shuffle_parts
 
 # Steps of a merge (A and B tokens) in a piece.
@@ -45,11 +49,15 @@ PIECE = 16_384
 FREQUENT = 100_000
 # Bytes of text that are aligned in one go, and words that a worker remembers.
 TEXT_BYTES = 2 << 20
-REMEMBERED = 300_000
+REMEMBERED = 400_000
 # Groups with more links than this are multiplied by distinct ids.
 BIG_GROUP = 10_000
 
 BLANK = "▁"
+# How a byte-level pre-tokenizer cuts texts: a fixed pattern.
+BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+# Beyond Latin, Greek and Cyrillic letters and common marks.
+RARE = re.compile("[^\0-\u052f\u2000-\u206f\u20ac]")
 
 
 class Vocabulary:
@@ -70,57 +78,110 @@ class Vocabulary:
         return self.flat[np.repeat(self.starts[ids] - (after - n), n) + np.arange(after[-1] if len(after) else 0)]
 
 
+def first_entries(data: str) -> list[bytes]:
+    """The bytes of every id of a byte-level tokenizer file."""
+    letters = {letter: byte for byte, letter in byte_letters().items()}
+    file = json.loads(data)
+    ids = {**file["model"]["vocab"], **{t["content"]: t["id"] for t in file["added_tokens"]}}
+    entries = [b""] * (max(ids.values()) + 1)
+    for token, i in ids.items():
+        entries[i] = bytes(letters[c] for c in token) if all(c in letters for c in token) else token.encode()
+    return entries
+
+
+def second_entries(model: bytes) -> list[bytes]:
+    """The bytes of every id of a piece model."""
+    import sentencepiece
+
+    loaded = sentencepiece.SentencePieceProcessor(model_proto=model)
+    pieces = [loaded.id_to_piece(i) for i in range(loaded.get_piece_size())]
+    return [bytes([int(p[3:5], 16)]) if loaded.is_byte(i) else p.replace(BLANK, " ").encode() for i, p in enumerate(pieces)]
+
+
 class FirstTokens:
-    """A space and the text by a byte-level tokenizer file."""
+    """A space and the text by a byte-level tokenizer file.
+
+    Where the ids rise in the order of the merges they are the ranks that another
+    library merges by, twice as fast; it gets the texts of letters
+    and marks whose classes all versions of Unicode agree on. Bytes are always given back.
+    """
 
     def __init__(self, data: str):
-        self.encoder = Encoder(data, 4)
-        self.encoder.tokenizer.encode_special_tokens = True
-        letters = {letter: byte for byte, letter in byte_letters().items()}
-        vocabulary = self.encoder.tokenizer.get_vocab(with_added_tokens=True)
-        entries = [b""] * (max(vocabulary.values()) + 1)
-        for token, i in vocabulary.items():
-            entries[i] = bytes(letters[c] for c in token) if all(c in letters for c in token) else token.encode()
-        self.vocabulary = Vocabulary(entries)
-        # A word in front keeps the first space where the encoder looks for words; its ids are cut off.
-        self.lead = len(self.encoder.tokenizer.encode("x", add_special_tokens=False).ids)
-
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        coded = self.encoder.encode(pa.array(["x " + t for t in texts], pa.string()))
-        return [np.frombuffer(c, "<u4")[self.lead :].astype(np.int64) for c in coded]
+        file = json.loads(data)
+        self.data = data
+        merges = [m if isinstance(m, str) else " ".join(m) for m in file["model"]["merges"]]
+        made = [file["model"]["vocab"][m.replace(" ", "")] for m in merges]
+        kind = file["pre_tokenizer"] or {}
+        self.ranked = made == sorted(made) and kind.get("type") == "ByteLevel" and kind.get("use_regex", True) and not file["normalizer"]
+        if self.ranked:
+            import tiktoken
+
+            special = {t["id"] for t in file["added_tokens"]}
+            ranks = {e: i for i, e in enumerate(first_entries(data)) if i not in special}
+            self.ranks = tiktoken.Encoding("ranks", pat_str=BYTE_LEVEL, mergeable_ranks=ranks, special_tokens={})
+
+    @functools.cached_property
+    def library(self):
+        from tokenizers import Tokenizer
+
+        loaded = Tokenizer.from_str(self.data)
+        loaded.encode_special_tokens = True  # their strings are plain text
+        return loaded
+
+    def encode(self, texts: list[str]) -> list[np.ndarray | None]:
+        """The ids of every text; None for an empty one."""
+        out: list[np.ndarray | None] = []
+        for text in texts:
+            if not text:
+                out.append(None)
+            elif self.ranked and not RARE.search(text):
+                out.append(np.array(self.ranks.encode_ordinary(" " + text), np.int64))
+            else:
+                out.append(np.array(self.library.encode(" " + text, add_special_tokens=False).ids, np.int64))
+        return out
 
 
 class SecondTokens:
-    """Texts by a piece model, which adds the space; no piece crosses a single blank, so words are encoded one by one."""
+    """Texts by a piece model, which adds the space.
+
+    No piece crosses a single blank, so words are encoded one by one and remembered. A word
+    that its ids don't give back sends its text the slow way, whole.
+    """
 
     def __init__(self, model: bytes):
         import sentencepiece
 
         self.model = sentencepiece.SentencePieceProcessor(model_proto=model)
-        pieces = [self.model.id_to_piece(i) for i in range(self.model.get_piece_size())]
-        self.vocabulary = Vocabulary([
-            bytes([int(p[3:5], 16)]) if self.model.is_byte(i) else p.replace(BLANK, " ").encode() for i, p in enumerate(pieces)
-        ])
+        self.vocabulary = Vocabulary(second_entries(model))
+        pieces = [self.model.id_to_piece(i) for i in range(len(self.vocabulary))]
         self.by_words = not any(BLANK in p[1:] and p.strip(BLANK) for p in pieces)
-        self.known: dict[str, bytes] = {}
-
-    def _plain(self, text: str) -> bytes:
-        return np.array(self.model.encode(text, num_threads=1), np.int64).tobytes()
-
-    def _word(self, word: str) -> bytes:
-        ids = self.known.get(word)
-        if ids is None:
-            ids = self._plain(word)
-            if len(self.known) < REMEMBERED:
-                self.known[word] = ids
-        return ids
-
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        out = []
-        for text in texts:
-            words = text.split(" ")
-            whole = not self.by_words or "" in words or BLANK in text
-            out.append(np.frombuffer(self._plain(text) if whole else b"".join(map(self._word, words)), np.int64))
+        self.known: dict[str, bytes | None] = {}
+
+    def _learn(self, words: list[str]) -> None:
+        ids = [array("I", i).tobytes() for i in self.model.encode(words, num_threads=1)]
+        if self.vocabulary.joined(np.frombuffer(b"".join(ids), "<u4")).tobytes() == "".join(" " + w for w in words).encode():
+            self.known.update(zip(words, ids))
+            return
+        for word, own in zip(words, ids):
+            self.known[word] = own if self.vocabulary.joined(np.frombuffer(own, "<u4")).tobytes() == (" " + word).encode() else None
+
+    def encode(self, texts: list[str]) -> list[np.ndarray | None]:
+        """The ids of every text, or None for one that is empty or that its tokens don't give back."""
+        lists = [t.split(" ") for t in texts]
+        lists = [w if self.by_words and "" not in w and BLANK not in t else [] for w, t in zip(lists, texts)]
+        wanted = {w for words in lists for w in words}
+        new = wanted.difference(self.known)
+        if len(self.known) + len(new) > REMEMBERED:
+            self.known, new = {}, wanted
+        self._learn(list(new))
+        out: list[np.ndarray | None] = []
+        for text, words in zip(texts, lists):
+            coded = [self.known[w] for w in words]
+            if text and coded and None not in coded:
+                out.append(np.frombuffer(b"".join(coded), "<u4").astype(np.int64))
+                continue
+            ids = np.array(self.model.encode(text, num_threads=1), np.int64)
+            out.append(ids if text and self.vocabulary.joined(ids).tobytes() == (" " + text).encode() else None)
         return out
 
 
@@ -183,7 +244,8 @@ class Writer:
     """Groups as text: A ids, a bar and B ids, groups apart by semicolons."""
 
     def __init__(self, most: int):
-        self.table = [f"{i}{mark}".encode() for i in range(most) for mark in ",|;"]
+        told = np.array([f"{i}{mark}".encode() for i in range(most) for mark in ",|;"])
+        self.table = told.view(np.uint8).reshape(len(told), -1)  # short entries are filled with zeros
 
     def marked(self, a: np.ndarray, b: np.ndarray, cut_a: np.ndarray, cut_b: np.ndarray) -> np.ndarray:
         """Ids of both lists in the order in which they are written, each with the mark that follows it."""
@@ -196,37 +258,22 @@ class Writer:
         return out
 
     def text(self, marked: np.ndarray) -> bytes:
-        return b"".join(map(self.table.__getitem__, marked.tolist()))
+        told = self.table[marked]
+        return told[told != 0].tobytes()
 
 
 class Aligner:
-    """Both tokenizers of a worker, and the alignment of texts and pieces."""
+    """Alignment of texts and pieces, given how many bytes every id stands for."""
 
-    def __init__(self, first: str, second: bytes, piece: int):
-        self.first, self.second, self.piece = FirstTokens(first), SecondTokens(second), piece
-        self.space = len(self.first.vocabulary), len(self.second.vocabulary)
+    def __init__(self, lengths_a: np.ndarray, lengths_b: np.ndarray, piece: int):
+        self.lengths_a, self.lengths_b, self.piece = lengths_a, lengths_b, piece
+        self.space = len(lengths_a), len(lengths_b)
         self.writer = Writer(max(self.space))
 
-    def _given_back(self, texts: list[str], a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
-        """Which texts are not empty and equal the bytes of their tokens, a space in front."""
-        raw = [(" " + t).encode() for t in texts]
-        sizes = np.array([len(r) for r in raw])
-        sound = sizes > 1
-        for ids, words in ((a, self.first.vocabulary), (b, self.second.vocabulary)):
-            sound &= sizes == np.array([int(words.lengths[i].sum()) for i in ids])
-        rows = np.flatnonzero(sound)
-        if len(rows):
-            told = np.frombuffer(b"".join(raw[k] for k in rows), np.uint8)
-            first = np.cumsum(sizes[rows]) - sizes[rows]
-            for ids, words in ((a, self.first.vocabulary), (b, self.second.vocabulary)):
-                wrong = words.joined(np.concatenate([ids[k] for k in rows])) != told
-                sound[rows] &= np.add.reduceat(wrong.astype(np.int64), first) == 0
-        return sound
-
     def _finished(self, a: list[np.ndarray], b: list[np.ndarray]) -> list[dict]:
         """The results of texts of one piece: laid end to end, they share no group, since all texts end in both lists."""
         whole_a, whole_b = np.concatenate(a), np.concatenate(b)
-        cut_a, cut_b = cuts(np.cumsum(self.first.vocabulary.lengths[whole_a]), np.cumsum(self.second.vocabulary.lengths[whole_b]))
+        cut_a, cut_b = cuts(np.cumsum(self.lengths_a[whole_a]), np.cumsum(self.lengths_b[whole_b]))
         end_a, end_b = np.cumsum([len(x) for x in a]), np.cumsum([len(x) for x in b])
         last = np.searchsorted(cut_a, end_a)  # the last group of each text
         n_groups = np.diff(last, prepend=-1)
@@ -246,7 +293,7 @@ class Aligner:
 
     def _pieces(self, a: np.ndarray, b: np.ndarray) -> Iterator[dict]:
         """A long text in pieces of equal work."""
-        ends_a, ends_b = np.cumsum(self.first.vocabulary.lengths[a]), np.cumsum(self.second.vocabulary.lengths[b])
+        ends_a, ends_b = np.cumsum(self.lengths_a[a]), np.cumsum(self.lengths_b[b])
         bounds = [diagonal(ends_a, ends_b, d) for d in range(0, len(a) + len(b), self.piece)] + [(len(a), len(b))]
         for k, ((i, j), (to_i, to_j)) in enumerate(zip(bounds, bounds[1:])):
             yield {
@@ -255,11 +302,10 @@ class Aligner:
                 "before_a": int(ends_a[i - 1]) if i else 0, "before_b": int(ends_b[j - 1]) if j else 0,
             }
 
-    def texts(self, texts: list[str]) -> Iterator[tuple[int, dict]]:
-        """(place of the text, result or piece)."""
-        a, b = self.first.encode(texts), self.second.encode(texts)
-        sound = self._given_back(texts, a, b)
-        short = [k for k in np.flatnonzero(sound) if len(a[k]) + len(b[k]) <= self.piece]
+    def texts(self, a: list[np.ndarray | None], b: list[np.ndarray | None]) -> Iterator[tuple[int, dict]]:
+        """(place of the text, result or piece) from the ids of texts."""
+        sound = [x is not None and y is not None for x, y in zip(a, b)]
+        short = [k for k, good in enumerate(sound) if good and len(a[k]) + len(b[k]) <= self.piece]
         if short:
             yield from zip(short, self._finished([a[k] for k in short], [b[k] for k in short]))
         for k, good in enumerate(sound):
@@ -272,7 +318,7 @@ class Aligner:
         """One piece: the groups whole inside it, and the tokens before its first and behind its last common end."""
         a, b = (np.frombuffer(row[c], "<u4").astype(np.int64) for c in "ab")
         cut_a, cut_b = cuts(
-            row["before_a"] + np.cumsum(self.first.vocabulary.lengths[a]), row["before_b"] + np.cumsum(self.second.vocabulary.lengths[b])
+            row["before_a"] + np.cumsum(self.lengths_a[a]), row["before_b"] + np.cumsum(self.lengths_b[b])
         )
         closed = len(cut_a) > 0
         # A text begins with a cut; any other piece may begin inside a group.
@@ -282,35 +328,33 @@ class Aligner:
         links = link(a[x:to_x], b[y:to_y], inner_a, inner_b, np.zeros(len(inner_a), np.int64), 1, self.space)
         return {
             "closed": closed, "n_groups": len(inner_a), "n_links": int((np.diff(inner_a, prepend=0) * np.diff(inner_b, prepend=0)).sum()),
-            "groups": self.writer.text(self.writer.marked(a[x:to_x], b[y:to_y], inner_a, inner_b)), "pairs": links.pairs, "times": links.times,
-            "head_a": a[:x], "head_b": b[:y], "tail_a": a[to_x:], "tail_b": b[to_y:],
+            "groups": self.writer.text(self.writer.marked(a[x:to_x], b[y:to_y], inner_a, inner_b)), "pairs": links.pairs.tobytes(), "times": links.times.tobytes(),
+            "head_a": a[:x].tobytes(), "head_b": b[:y].tobytes(), "tail_a": a[to_x:].tobytes(), "tail_b": b[to_y:].tobytes(),
         }
 
     def stitched(self, pieces: list[dict]) -> dict:
         """The result of a text from its pieces, in order."""
         text, pairs, times = [], [], []
         n_groups = n_links = n_a = n_b = 0
-        open_a, open_b = [], []
+        open_a, open_b = b"", b""
         for p in pieces:
-            open_a.extend(p["head_a"])
-            open_b.extend(p["head_b"])
+            open_a, open_b = open_a + p["head_a"], open_b + p["head_b"]
             n_a, n_b = n_a + p["n_a"], n_b + p["n_b"]
             if p["closed"]:
                 if open_a or open_b:
-                    a, b = np.array(open_a, np.int64), np.array(open_b, np.int64)
+                    a, b = np.frombuffer(open_a, np.int64), np.frombuffer(open_b, np.int64)
                     ends = np.array([len(a)]), np.array([len(b)])
                     across = link(a, b, *ends, np.zeros(1, np.int64), 1, self.space)
                     text.append(self.writer.text(self.writer.marked(a, b, *ends)))
                     pairs.append(across.pairs)
                     times.append(across.times)
                     n_groups, n_links = n_groups + 1, n_links + len(a) * len(b)
-                open_a, open_b = [], []
+                open_a, open_b = b"", b""
                 text.append(p["groups"])
-                pairs.append(np.array(p["pairs"], np.int64))
-                times.append(np.array(p["times"], np.int64))
+                pairs.append(np.frombuffer(p["pairs"], np.int64))
+                times.append(np.frombuffer(p["times"], np.int64))
                 n_groups, n_links = n_groups + p["n_groups"], n_links + p["n_links"]
-            open_a.extend(p["tail_a"])
-            open_b.extend(p["tail_b"])
+            open_a, open_b = open_a + p["tail_a"], open_b + p["tail_b"]
         ids, place = np.unique(np.concatenate(pairs), return_inverse=True)
         summed = np.zeros(len(ids), np.int64)
         np.add.at(summed, place, np.concatenate(times))
@@ -322,9 +366,7 @@ class Aligner:
 NUMBERS = "row long, n_a long, n_b long, n_groups long, n_links long, groups binary"
 LISTS = "pairs array<long>, times array<int>"
 TEXT_ROWS = f"{NUMBERS}, {LISTS}, piece int, pieces int, a binary, b binary, before_a long, before_b long"
-PIECE_ROWS = (
-    f"{NUMBERS}, {LISTS}, piece int, closed boolean, head_a array<int>, head_b array<int>, tail_a array<int>, tail_b array<int>"
-)
+PIECE_ROWS = f"{NUMBERS}, pairs binary, times binary, piece int, closed boolean, head_a binary, head_b binary, tail_a binary, tail_b binary"
 
 
 def _batch(rows: list[dict], schema: pa.Schema) -> pa.RecordBatch:
@@ -341,19 +383,20 @@ def _arrow(schema: str) -> pa.Schema:
 
 @dataclass(frozen=True)
 class Tokenizers:
-    """The files of both tokenizers, read by the driver: some megabytes at most."""
+    """The files of both tokenizers, read by the driver, and the bytes per id: some megabytes at most."""
 
     first: str
     second: bytes
+    lengths_a: np.ndarray
+    lengths_b: np.ndarray
     piece: int = PIECE
 
     @staticmethod
     def load(first: str, second: str, piece: int = PIECE) -> Tokenizers:
+        data = load_tokenizer(first)
         with open(second, "rb") as file:
-            return Tokenizers(load_tokenizer(first), file.read(), piece)
-
-    def aligner(self) -> Aligner:
-        return Aligner(self.first, self.second, self.piece)
+            model = file.read()
+        return Tokenizers(data, model, Vocabulary(first_entries(data)).lengths, Vocabulary(second_entries(model)).lengths, piece)
 
 
 def _finish(result: dict, whole: bool) -> dict:
@@ -372,12 +415,16 @@ def align(docs: DataFrame, tokenizers: Tokenizers, text: str = "text", whole: bo
     kind = docs.schema["doc_id"].dataType
     first = T._parse_datatype_string(TEXT_ROWS)
 
+    sizes = tokenizers.lengths_a, tokenizers.lengths_b, tokenizers.piece
+
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        aligner, schema = tokenizers.aligner(), _arrow(TEXT_ROWS)
+        aligner, schema = Aligner(*sizes), _arrow(TEXT_ROWS)
+        first, second = FirstTokens(tokenizers.first), SecondTokens(tokenizers.second)
         for batch in batches:
             for part in in_parts(batch, most=TEXT_BYTES):
                 numbers, ids = part.column("row").to_pylist(), part.column("doc_id")
-                found = list(aligner.texts(pc.fill_null(part.column("text"), "").to_pylist()))
+                texts = pc.fill_null(part.column("text"), "").to_pylist()
+                found = list(aligner.texts(first.encode(texts), second.encode(texts)))
                 rows = [_finish(r, whole) | {"row": numbers[k]} for k, r in found]
                 out = _batch(rows, schema)
                 of = ids.take(pa.array([int(k) for k, _ in found], pa.int64()))
@@ -386,13 +433,13 @@ def align(docs: DataFrame, tokenizers: Tokenizers, text: str = "text", whole: bo
     texts = materialise(numbered.mapInArrow(read, T.StructType([*first.fields, T.StructField("doc_id", kind)])))
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        aligner, schema = tokenizers.aligner(), _arrow(PIECE_ROWS)
+        aligner, schema = Aligner(*sizes), _arrow(PIECE_ROWS)
         for batch in batches:
             for row in batch.to_pylist():
                 yield _batch([row | aligner.merged(row)], schema)
 
     def stitch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        aligner, schema = tokenizers.aligner(), _arrow(f"{NUMBERS}, {LISTS}")
+        aligner, schema = Aligner(*sizes), _arrow(f"{NUMBERS}, {LISTS}")
         for batch in batches:
             for row in batch.to_pylist():
                 yield _batch([_finish(aligner.stitched(row["of"]), whole) | {"row": row["row"]}], schema)
@@ -447,8 +494,7 @@ def link_sums(aligned: DataFrame, counts: DataFrame, most: int = FREQUENT) -> Da
 def align_and_count(docs: DataFrame, tokenizers: Tokenizers, text: str = "text", whole: bool = False) -> DataFrame:
     """Documents with their counts, groups, and the corpus-wide counts of their links."""
     aligned = align(docs, tokenizers, text, whole)
-    width = tokenizers.aligner().space[1]
-    counts = pair_counts(aligned, width)
+    counts = pair_counts(aligned, len(tokenizers.lengths_b))
     sums = link_sums(aligned, materialise(counts))
     numbers = aligned.drop("pairs", "times").join(sums, "row", "left")
     return numbers.select(

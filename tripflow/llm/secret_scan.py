@@ -53,6 +53,7 @@ Span = tuple[int, int, str]
 TRAIN_DOCS = 2_000
 TRAIN_STRETCHES = 12
 PLANTED = 6
+MOST_ROUNDS = 20
 TRAIN_CHARS = 100_000
 
 # The field.
@@ -424,19 +425,22 @@ def train(docs: DataFrame, most_docs: int = TRAIN_DOCS) -> Field:
     ids = known.select("doc_id").distinct().orderBy(F.xxhash64(F.lit(11), "doc_id"), "doc_id").limit(most_docs)
     chosen = materialise(ids)  # at most most_docs rows
     sample = known.join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"))
+    # A small corpus is gone through several times, with other pieces planted.
+    rounds = min(MOST_ROUNDS, -(-most_docs // max(1, chosen.count())))
+    sample = sample.withColumn("round", F.explode(F.sequence(F.lit(1), F.lit(rounds))))
 
     numbers = pa.list_(pa.int32())
     numbers_in_lists = pa.list_(numbers)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
-                whole, gold = training_text(text[:TRAIN_CHARS], zlib.crc32(i.encode()))
+            for i, text, turn in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "round"))):
+                whole, gold = training_text(text[:TRAIN_CHARS], zlib.crc32(f"{turn}:{i}".encode()))
                 slots, tags = zip(*rows) if (rows := list(training_rows(whole, gold))) else ((), ())
                 columns = [pa.array([i] * len(rows), pa.string()), pa.array(slots, numbers_in_lists), pa.array(tags, numbers)]
                 yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "slots", "tags"])
 
-    rows = sample.mapInArrow(run, "doc_id string, slots array<array<int>>, tags array<int>").collect()  # most_docs * TRAIN_STRETCHES at most
+    rows = sample.mapInArrow(run, "doc_id string, slots array<array<int>>, tags array<int>").collect()  # 2 * most_docs * TRAIN_STRETCHES at most
     return fit([(r["slots"], r["tags"]) for r in sorted(rows)])
 
 
@@ -445,22 +449,24 @@ FIELDS = ("n_assign", "n_access", "n_hex", "n_crf")
 
 def scan(docs: DataFrame, field: Field) -> DataFrame:
     """Every document with its spans (an array of kind, start, end in code points) and their numbers per kind."""
-    docs = docs.drop("spans", *FIELDS)
-    names = docs.columns
+    docs = docs.select(*[f"`{c}`" for c in docs.columns if c not in ("spans", *FIELDS)])
+    plain = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])  # names with a dot aren't found by mapInArrow
+    at = docs.columns.index("text")
     kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
+    more = [T.StructField(c, T.LongType()) for c in FIELDS]
     span = T.StructType([T.StructField("kind", T.StringType()), T.StructField("start", T.LongType()), T.StructField("end", T.LongType())])
+    schema = T.StructType([*docs.schema.fields, *more, T.StructField("spans", T.ArrayType(span))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found, counts = [], {k: [] for k in KINDS}
-            for text in batch.column("text"):
+            for text in batch.column(at):
                 spans = all_spans(text.as_py() or "", field)[1]
                 spans.sort(key=lambda s: (s[0], KINDS.index(s[2]), s[1]))
                 found.append([{"kind": k, "start": a, "end": b} for a, b, k in spans])
                 for k in KINDS:
                     counts[k].append(sum(s[2] == k for s in spans))
-            columns = [*(batch.column(c) for c in names), *(pa.array(counts[k], pa.int64()) for k in KINDS), pa.array(found, kind)]
-            yield pa.RecordBatch.from_arrays(columns, names=[*names, *FIELDS, "spans"])
+            columns = [*batch.columns, *(pa.array(counts[k], pa.int64()) for k in KINDS), pa.array(found, kind)]
+            yield pa.RecordBatch.from_arrays(columns, names=[f.name for f in schema.fields])
 
-    more = [*(T.StructField(c, T.LongType()) for c in FIELDS), T.StructField("spans", T.ArrayType(span))]
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, *more]))
+    return plain.mapInArrow(run, schema)
