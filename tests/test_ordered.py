@@ -185,3 +185,45 @@ def test_copies_that_are_not_folded_spread_over_ranges(spark, monkeypatch):
     assert totals.columns == ["k", "v", "running_total"] and sorted(int(r.running_total) for r in totals.collect()) == list(range(1, 601))
     assert sort_rows(maps, ["k"], ranges=6, hot_copies=10).columns == ["k", "m"]
     assert len(sizes) == 2 and max(sizes) < 300
+
+
+GROUPS = [["k"], ["k", "i"], ["v"]]
+
+
+@pytest.mark.parametrize("groups", GROUPS, ids=str)
+@pytest.mark.parametrize("order", [["i"], [Key("v", False)], ["k", Key("v")]], ids=str)
+@pytest.mark.parametrize("hot_copies", [10, 1_000_000])
+def test_windows_within_groups(skewed, groups, order, hot_copies):
+    """Hot groups span several ranges, small ones share a range; null is a group; numbers start again in each."""
+    order = [k for k in order if (k.name if isinstance(k, Key) else k) not in groups] or ["i"]
+    own = Window.partitionBy(*groups)
+    all_keys = own.orderBy(*spark_order(skewed, order))
+    peers = own.orderBy(*spark_order(skewed, order, ties=False))
+    options = {"ranges": 5, "groups": groups}
+    expected = skewed.withColumn("row_number", F.row_number().over(all_keys).cast("bigint"))
+    assert rows_of(number_rows(skewed, order, hot_copies=hot_copies, chunk=64, **options)) == rows_of(expected)
+    expected = skewed.withColumn("running_total", F.sum("v").over(all_keys.rowsBetween(Window.unboundedPreceding, 0)))
+    assert rows_of(running_total(skewed, "v", order, hot_copies=hot_copies, chunk=64, **options)) == rows_of(expected)
+    if hot_copies == 10:
+        ranks = {"rank": F.rank().over(peers).cast("bigint"), "dense_rank": F.dense_rank().over(peers).cast("bigint")}
+        assert rows_of(rank_rows(skewed, order, **options)) == rows_of(skewed.withColumns(ranks))
+        expected = skewed.withColumn("running_total", F.sum("v").over(peers))
+        assert rows_of(running_total(skewed, "v", order, frame="range", **options)) == rows_of(expected)
+
+
+def test_one_group_spans_many_ranges(spark):
+    rows = spark.range(4_000).select(F.lit("all").alias("g"), (F.col("id") * 7 % 4_001).alias("x"))
+    got = number_rows(rows, ["x"], ranges=9, groups=["g"])
+    assert [r.row_number for r in got.orderBy("x").collect()] == list(range(1, 4_001))
+    assert number_rows(rows.limit(0), ["x"], groups=["g"]).count() == 0
+
+
+def test_only_the_order_key_is_read_where_no_key_is_hot(spark, monkeypatch):
+    looked = []
+    real = ordered.has_hot_group
+    monkeypatch.setattr(ordered, "has_hot_group", lambda df, columns, *a: looked.append(list(columns)) or real(df, columns, *a))
+    rows = spark.range(100).select("id", F.lit("x").alias("wide"))
+    sort_rows(rows, ["id"])
+    number_rows(rows, ["id"], groups=["wide"])
+    running_total(rows, "id", ["id"])
+    assert looked == [["id"], ["wide", "id"], ["id"]]

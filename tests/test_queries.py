@@ -20,7 +20,7 @@ def con(sf_dir):
 def test_oracles_belong_to_queries():
     assert set(QUERIES) <= set(contract.queries()) and set(ORACLES) <= set(contract.oracle_sql())
     assert set(ORACLES) <= set(QUERIES)
-    assert set(QUERIES) - set(ORACLES) == {"pca_explained", "sample_seeded"}
+    assert set(QUERIES) - set(ORACLES) == {"pca_explained"}
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
@@ -36,8 +36,6 @@ def test_query_matches_sql(spark, sf_dir, con, name):
 def test_query_without_sql_is_repeatable(spark, sf_dir, name):
     first, second = (sorted(map(repr, QUERIES[name](spark, sf_dir).collect())) for _ in range(2))
     assert len(first) == len(second) > 0
-    if name == "sample_seeded":
-        assert first == second
 
 
 def test_directory_scan_reads_all_orders_from_several_files(spark, sf_dir):

@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 from pyspark.errors import AnalysisException
 
 from tripflow.session import (
@@ -180,3 +181,38 @@ def test_entries_of_a_folder_whose_name_repeats(spark, tmp_path):
     assert [p.rsplit("/", 1)[-1] for p in list_entries(spark, str(folder))] == ["yellow_tripdata_1.parquet"]
     assert len(list_paths(spark, str(folder), "yellow_*")) == 1
     assert [p.rsplit("/", 1)[-1] for p in list_entries(spark, str(tmp_path / "raw"))] == ["2024"]
+
+
+def test_rows_of_unlike_files(spark, tmp_path):
+    import datetime
+
+    from tripflow.sources.files import sample_cells, sample_rows
+
+    raw = str(tmp_path / "raw")
+    first = spark.createDataFrame([(i, datetime.datetime(2024, 1, i + 1)) for i in range(9)], "id int, at timestamp_ntz").coalesce(1)
+    save(first, f"{raw}/a_1.parquet")
+    save(spark.createDataFrame([("x", None, [1, 2])], "name string, `odd.name` double, xs array<int>"), f"{raw}/a_2.parquet")
+    save(first.limit(0), f"{raw}/b_1.parquet")
+    frames = bronze_sample(spark, raw, {"a": "a_*", "b": "b_*", "none": "c_*"}, rows=3)
+    rows = sample_rows(spark, frames)
+    got = {(r.dataset, r.file_no, r.position): r.schema for r in rows.collect()}
+    assert sorted(got) == [("a", 1, 1), ("a", 1, 2), ("a", 1, 3), ("a", 2, 1)]
+    assert got["a", 1, 1] == "id int, at timestamp_ntz" and got["a", 2, 1] == "name string, odd.name double, xs array<int>"
+    cells = {tuple(r) for r in sample_cells(rows).collect()}
+    assert {c for c in cells if c[1] == 2} == {("a", 2, 1, "name", "x"), ("a", 2, 1, "odd.name", None), ("a", 2, 1, "xs", "[1,2]")}
+    assert ("a", 1, 2, "id", "1") in cells and ("a", 1, 3, "at", "2024-01-03 00:00:00") in cells
+    typed = rows.filter("file_no = 1").selectExpr("variant_get(row, '$.at', 'timestamp_ntz') AS at").collect()
+    assert typed[0].at.year == 2024
+
+
+def test_rows_per_file(spark, tmp_path):
+    from tripflow.sources.files import rows_per_file
+
+    base = str(tmp_path / "tables")
+    save(spark.range(10).repartition(3), f"{base}/many.parquet")
+    save(spark.createDataFrame([("x",)], "other string"), f"{base}/one.parquet")
+    save(spark.range(0).coalesce(1), f"{base}/empty.parquet")
+    files = rows_per_file(spark, base)
+    per_entry = files.groupBy("entry").agg(F.count("path").alias("n"), F.sum("rows").alias("rows")).collect()
+    assert {r.entry: (r.n, r.rows) for r in per_entry} == {"many.parquet": (3, 10), "one.parquet": (1, 1), "empty.parquet": (1, 0)}
+    assert "ReadSchema: struct<>" in files._jdf.queryExecution().executedPlan().toString()

@@ -1,4 +1,4 @@
-"""Whole-table numbering, ranks and running totals without a one-task window.
+"""Numbering, ranks and running totals, over the table or within groups, without a one-task window.
 
 A window without PARTITION BY moves every row to one task. Here the rows are
 range-partitioned by the order, each range is numbered or summed on its own, and
@@ -11,6 +11,11 @@ from a sample that may differ between two runs of the same plan, so totals and
 rows must be read from one copy; it also cuts the lineage, and the totals read
 only their own columns of it.
 
+Within groups the rows are ranged by (group, order), so a group of any size
+covers neighbouring ranges, and many small ones share a range. Numbers and totals start again
+with each group: only the first group of a range can have begun before it, and
+the totals of its earlier ranges are one row per range again.
+
 Hot order keys: ranks and RANGE totals first aggregate to one row per order key
 and are joined back with the hot keys split off. Numbering and ROWS totals break
 ties by all other columns, so rows that share an order key still spread over
@@ -60,9 +65,9 @@ def as_keys(order: Sequence[str | Key]) -> list[Key]:
     return [k if isinstance(k, Key) else Key(k) for k in order]
 
 
-def row_keys(df: DataFrame, order: Sequence[str | Key]) -> list[Key]:
-    """The order, then every other column that can be ordered as a tie-breaker."""
-    keys = as_keys(order)
+def row_keys(df: DataFrame, order: Sequence[str | Key], groups: Sequence[str] = ()) -> list[Key]:
+    """The groups and the order, then every other column that can be ordered as a tie-breaker."""
+    keys = as_keys([*groups, *order])
     named = {k.name.lower() for k in keys}
     return keys + [Key(f.name) for f in df.schema.fields if f.name.lower() not in named and _can_be_ordered(f.dataType)]
 
@@ -73,9 +78,15 @@ def _can_be_ordered(kind: DataType) -> bool:
     return _can_be_ordered(kind.elementType) if isinstance(kind, ArrayType) else not isinstance(kind, (MapType, VariantType))
 
 
-def _has_hot_copies(df: DataFrame, ranges: int | None, hot_copies: int) -> bool:
-    """Whether identical rows have to be folded; rows with maps can't be told to be identical and never are."""
-    return all(_can_be_ordered(f.dataType) for f in df.schema.fields) and has_hot_group(df, df.columns, ranges, hot_copies)
+def _has_hot_copies(df: DataFrame, keys: Sequence[Key], ranges: int | None, hot_copies: int) -> bool:
+    """Whether identical rows have to be folded; rows with maps can't be told to be identical and never are.
+
+    Copies share their order key, so all columns are read only where some key is hot.
+    """
+    if not all(_can_be_ordered(f.dataType) for f in df.schema.fields):
+        return False
+    named = [k.name for k in keys]
+    return has_hot_group(df, named, ranges, hot_copies) and has_hot_group(df, df.columns, ranges, hot_copies)
 
 
 def _unfolded(
@@ -105,6 +116,18 @@ def _ranged(df: DataFrame, keys: Sequence[Key], ranges: int | None) -> DataFrame
     return materialise(placed.select("*", F.spark_partition_id().alias(RANGE), position.alias(POSITION)))
 
 
+def _group_offsets(ranged: DataFrame, sums: Sequence[str], groups: Sequence[str]) -> DataFrame:
+    """For every range whose first group began before it, that group's totals of the earlier ranges."""
+    earlier = Window.partitionBy(*groups).orderBy(RANGE).rowsBetween(Window.unboundedPreceding, -1)
+    totals = ranged.groupBy(RANGE, *groups).agg(F.count(F.lit(1)).alias("__rows"), *(F.sum(c).alias(c) for c in sums))
+    return totals.select(
+        F.col(RANGE).alias("__of"),
+        *(F.col(g).alias(f"__group{i}") for i, g in enumerate(groups)),
+        F.sum("__rows").over(earlier).alias("__begun"),
+        *(F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"__offset_{c}") for c in sums),
+    ).filter("__begun IS NOT NULL")
+
+
 def _offsets(ranged: DataFrame, sums: dict[str, Column]) -> DataFrame:
     """For every range the totals of all earlier ones: one row per range, whatever the table's size."""
     earlier = Window.orderBy(RANGE).rowsBetween(Window.unboundedPreceding, -1)
@@ -114,17 +137,26 @@ def _offsets(ranged: DataFrame, sums: dict[str, Column]) -> DataFrame:
     )
 
 
-def _with_sums_before(units: DataFrame, keys: Sequence[Key], sums: Sequence[str], ranges: int | None) -> DataFrame:
-    """Adds before_<c> for every c in sums: the sum over all rows that sort earlier."""
+def _with_sums_before(
+    units: DataFrame, keys: Sequence[Key], sums: Sequence[str], ranges: int | None, groups: Sequence[str] = ()
+) -> DataFrame:
+    """Adds before_<c> for every c in sums: the sum over all rows (of the group) that sort earlier; the groups lead the keys."""
     ranged = _ranged(units, keys, ranges)
-    offsets = _offsets(ranged, {c: F.sum(c) for c in sums})
     last = ranged.agg(F.max(RANGE)).first()[0] or 0
-    within = Window.partitionBy(RANGE).orderBy(POSITION).rowsBetween(Window.unboundedPreceding, -1)
+    within = Window.partitionBy(RANGE, *groups).orderBy(POSITION).rowsBetween(Window.unboundedPreceding, -1)
     # One task per range; hashing the range numbers would put several into one task.
     alone = ranged.repartitionById(last + 1, RANGE)
     local = alone.select("*", *(F.coalesce(F.sum(c).over(within), F.lit(0)).alias(f"__local_{c}") for c in sums))
     before = lambda c: _added(F.col(f"__offset_{c}"), F.col(f"__local_{c}"), local.schema[f"__local_{c}"].dataType)
-    return local.join(F.broadcast(offsets), RANGE).select(*units.columns, *(before(c).alias(f"before_{c}") for c in sums))
+    if not groups:
+        offsets = _offsets(ranged, {c: F.sum(c) for c in sums})
+        return local.join(F.broadcast(offsets), RANGE).select(*units.columns, *(before(c).alias(f"before_{c}") for c in sums))
+    own = F.col(RANGE) == F.col("__of")
+    for i, g in enumerate(groups):
+        own = own & F.col(g).eqNullSafe(F.col(f"__group{i}"))
+    joined = local.join(F.broadcast(_group_offsets(ranged, sums, groups)), own, "left")
+    added = (F.when(F.col("__begun").isNull(), F.col(f"__local_{c}")).otherwise(before(c)) for c in sums)
+    return joined.select(*units.columns, *(a.alias(f"before_{c}") for a, c in zip(added, sums)))
 
 
 def _added(a: Column, b: Column, kind: DataType) -> Column:
@@ -168,19 +200,26 @@ def number_rows(
     ranges: int | None = None,
     hot_copies: int = HOT_ROWS,
     chunk: int = COPY_CHUNK,
+    groups: Sequence[str] = (),
 ) -> DataFrame:
-    """ROW_NUMBER() OVER (ORDER BY order, then all other columns)."""
-    keys = row_keys(df, order)
-    if _has_hot_copies(df, ranges, hot_copies):
-        return _number_folded(df, keys, out, ranges, chunk)
-    ranged = _ranged(*_unfolded(df, keys, ranges, hot_copies), ranges)
+    """ROW_NUMBER() OVER ([PARTITION BY groups] ORDER BY order, then all other columns)."""
+    keys = row_keys(df, order, groups)
+    if _has_hot_copies(df, as_keys([*groups, *order]), ranges, hot_copies):
+        return _number_folded(df, keys, out, ranges, chunk, groups)
+    rows, keys = _unfolded(df, keys, ranges, hot_copies)
+    if groups:
+        counted = _with_sums_before(rows.withColumn(COPIES, F.lit(1).cast("bigint")), keys, [COPIES], ranges, groups)
+        return counted.select(*df.columns, (F.col(f"before_{COPIES}") + 1).alias(out))
+    ranged = _ranged(rows, keys, ranges)
     offsets = _offsets(ranged, {"n": F.count(F.lit(1))})
     number = F.col("__offset_n") + F.col(POSITION) + 1
     return ranged.join(F.broadcast(offsets), RANGE).select(*df.columns, number.alias(out))
 
 
-def _number_folded(df: DataFrame, keys: Sequence[Key], out: str, ranges: int | None, chunk: int) -> DataFrame:
-    placed = _with_sums_before(_fold_copies(df), keys, [COPIES], ranges)
+def _number_folded(
+    df: DataFrame, keys: Sequence[Key], out: str, ranges: int | None, chunk: int, groups: Sequence[str] = ()
+) -> DataFrame:
+    placed = _with_sums_before(_fold_copies(df), keys, [COPIES], ranges, groups)
     number = F.col(f"before_{COPIES}") + F.col(COPY) + 1
     return _expand_copies(placed, chunk).select(*df.columns, number.alias(out))
 
@@ -198,11 +237,13 @@ def rank_rows(
     rank: str = "rank",
     dense_rank: str = "dense_rank",
     ranges: int | None = None,
+    groups: Sequence[str] = (),
 ) -> DataFrame:
-    """RANK() and DENSE_RANK() OVER (ORDER BY order)."""
-    keys = as_keys(order)
+    """RANK() and DENSE_RANK() OVER ([PARTITION BY groups] ORDER BY order)."""
+    keys = as_keys([*groups, *order])
     peers, renamed = _per_key(df, keys)
-    placed = _with_sums_before(peers.withColumn("__one", F.lit(1).cast("bigint")), renamed, ["__n", "__one"], ranges)
+    own = [k.name for k in renamed[: len(groups)]]
+    placed = _with_sums_before(peers.withColumn("__one", F.lit(1).cast("bigint")), renamed, ["__n", "__one"], ranges, own)
     ranked = placed.select(
         *(r.name for r in renamed),
         "__n",
@@ -224,28 +265,30 @@ def running_total(
     ranges: int | None = None,
     hot_copies: int = HOT_ROWS,
     chunk: int = COPY_CHUNK,
+    groups: Sequence[str] = (),
 ) -> DataFrame:
-    """SUM(value) OVER (ORDER BY order ROWS | RANGE UNBOUNDED PRECEDING).
+    """SUM(value) OVER ([PARTITION BY groups] ORDER BY order ROWS | RANGE UNBOUNDED PRECEDING).
 
     ROWS adds row by row, ties broken by all other columns; RANGE gives rows
     with equal order keys the same total. Null until the first known value.
     """
     if frame == "rows":
-        return _running_rows(df, value, order, out, ranges, hot_copies, chunk)
+        return _running_rows(df, value, order, out, ranges, hot_copies, chunk, groups)
     if frame == "range":
-        return _running_range(df, value, order, out, ranges)
+        return _running_range(df, value, order, out, ranges, groups)
     raise ValueError(f"unknown frame {frame!r}")
 
 
 def _running_rows(
-    df: DataFrame, value: str, order: Sequence[str | Key], out: str, ranges: int | None, hot_copies: int, chunk: int
-) -> DataFrame:
-    keys = row_keys(df, order)
+    df: DataFrame, value: str, order: Sequence[str | Key], out: str, ranges: int | None, hot_copies: int, chunk: int,
+    groups: Sequence[str],
+) -> DataFrame:
+    keys = row_keys(df, order, groups)
     result = df.select(F.sum(value).alias(out)).schema[0].dataType
     # A wide decimal times a count would lose digits: its copies are added one by one.
     kind = df.schema[value].dataType
     exact = not isinstance(kind, DecimalType) or kind.precision + COUNT_DIGITS <= 38
-    folded = exact and _has_hot_copies(df, ranges, hot_copies)
+    folded = exact and _has_hot_copies(df, as_keys([*groups, *order]), ranges, hot_copies)
     if folded:
         units = _fold_copies(df)
     else:
@@ -256,7 +299,7 @@ def _running_rows(
     units = units.withColumns(
         {"__sum": F.coalesce(times(F.col(COPIES)), F.lit(0).cast(result)), "__known": known * F.col(COPIES)}
     )
-    rows = _with_sums_before(units, keys, [COPIES, "__sum", "__known"] if folded else ["__sum", "__known"], ranges)
+    rows = _with_sums_before(units, keys, [COPIES, "__sum", "__known"] if folded else ["__sum", "__known"], ranges, groups)
     rows = _expand_copies(rows, chunk) if folded else rows.withColumn(COPY, F.lit(0).cast("bigint"))
     own = F.coalesce(times(F.col(COPY) + 1), F.lit(0).cast(result))
     total = F.when(F.col("before___known") + known > 0, _added(F.col("before___sum").cast(result), own.cast(result), result).cast(result))
@@ -264,13 +307,13 @@ def _running_rows(
 
 
 def _running_range(
-    df: DataFrame, value: str, order: Sequence[str | Key], out: str, ranges: int | None
+    df: DataFrame, value: str, order: Sequence[str | Key], out: str, ranges: int | None, groups: Sequence[str]
 ) -> DataFrame:
-    keys = as_keys(order)
+    keys = as_keys([*groups, *order])
     peers, renamed = _per_key(
         df, keys, F.coalesce(F.sum(value), F.lit(0)).alias("__sum"), F.count(value).alias("__known")
     )
-    placed = _with_sums_before(peers, renamed, ["__sum", "__known"], ranges)
+    placed = _with_sums_before(peers, renamed, ["__sum", "__known"], ranges, [k.name for k in renamed[: len(groups)]])
     total = F.when(F.col("before___known") + F.col("__known") > 0, F.col("before___sum") + F.col("__sum"))
     totals = placed.select(*(r.name for r in renamed), "__n", total.alias("__total"))
     joined = attach_per_key(df, totals, [(k.name, r.name) for k, r in zip(keys, renamed)], "__n", ranges)
@@ -294,7 +337,7 @@ def sort_rows(
     Where a large group of identical rows exists the rows are spread by their position instead.
     """
     keys = row_keys(df, order)
-    if not _has_hot_copies(df, ranges, hot_copies):
+    if not _has_hot_copies(df, as_keys(order), ranges, hot_copies):
         rows, keys = _unfolded(df, keys, ranges, hot_copies)
         return rows.orderBy(*(k.column() for k in keys)).select(*df.columns)
     return _number_folded(df, keys, "__number", ranges, chunk).orderBy("__number").drop("__number")

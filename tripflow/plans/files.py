@@ -15,7 +15,6 @@ from tripflow.plans.projections import SIZE_SQL, parts_by_size
 from tripflow.session import scratch_path, shuffle_parts, unique_name
 from tripflow.sources import (
     bronze_sample,
-    discover_files,
     ensure_layer,
     ingest,
     publish_table,
@@ -28,7 +27,12 @@ from tripflow.sources import (
     save,
     table_exists,
 )
-from tripflow.sources.files import file_name, schema_rows
+from tripflow.sources.files import rows_per_file, sample_cells, sample_rows, schema_rows
+
+
+TABLES = (
+    "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
+).split()
 
 
 def fresh_layer(spark, prefix: str) -> str:
@@ -121,32 +125,45 @@ def text_lines(spark, sf):
     return word_counts(read_text_lines(spark, path))
 
 
-# One file per table; its name is all that does not depend on the data.
 @query(
     "discover_files",
-    """SELECT unnest(['benchmark.parquet', 'conversations.parquet', 'customer.parquet', 'documents.parquet',
-                      'embeddings.parquet', 'events.parquet', 'labels.parquet', 'lineitem.parquet',
-                      'nation.parquet', 'orders.parquet', 'pages.parquet', 'part.parquet', 'region.parquet',
-                      'supplier.parquet']) AS file, true AS has_bytes""",
+    " UNION ALL ".join(
+        f"SELECT '{name}.parquet' AS entry, count(*) AS rows, true AS has_bytes FROM {name}" for name in TABLES
+    ),
 )
 def list_files(spark, sf):
-    return discover_files(spark, sf, "*.parquet").select(
-        file_name().alias("file"), (F.col("length") > 0).alias("has_bytes")
-    )
+    """Every table's files, listed and counted."""
+    files = rows_per_file(spark, sf).groupBy("entry")
+    return files.agg(F.sum("rows").alias("rows"), (F.min("length") > 0).alias("has_bytes"))
+
+
+def _typed(name: str) -> str:
+    """SQL for the columns of a table, with their types as Spark names them."""
+    return f"""SELECT '{name}' AS dataset, column_name AS name, CASE column_type WHEN 'VARCHAR' THEN 'string'
+        WHEN 'INTEGER' THEN 'int' WHEN 'TIMESTAMP' THEN 'timestamp_ntz' ELSE lower(column_type) END AS type
+        FROM (DESCRIBE {name})"""
+
+
+def _first_cells(name: str) -> str:
+    """SQL for the values of the first five rows of a table, as text."""
+    return f"""SELECT '{name}' AS dataset, position, name, value FROM (
+            SELECT position, CAST(COLUMNS(* EXCLUDE (position)) AS VARCHAR)
+            FROM (SELECT *, row_number() OVER () AS position FROM {name} LIMIT 5))
+        UNPIVOT INCLUDE NULLS (value FOR name IN (COLUMNS(* EXCLUDE (position))))"""
 
 
 @query(
     "bronze_sample",
-    """SELECT table_name AS dataset, CAST(1 AS INTEGER) AS file_no, CAST(position AS INTEGER) AS position, name
-       FROM (SELECT 'lineitem' AS table_name, row_number() OVER () AS position, column_name AS name
-             FROM (DESCRIBE lineitem)
-             UNION ALL
-             SELECT 'orders', row_number() OVER (), column_name FROM (DESCRIBE orders))""",
+    f"""SELECT dataset, CAST(1 AS INTEGER) AS file_no, position, name, type, value
+        FROM ({_first_cells("lineitem")} UNION ALL {_first_cells("orders")})
+        JOIN ({_typed("lineitem")} UNION ALL {_typed("orders")}) USING (dataset, name)""",
 )
 def sample_bronze(spark, sf):
-    """The schemas of the first files of each dataset; a pattern without files gives none."""
+    """The first rows of the first files of each dataset, value by value, with their types; a pattern without files gives none."""
     patterns = {"lineitem": "lineitem*.parquet", "orders": "orders*.parquet", "returns": "returns*.parquet"}
-    return schema_rows(spark, bronze_sample(spark, sf, patterns)).drop("type")
+    frames = bronze_sample(spark, sf, patterns, files=1)
+    types = schema_rows(spark, frames).drop("position")
+    return sample_cells(sample_rows(spark, frames)).join(F.broadcast(types), ["dataset", "file_no", "name"])  # a row per column
 
 
 @query("table_roundtrip", "SELECT * FROM orders")

@@ -16,6 +16,7 @@ from tripflow.operators import (
     with_total,
     word_counts,
 )
+from tripflow.operators.sampling import hash_bound, sample_by_hash
 from tripflow.plans.base import query, table
 from tripflow.plans.projections import SIZE_SQL, parts_by_size
 
@@ -272,6 +273,66 @@ def win_total(spark, sf):
     return with_total(lines, "l_quantity", "quantity_overall")
 
 
+# --- windows within groups -------------------------------------------------
+
+FLAGGED = ["l_returnflag", "l_orderkey", "l_linenumber", "l_shipdate", "l_quantity"]
+
+
+def flagged_lines(spark, sf):
+    return table(spark, sf, "lineitem").select(*FLAGGED)
+
+
+@query(
+    "group_row_number",
+    f"""SELECT {", ".join(FLAGGED)}, row_number() OVER (
+            PARTITION BY l_returnflag ORDER BY l_shipdate, l_orderkey, l_linenumber, l_quantity) AS row_number
+        FROM lineitem""",
+)
+def group_row_number(spark, sf):
+    return number_rows(flagged_lines(spark, sf), ["l_shipdate"], groups=["l_returnflag"])
+
+
+@query(
+    "group_rank",
+    f"""SELECT {", ".join(FLAGGED)}, rank() OVER (PARTITION BY l_returnflag ORDER BY l_shipdate DESC) AS rank FROM lineitem""",
+)
+def group_rank(spark, sf):
+    lines = flagged_lines(spark, sf)
+    return rank_rows(lines, [Key("l_shipdate", False)], groups=["l_returnflag"]).drop("dense_rank")
+
+
+@query(
+    "group_dense_rank",
+    """SELECT l_returnflag, l_suppkey, l_quantity,
+              dense_rank() OVER (PARTITION BY l_returnflag, l_suppkey ORDER BY l_quantity DESC) AS dense_rank FROM lineitem""",
+)
+def group_dense_rank(spark, sf):
+    """Many small groups."""
+    lines = table(spark, sf, "lineitem").select("l_returnflag", "l_suppkey", "l_quantity")
+    return rank_rows(lines, [Key("l_quantity", False)], groups=["l_returnflag", "l_suppkey"]).drop("rank")
+
+
+@query(
+    "group_cumsum_rows",
+    f"""SELECT {", ".join(FLAGGED)}, sum(l_quantity) OVER (
+            PARTITION BY l_returnflag ORDER BY l_shipdate, l_orderkey, l_linenumber, l_quantity
+            ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS quantity_so_far
+        FROM lineitem""",
+)
+def group_cumsum_rows(spark, sf):
+    return running_total(flagged_lines(spark, sf), "l_quantity", ["l_shipdate"], "quantity_so_far", groups=["l_returnflag"])
+
+
+@query(
+    "group_cumsum_range",
+    f"""SELECT {", ".join(FLAGGED)},
+            sum(l_quantity) OVER (PARTITION BY l_returnflag ORDER BY l_shipdate) AS quantity_so_far FROM lineitem""",
+)
+def group_cumsum_range(spark, sf):
+    lines = flagged_lines(spark, sf)
+    return running_total(lines, "l_quantity", ["l_shipdate"], "quantity_so_far", frame="range", groups=["l_returnflag"])
+
+
 # --- sorting and sampling --------------------------------------------------
 
 
@@ -303,9 +364,14 @@ def top_k(spark, sf):
     return lines.orderBy(F.col("l_extendedprice").desc(), *rest).limit(10)
 
 
-@query("sample_seeded")
+@query(
+    "sample_seeded",
+    f"""SELECT * FROM lineitem
+        WHERE substr(md5(concat_ws('|', '42', l_orderkey, l_linenumber)), 1, 8) < '{hash_bound(0.01)}'""",
+)
 def sample_seeded(spark, sf):
-    return table(spark, sf, "lineitem").sample(fraction=0.01, seed=42)
+    """One in a hundred, the same rows for any partitioning."""
+    return sample_by_hash(table(spark, sf, "lineitem"), 0.01, 42, ["l_orderkey", "l_linenumber"])
 
 
 # --- set operations --------------------------------------------------------
