@@ -210,7 +210,7 @@ def test_rows_per_file(spark, tmp_path):
 
     base = str(tmp_path / "tables")
     save(spark.range(10).repartition(3), f"{base}/many.parquet")
-    save(spark.createDataFrame([("x",)], "other string"), f"{base}/one.parquet")
+    save(spark.createDataFrame([("x",)], "other string").coalesce(1), f"{base}/one.parquet")
     save(spark.range(0).coalesce(1), f"{base}/empty.parquet")
     files = rows_per_file(spark, base)
     per_entry = files.groupBy("entry").agg(F.count("path").alias("n"), F.sum("rows").alias("rows")).collect()
