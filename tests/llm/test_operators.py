@@ -207,6 +207,34 @@ def test_all_links_are_returned(make_docs, odd_docs, monkeypatch, block):
     assert ngram_join.class_links(odd_docs.limit(0)).count() == ngram_join.link_counts(odd_docs.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("size", [64, 1 << 12])
+def test_many_members_go_by_a_bitmap(spark, make_docs, monkeypatch, size):
+    monkeypatch.setattr(ngram_join, "BROADCAST_COPIES", 0)
+    monkeypatch.setattr(ngram_join.bitmap, "__defaults__", (size,))
+    texts = {i: " ".join(f"w{i % 9}x{k}" for k in range(40 + i % 2)) for i in range(60)}
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in ngram_join.ngram_components(make_docs(texts.values()), 3, 80).collect()}
+    assert got == plain_components(texts, 3, 80)
+    ids = spark.range(-50, 50, 7).select(F.col("id").alias("doc_id"))
+    bits = ngram_join.bitmap(ids, size)
+    assert len(bits) == size and ngram_join.in_bitmap(np.arange(-50, 50, 7), bits).all()
+    assert size == 64 or ngram_join.in_bitmap(np.arange(1_000, 3_000), bits).mean() < 0.01
+
+
+def test_no_text_is_shuffled(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    plans = []
+    real = ngram_join.materialise
+    ngram_join.materialise = lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString()) or real(df)
+    try:
+        plans.append(ngram_join.keep_first(docs, 3, 90)._jdf.queryExecution().executedPlan().toString())
+    finally:
+        ngram_join.materialise = real
+    for plan in plans:
+        for line in plan.splitlines():
+            assert "Exchange" not in line or "text#" not in line, line
+        assert "FileScan" not in plan or "SortMergeJoin" not in plan or "text" not in plan
+
+
 def test_keep_first_of_repeated_rows(odd_docs):
     kept = sorted(r["doc_id"] for r in ngram_join.keep_first(odd_docs.union(odd_docs)).collect())
     assert kept == [0, 1, 2, 3, 4, 5, 7, 8, 9]

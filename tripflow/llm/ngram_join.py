@@ -56,6 +56,8 @@ PER_CLASS = 16
 SHARES = ((6, 10.0), (8, 2.2), (10, 1.6), (64, 1.3))
 # Copies up to this many are told to all tasks; more are shuffled.
 BROADCAST_COPIES = 1_000_000
+# Bytes of the bitmap of ids, where there are more.
+BITMAP_BYTES = 8 << 20
 # Sets in a block of the last comparison, and their tokens, on average.
 BLOCK, BLOCK_TOKENS = 1_024, 4_000_000
 
@@ -222,12 +224,15 @@ def signature_index(heads: DataFrame, percent: int) -> DataFrame:
     return both.mapInArrow(run, "doc_id bigint, n bigint, signature bigint")
 
 
-def whole_sets(docs: DataFrame, size: int) -> DataFrame:
-    """(doc_id, tokens)."""
+def whole_sets(docs: DataFrame, size: int, bits: np.ndarray | None = None) -> DataFrame:
+    """(doc_id, tokens); with a bitmap only of the ids whose bit is set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = WordHashes()
         for batch in batches:
+            if bits is not None:
+                batch = batch.filter(batch.column("doc_id").is_valid())
+                batch = batch.filter(pa.array(in_bitmap(batch.column("doc_id").to_numpy(), bits)))
             for start in range(0, batch.num_rows, 256):
                 some = batch.slice(start, 256)
                 sets = [token_set(t, size, known).view(np.int64) for t in some.column("text").to_pylist()]
@@ -237,6 +242,44 @@ def whole_sets(docs: DataFrame, size: int) -> DataFrame:
     return _read(docs).mapInArrow(run, "doc_id bigint, tokens array<bigint>")
 
 
+def in_bitmap(ids: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    """Whether the bit of each id is set."""
+    places = mixed(ids.view(np.uint64)) % np.uint64(8 * len(bits))
+    return (bits[places >> np.uint64(3)] >> (places & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
+
+
+def bitmap(ids: DataFrame, size: int = BITMAP_BYTES) -> np.ndarray:
+    """A bitmap with a bit set for every id; each task sends its bytes that aren't zero, joined before they reach the driver."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = np.zeros(8 * size, bool)
+        for batch in batches:
+            own[mixed(batch.column(0).to_numpy().view(np.uint64)) % np.uint64(8 * size)] = True
+        words = np.packbits(own, bitorder="little").view(np.int64)
+        at = np.flatnonzero(words)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(words[at])], names=["at", "word"])
+
+    found = ids.mapInArrow(run, "at bigint, word bigint").groupBy("at").agg(F.bit_or("word").alias("word")).toPandas()
+    words = np.zeros(size // 8, np.int64)  # a row per eight bytes at most
+    words[found["at"].to_numpy()] = found["word"].to_numpy()
+    return words.view(np.uint8)
+
+
+def member_sets(docs: DataFrame, members: DataFrame, size: int) -> DataFrame:
+    """(doc_id, tokens) of the documents with these ids, one row per id.
+
+    No text is shuffled: few ids are told to all tasks, and of many a bitmap of
+    bounded size, by which most other texts are dropped where they are
+    read; their sets then are joined exactly.
+    """
+    members = materialise(members.distinct())
+    if members.count() <= BROADCAST_COPIES:
+        sets = whole_sets(docs.join(F.broadcast(members), "doc_id", "left_semi"), size)
+    else:
+        sets = whole_sets(docs, size, bitmap(members)).join(members, "doc_id", "left_semi")
+    return materialise(sets.dropDuplicates(["doc_id"]))
+
+
 def _may_link(n: Column, m: Column, percent: int) -> Column:
     return 100 * F.least(n, m) >= percent * F.greatest(n, m)
 
@@ -339,8 +382,8 @@ def ngram_components(docs: DataFrame, size: int = 5, percent: int = 80) -> DataF
     shared = materialise(index.join(hubs, "signature"))
     star = shared.filter(F.col("doc_id") != F.col("hub")).filter(_may_link(F.col("n"), F.col("hub_n"), percent))
     star = materialise(star.select(F.col("hub").alias("a"), F.col("doc_id").alias("b")).distinct())
-    members = shared.filter("size > 2").select("doc_id").union(star.select("a")).union(star.select("b")).distinct()
-    sets = materialise(whole_sets(docs.join(members, "doc_id", "left_semi"), size).dropDuplicates(["doc_id"]))
+    members = shared.filter("size > 2").select("doc_id").union(star.select("a")).union(star.select("b"))
+    sets = member_sets(docs, members, size)
     links = materialise(verified(star, sets, percent))
     found = components(links)
 
@@ -367,9 +410,7 @@ def _component_cells(docs: DataFrame, size: int, percent: int) -> tuple[DataFram
     heads = materialise(heads.select("doc_id", F.col("n_shingles").alias("n"), F.col("component_id").alias("component")).distinct())
     several = heads.groupBy("component").agg(F.count(F.lit(1)).alias("classes")).filter("classes > 1").select("component")
     rows = materialise(heads.join(several, "component").select(F.col("component").alias("part"), "doc_id", "n", "component"))
-    members = rows.select("doc_id")
-    sets = materialise(whole_sets(docs.join(members, "doc_id", "left_semi"), size).dropDuplicates(["doc_id"]))
-    return heads, _cells(rows, sets)
+    return heads, _cells(rows, member_sets(docs, rows.select("doc_id"), size))
 
 
 def _links_of_cell(rows: pd.DataFrame, percent: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -423,11 +464,13 @@ def keep_first(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """
     found = materialise(ngram_components(docs, size, percent).select("doc_id", "component_id"))
     heads = found.filter("doc_id = component_id").groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows"))
-    heads = materialise(heads)
-    kept = docs.join(heads.filter("rows = 1").select("doc_id").hint("shuffle_hash"), "doc_id", "left_semi")
-    repeated = heads.filter("rows > 1").select("doc_id")
-    if not repeated.isEmpty():
+    repeated = materialise(heads.filter("rows > 1").select("doc_id"))
+    some = not repeated.isEmpty()
+    gone = found.filter("doc_id <> component_id").select("doc_id")
+    gone = materialise((gone.union(repeated) if some else gone).distinct())
+    # Few ids are told to all tasks, and no text is shuffled.
+    gone = F.broadcast(gone) if gone.count() <= BROADCAST_COPIES else gone.hint("shuffle_hash")
+    kept = docs.join(gone, "doc_id", "left_anti")
+    if some:
         kept = kept.unionByName(docs.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"]))
-    if not found.filter("doc_id IS NULL").isEmpty():
-        kept = kept.unionByName(docs.filter("doc_id IS NULL"))
     return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
