@@ -277,7 +277,14 @@ def member_sets(docs: DataFrame, members: DataFrame, size: int) -> DataFrame:
         sets = whole_sets(docs.join(F.broadcast(members), "doc_id", "left_semi"), size)
     else:
         sets = whole_sets(docs, size, bitmap(members)).join(members, "doc_id", "left_semi")
-    return materialise(sets.dropDuplicates(["doc_id"]))
+    sets = materialise(sets)
+    repeated = sets.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1")
+    return sets if repeated.isEmpty() else materialise(sets.dropDuplicates(["doc_id"]))
+
+
+def told(rows: DataFrame) -> DataFrame:
+    """Stored narrow rows, for a join with sets: told to all tasks if they are few, so that the sets stay where they are."""
+    return F.broadcast(rows) if rows.count() <= BROADCAST_COPIES else rows
 
 
 def _may_link(n: Column, m: Column, percent: int) -> Column:
@@ -285,10 +292,11 @@ def _may_link(n: Column, m: Column, percent: int) -> Column:
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose sets reach the similarity."""
-    left = sets.select(F.col("doc_id").alias("a"), F.col("tokens").alias("x"))
-    right = sets.select(F.col("doc_id").alias("b"), F.col("tokens").alias("y"))
-    both = pairs.join(left, "a").join(right, "b")
+    """The pairs (a, b), stored, whose sets reach the similarity; a set moves to its hub, and hubs are fewer."""
+    hubs = materialise(pairs.select("a").distinct())
+    left = sets.select(F.col("doc_id").alias("a"), F.col("tokens").alias("x")).join(told(hubs), "a", "left_semi")
+    right = sets.select(F.col("doc_id").alias("b"), F.col("tokens").alias("y")).join(told(pairs), "b")
+    both = right.join(left, "a")
     shared = F.size(F.array_intersect("x", "y"))
     judged = both.select("a", "b", shared.alias("i"), (F.size("x") + F.size("y")).alias("s"))
     return judged.filter(100 * F.col("i") >= percent * (F.col("s") - F.col("i"))).select("a", "b")
@@ -361,7 +369,7 @@ def _cells(rows: DataFrame, sets: DataFrame) -> DataFrame:
         "part", F.least("block", "other").alias("first"), F.greatest("block", "other").alias("second"),
         (F.col("block") > F.col("other")).cast("int").alias("side"), "doc_id", "component",
     )
-    return spread.join(sets, "doc_id")
+    return sets.join(told(materialise(spread)), "doc_id")
 
 
 def ngram_components(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
