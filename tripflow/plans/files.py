@@ -28,6 +28,7 @@ from tripflow.sources import (
     table_exists,
 )
 from tripflow.sources.files import rows_per_file, sample_cells, sample_rows, schema_rows
+from tripflow.sources.sinks import publish_version
 
 
 TABLES = (
@@ -223,6 +224,16 @@ def publish(spark, sf):
     return read_table(spark, f"{layer}.orders")
 
 
+@query("publish_versions", "SELECT o_orderkey, o_totalprice FROM orders")
+def publish_versions(spark, sf):
+    """Three versions of a table under one name, the last with other columns; the name is never missing."""
+    name = f"{fresh_layer(spark, 'versions')}.orders"
+    orders = table(spark, sf, "orders")
+    for columns in (["o_orderkey"], ["o_orderkey", "o_orderstatus"], ["o_orderkey", "o_totalprice"]):
+        publish_version(orders.select(*columns), name)
+    return read_table(spark, name)
+
+
 @query(
     "ingest_bronze",
     """SELECT s_suppkey, s_name, CAST(s_nationkey AS INTEGER) AS s_nationkey, n_name

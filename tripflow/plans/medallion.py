@@ -317,6 +317,22 @@ def histogram_50(spark, sf):
     return column_histograms(table(spark, sf, "lineitem"), HISTOGRAM_COLUMNS)
 
 
+SPREAD_COLUMNS = "o_orderkey o_custkey o_totalprice".split()
+
+
+@query(
+    "numeric_spread",
+    " UNION ALL ".join(
+        f"""SELECT '{c}' AS "column", CAST(min({c}) AS DOUBLE) AS low, CAST(max({c}) AS DOUBLE) AS high, count({c}) AS n FROM orders"""
+        for c in SPREAD_COLUMNS
+    ),
+)
+def numeric_spread(spark, sf):
+    """Extremes and counts of all columns that hold numbers, found by their types, from the cells of histograms."""
+    cells = column_histograms(table(spark, sf, "orders"), bins=4)
+    return cells.groupBy("column").agg(F.min("low").alias("low"), F.max("high").alias("high"), F.sum("n").alias("n"))
+
+
 # --- the whole pipeline ----------------------------------------------------
 
 
@@ -341,6 +357,23 @@ def _run_sql() -> str:
     return " UNION ALL ".join(parts)
 
 
+def _print_sql(layer: str, name: str, source: str, kinds: dict[str, str]) -> str:
+    """SQL for the fingerprint of a table whose columns have the given types."""
+
+    def told(c: str) -> str:
+        value = f'"{c}"'
+        if kinds[c] in ("double", "float"):
+            value = f"CAST(round({value} * 1000) AS BIGINT)"
+        elif kinds[c].startswith("timestamp"):
+            value = f"strftime({value}, '%Y-%m-%d %H:%M:%S')"
+        return f"coalesce('=' || CAST({value} AS VARCHAR), '-')"
+
+    row = ", ".join(told(c) for c in sorted(kinds, key=str.lower))
+    return f"""SELECT '{layer}' AS layer, '{name}' AS name, count(*) AS n,
+        CAST(coalesce(sum(CAST('0x' || substr(md5(concat_ws('|', {row})), 1, 12) AS BIGINT)), 0) AS VARCHAR) AS fingerprint
+        FROM ({source})"""
+
+
 def write_raw_trips(spark, sf, directory: str) -> None:
     """Raw files of three of the four datasets, yellow in its three families."""
     for family, raw in trips.raw_families(spark, sf).items():

@@ -29,6 +29,39 @@ def publish_table(df: DataFrame, name: str) -> None:
         df.write.mode("overwrite").format("parquet").saveAsTable(name)
 
 
+VERSION = "__v"
+
+
+def publish_version(df: DataFrame, name: str, keep: int = 2) -> str:
+    """Write a new version of a table and turn its name to it in one step; returns the version's name.
+
+    On a catalog without atomic replacement the name is a view over the tables
+    `name__v1`, `name__v2`, ...: readers see the last version until the new one is whole, and
+    never miss the name. A reader that planned before the turn goes on with its
+    version, so the last `keep` versions stay and older ones are dropped. A failed write leaves the view as it was.
+    """
+    if keep < 1:
+        raise ValueError("the version that is read has to stay")
+    spark = df.sparkSession
+    namespace, _, base = name.rpartition(".")
+    below = f"{namespace}." if namespace else ""
+    versions = _versions(spark, namespace, base)
+    made = f"{below}{base}{VERSION}{max(versions, default=0) + 1}"
+    df.write.mode("errorifexists").format("parquet").saveAsTable(made)
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM {made}")
+    for old in sorted(versions)[: max(0, len(versions) + 1 - keep)]:
+        spark.sql(f"DROP TABLE IF EXISTS {below}{base}{VERSION}{old}")
+    return made
+
+
+def _versions(spark: SparkSession, namespace: str, base: str) -> list[int]:
+    """The numbers of the versions of a table that the catalog lists."""
+    listed = spark.sql(f"SHOW TABLES IN {namespace}" if namespace else "SHOW TABLES").collect()  # names of one namespace
+    lead = f"{base}{VERSION}".lower()
+    ends = [r["tableName"].removeprefix(lead) for r in listed if r["tableName"].startswith(lead)]
+    return [int(e) for e in ends if e.isdigit()]
+
+
 def ingest(spark: SparkSession, source: str, target: str, fmt: str) -> None:
     """Copy a raw input into bronze, from any file system to any other."""
     if fmt == "parquet":
