@@ -265,8 +265,17 @@ def test_quality_of_odd_texts(odd_docs):
 def test_short_texts_may_repeat_a_line(make_docs):
     own = [" ".join(f"the w{i}x{k}" for k in range(15)) for i in range(9)]
     docs = make_docs(["\n".join([own[0], "a line", "a line"]), "\n".join([*own[:5], *["a line"] * 5]), "\n".join(own)])
-    assert [r["doc_id"] for r in quality.keep(docs).collect()] == [2]
-    assert sorted(r["doc_id"] for r in quality.keep(docs, quality.FLOORED_RULES).collect()) == [0, 2]
+    assert sorted(r["doc_id"] for r in quality.keep(docs).collect()) == [0, 2]
+
+
+def test_stop_words_count_in_listed_languages_only(spark):
+    text = " ".join(f"slovo{i}" for i in range(80))
+    docs = spark.createDataFrame([(0, text, "en"), (1, text, "cs"), (2, text, None), (3, "the " + text, "de")], "doc_id long, text string, lang string")
+    assert [r["doc_id"] for r in quality.keep(docs).collect()] == [1]
+    assert quality.keep(docs.drop("lang")).count() == 0
+    long = "the word and other words of it " * 150_000
+    rules = [r for r in quality.RULES if r.name != "repeated_words"]
+    assert quality.assess(docs.limit(1).withColumn("text", F.lit(long)), rules).select("quality.broken").first()[0] == []
 
 
 def test_licences(make_docs, odd_docs):

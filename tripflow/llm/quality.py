@@ -10,7 +10,7 @@ name, since the measures live in a struct of their own.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -31,7 +31,10 @@ STOP_WORDS = (
 
 @dataclass(frozen=True)
 class Rule:
-    """A measure that must lie between two bounds, in texts of at least `from_words` words and `from_lines` lines."""
+    """A measure that must lie between two bounds, in texts of at least `from_words` words and `from_lines` lines.
+
+    A rule with languages holds for texts of these only, where the rows tell their language.
+    """
 
     name: str
     measure: str
@@ -39,22 +42,22 @@ class Rule:
     high: float | None = None
     from_words: int = 0
     from_lines: int = 0
+    languages: tuple[str, ...] = ()
+
 
+# The languages of the stop words.
+LISTED = ("en", "fr", "de", "es")
 
-# Ratios over short texts vary by chance, so some rules hold from a length on. These are the rules of op9's SQL, which
-# states duplicate_lines for texts of any number of lines.
+# Ratios over short texts vary by chance, so some rules hold from a length on: one line that occurs twice is a third of three lines.
 RULES = (
-    Rule("length", "n_words", 20, 1_000_000),
+    Rule("length", "n_words", 20),
     Rule("word_length", "mean_word_length", 2.5, 12.0),
     Rule("symbols", "symbol_ratio", None, 0.1),
-    Rule("stop_words", "stop_word_ratio", 0.02, None, 50),
-    Rule("duplicate_lines", "dup_line_ratio", None, 0.3),
+    Rule("stop_words", "stop_word_ratio", 0.02, None, 50, languages=LISTED),
+    Rule("duplicate_lines", "dup_line_ratio", None, 0.3, from_lines=8),
     Rule("repeated_words", "repeat_word_ratio", None, 0.3),
 )
 
-# One line that occurs twice is a third of three lines.
-FLOORED_RULES = tuple(replace(r, from_lines=8) if r.name == "duplicate_lines" else r for r in RULES)
-
 
 def bind(value: Column, body: Callable[[Column], Column]) -> Column:
     """`body(value)` with the value computed once."""
@@ -123,8 +126,8 @@ def ratios(m: Column) -> dict[str, Column]:
     }
 
 
-def broken_rules(m: Column, rules: Sequence[Rule] = RULES) -> Column:
-    """The names of the rules that a text breaks."""
+def broken_rules(m: Column, rules: Sequence[Rule] = RULES, lang: Column | None = None) -> Column:
+    """The names of the rules that a text breaks; a text of unknown language is held to the rules of all."""
     values = ratios(m)
     checks = []
     for rule in rules:
@@ -137,6 +140,8 @@ def broken_rules(m: Column, rules: Sequence[Rule] = RULES) -> Column:
         bad = bad & (m["n_words"] >= rule.from_words)
         if rule.from_lines:
             bad = bad & (m["lines"]["all"] >= rule.from_lines)
+        if rule.languages and lang is not None:
+            bad = bad & F.coalesce(F.lower(lang).isin(*rule.languages), F.lit(True))
         checks.append(F.when(bad, F.lit(rule.name)))
     return F.array_compact(F.array(*checks))
 
@@ -145,11 +150,16 @@ def base_failed(m: Column) -> Column:
     return (m["n_words"] < 20) | (100 * m["n_repeat_words"] > 30 * m["n_words"])
 
 
+def _language(docs: DataFrame) -> Column | None:
+    return F.col("lang").cast("string") if "lang" in docs.columns else None
+
+
 def assess(docs: DataFrame, rules: Sequence[Rule] = RULES, text: str = "text", out: str = "quality") -> DataFrame:
-    """Adds a struct with all counts, the broken rules and the verdict `kept`."""
+    """Adds a struct with all counts, the broken rules and the verdict `kept`; a column `lang` tells the language."""
+    lang = _language(docs)
 
     def judged(m: Column) -> Column:
-        broken, failed = broken_rules(m, rules), base_failed(m)
+        broken, failed = broken_rules(m, rules, lang), base_failed(m)
         verdict = m.withField("broken", broken).withField("base_failed", failed)
         return verdict.withField("kept", ~failed & (F.size(broken) == 0))
 
@@ -162,4 +172,5 @@ def keep(docs: DataFrame, rules: Sequence[Rule] = RULES, text: str = "text") ->
     The condition binds the measures once: a filter over a projected struct
     would compute them anew for every rule that reads them.
     """
-    return docs.filter(bind(measures(F.col(text)), lambda m: ~base_failed(m) & (F.size(broken_rules(m, rules)) == 0)))
+    lang = _language(docs)
+    return docs.filter(bind(measures(F.col(text)), lambda m: ~base_failed(m) & (F.size(broken_rules(m, rules, lang)) == 0)))

@@ -155,7 +155,7 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "op9_quality_rules",
     f"""
-    WITH w AS (SELECT doc_id, coalesce(text, '') AS text, {SQL_WORDS} AS w FROM documents),
+    WITH w AS (SELECT doc_id, lang, coalesce(text, '') AS text, {SQL_WORDS} AS w FROM documents),
     g AS (
         SELECT doc_id, unnest(list_transform(range(1, len(w) - 6), lambda i: array_to_string(w[i : i + 7], ' '))) AS gram,
             unnest(range(1, len(w) - 6)) AS i
@@ -168,7 +168,7 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS l FROM w)
         WHERE regexp_matches(l, '[^\\x20\\x09-\\x0D]') GROUP BY doc_id),
     m AS (
-        SELECT w.doc_id, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars,
+        SELECT w.doc_id, w.lang, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars,
             len(regexp_extract_all(text, '[#*$%&|<>]')) AS n_symbols, coalesce(n_dup, 0) AS n_dup_lines,
             coalesce(n_lines, 0) AS n_lines, coalesce(covered.n, 0) AS n_repeat_words,
             len(list_filter(w, lambda x: list_contains({list(quality.STOP_WORDS)}, lower(x)))) AS n_stop,
@@ -176,13 +176,14 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         FROM w LEFT JOIN covered USING (doc_id) LEFT JOIN lines USING (doc_id)),
     b AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM m)
     SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-        NOT base_failed AND n_words <= 1000000 AND word_chars / d BETWEEN 2.5 AND 12.0 AND n_symbols / d <= 0.1
-        AND (n_words < 50 OR n_stop / d >= 0.02) AND n_dup_lines / greatest(n_lines, 1) <= 0.3 AS kept
+        NOT base_failed AND word_chars / d BETWEEN 2.5 AND 12.0 AND n_symbols / d <= 0.1
+        AND (n_words < 50 OR n_stop / d >= 0.02 OR NOT coalesce(lower(lang) IN {quality.LISTED}, true))
+        AND (n_lines < 8 OR n_dup_lines / n_lines <= 0.3) AS kept
     FROM b
     """,
 )
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    q = quality.assess(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    q = quality.assess(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
     names = ("n_words", "word_chars", "n_symbols", "n_repeat_words", "base_failed", "kept")
     return q.select("doc_id", F.col("quality.lines.dup").alias("n_dup_lines"), *[F.col(f"quality.{n}").alias(n) for n in names])
 
