@@ -57,6 +57,24 @@ def test_pca_like_numpy(frame):
     assert len(scores.first().scores) == 3
 
 
+def test_components_like_numpy(spark):
+    from tripflow.medallion.learning import fit_components
+
+    x = RNG.normal(size=(400, 4)) @ RNG.normal(size=(4, 4)) + 1e6
+    rows = [(*map(float, r), 3.0, "t") for r in x] + [(None, 1.0, 1.0, 1.0, 3.0, "t"), (float("nan"), 1.0, 1.0, 1.0, 3.0, "t")]
+    df = spark.createDataFrame(rows, "a double, `b.c` double, c double, d double, same double, name string").repartition(5)
+    model = fit_components(df, ["a", "b.c", "c", "d", "same"])
+    values, vectors = np.linalg.eigh(np.corrcoef(x.T))
+    assert np.allclose(model.variances, [*values[::-1], 0.0]) and len(model.loadings) == 5
+    assert np.allclose(np.abs(np.array(model.loadings)[:4, :4]), np.abs(vectors[:, ::-1].T), atol=1e-6)
+    scored = [r.scores for r in model.scores(df).collect()]
+    assert sum(s is None for s in scored) == 2
+    scores = np.array([s for s in scored if s is not None])
+    assert np.allclose(np.cov(scores.T), np.diag([*values[::-1], 0.0]), atol=1e-6)
+    with pytest.raises(ValueError, match="components"):
+        fit_components(df, ["a"], 2)
+
+
 def test_regression_like_numpy(spark):
     d, m = RNG.uniform(0, 20, 200), RNG.uniform(1, 60, 200)
     total = 3 + 2.5 * d + 0.5 * m + RNG.normal(size=200)

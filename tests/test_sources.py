@@ -183,6 +183,37 @@ def test_entries_of_a_folder_whose_name_repeats(spark, tmp_path):
     assert [p.rsplit("/", 1)[-1] for p in list_entries(spark, str(tmp_path / "raw"))] == ["2024"]
 
 
+def test_a_name_is_never_missing(spark):
+    import threading
+
+    from tripflow.sources.sinks import publish_version
+
+    name = f"{ensure_layer(spark, unique_name('versions'))}.t"
+    publish_version(spark.range(1), name)
+    seen, failed, stop = [], [], threading.Event()
+
+    def read():
+        while not stop.is_set():
+            try:
+                seen.append(spark.table(name).count())
+            except Exception as error:  # noqa: BLE001
+                failed.append(error)
+
+    reader = threading.Thread(target=read)
+    reader.start()
+    for n in range(2, 6):
+        assert publish_version(spark.range(n).withColumnRenamed("id", f"id{n}"), name).endswith(f"__v{n}")
+    stop.set()
+    reader.join()
+    assert not failed and set(seen) <= {1, 2, 3, 4, 5} and seen == sorted(seen)
+    assert spark.table(name).columns == ["id5"] and spark.table(name).count() == 5
+    tables = {r.tableName for r in spark.sql(f"SHOW TABLES IN {name.split('.')[0]}").collect()}
+    assert tables == {"t", "t__v4", "t__v5"}
+    with pytest.raises(Exception, match="nothing_here"):
+        publish_version(spark.range(3).selectExpr("raise_error('nothing_here') AS x"), name)
+    assert spark.table(name).count() == 5
+
+
 def test_rows_of_unlike_files(spark, tmp_path):
     import datetime
 

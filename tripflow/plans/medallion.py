@@ -13,6 +13,7 @@ from tripflow.medallion import gold, silver
 from tripflow.medallion.pipeline import PipelineConfig, run_pipeline
 from tripflow.operators import align_and_union, column_histograms, detect_family, enrich_zones, read_drifting
 from tripflow.plans import trips
+from tripflow.operators.fingerprint import fingerprint
 from tripflow.plans.base import half_up, query, table
 from tripflow.plans.files import fresh_layer
 from tripflow.session import scratch_path
@@ -374,6 +375,25 @@ def _print_sql(layer: str, name: str, source: str, kinds: dict[str, str]) -> str
         FROM ({source})"""
 
 
+PRINTED = {
+    "orders": {
+        "o_orderkey": "bigint", "o_custkey": "bigint", "o_orderstatus": "string", "o_totalprice": "double", "o_orderdate": "timestamp",
+        "o_orderpriority": "string",
+    },
+    "customer": {"c_custkey": "bigint", "c_name": "string", "c_nationkey": "int", "c_acctbal": "double", "c_mktsegment": "string"},
+}
+
+
+@query("table_fingerprint", " UNION ALL ".join(_print_sql("raw", name, name, kinds) for name, kinds in PRINTED.items()))
+def table_fingerprint(spark, sf):
+    """Rows and fingerprints of tables, whatever the order of their rows."""
+    found = (
+        fingerprint(table(spark, sf, name).select(*kinds).repartition(3)).select(F.lit("raw").alias("layer"), F.lit(name).alias("name"), "*")
+        for name, kinds in PRINTED.items()
+    )
+    return functools.reduce(DataFrame.unionByName, found)
+
+
 def write_raw_trips(spark, sf, directory: str) -> None:
     """Raw files of three of the four datasets, yellow in its three families."""
     for family, raw in trips.raw_families(spark, sf).items():

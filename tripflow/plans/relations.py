@@ -18,6 +18,7 @@ from tripflow.operators import (
 )
 from tripflow.operators.sampling import hash_bound, sample_by_hash
 from tripflow.plans.base import query, table
+from tripflow.session import scratch_scope
 from tripflow.plans.projections import SIZE_SQL, parts_by_size
 
 # --- joins -----------------------------------------------------------------
@@ -273,6 +274,17 @@ def win_total(spark, sf):
     return with_total(lines, "l_quantity", "quantity_overall")
 
 
+@query(
+    "scoped_rank",
+    """SELECT o_orderkey, o_orderdate, rank() OVER (ORDER BY o_orderdate) AS rank,
+              dense_rank() OVER (ORDER BY o_orderdate) AS dense_rank FROM orders""",
+)
+def scoped_rank(spark, sf):
+    """Ranks whose stored ranges are gone when the result is read."""
+    with scratch_scope(spark) as keep:
+        return keep(rank_rows(table(spark, sf, "orders").select("o_orderkey", "o_orderdate"), ["o_orderdate"]))
+
+
 # --- windows within groups -------------------------------------------------
 
 FLAGGED = ["l_returnflag", "l_orderkey", "l_linenumber", "l_shipdate", "l_quantity"]

@@ -6,7 +6,9 @@ import configparser
 import os
 import tempfile
 import uuid
-from collections.abc import Mapping
+from collections.abc import Callable, Iterator, Mapping
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -120,9 +122,48 @@ def shuffle_parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+# The folders of the scopes that are open, the innermost last.
+_SCOPES: ContextVar[tuple[list[str], ...]] = ContextVar("tripflow_scopes", default=())
+
+
 def scratch_path(spark: SparkSession, *labels: str) -> str:
-    """A path nobody used yet below the shared folder."""
-    return "/".join([checkpoint_root(spark).rstrip("/"), f"work-{uuid.uuid4().hex}", *labels])
+    """A path nobody used yet below the shared folder; removed with the innermost open scope."""
+    folder = "/".join([checkpoint_root(spark).rstrip("/"), f"work-{uuid.uuid4().hex}"])
+    if scopes := _SCOPES.get():
+        scopes[-1].append(folder)
+    return "/".join([folder, *labels])
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """Removes everything that is stored for later within the block, also after an error.
+
+    Frames are read lazily, so one that is needed after the block has to be
+    handed to the function that the block gets: it is stored once more, and belongs to
+    the scope around this one, or to the caller. Scopes nest, and each thread has its own.
+    """
+    outer, own = _SCOPES.get(), []
+    token = _SCOPES.set((*outer, own))
+
+    def keep(df: DataFrame) -> DataFrame:
+        inside = _SCOPES.set(outer)
+        try:
+            return materialise(df)
+        finally:
+            _SCOPES.reset(inside)
+
+    try:
+        yield keep
+    finally:
+        _SCOPES.reset(token)
+        for folder in own:
+            remove(spark, folder)
+
+
+def remove(spark: SparkSession, folder: str) -> None:
+    """Delete a folder on whatever file system it lies; one that is missing is no error."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialise(df: DataFrame) -> DataFrame:
