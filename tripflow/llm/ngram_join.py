@@ -59,7 +59,7 @@ BROADCAST_COPIES = 1_000_000
 # Bytes of the bitmap of ids, where there are more.
 BITMAP_BYTES = 8 << 20
 # Sets in a block of the last comparison, and their tokens, on average.
-BLOCK, BLOCK_TOKENS = 1_024, 4_000_000
+BLOCK, BLOCK_TOKENS = 2_048, 4_000_000
 
 SIGNED = (
     "doc_id bigint, n bigint, hi bigint, lo bigint, "
