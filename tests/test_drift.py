@@ -82,3 +82,52 @@ def test_parts_of_one_folder_may_differ(spark, tmp_path):
     spark.range(2).selectExpr("CAST(id AS STRING) AS a").write.mode("append").parquet(path)
     clashing = read_drifting(spark, [path])
     assert dict(clashing.dtypes) == {"a": "string", "extra": "string"} and clashing.count() == 6
+
+
+def test_jobs_follow_schemas_not_files(spark, tmp_path):
+    import pyarrow as pa
+    from pyarrow import parquet
+
+    paths = []
+    for i in range(1000):
+        fee = pa.array([i], pa.int32()) if i % 2 else pa.array([i + 0.5], pa.float64())
+        extra = {"note": pa.array(["n"])} if i % 2 else {}
+        paths.append(str(tmp_path / f"trips {i:04d}.parquet"))
+        parquet.write_table(pa.table({"id": pa.array([i], pa.int64()), "fee": fee, **extra}), paths[-1])
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup
+    before = set(jobs(None))
+    got = read_drifting(spark, paths)
+    assert len(set(jobs(None)) - before) < 10
+    assert dict(got.dtypes) == {"id": "bigint", "fee": "double", "note": "string"}
+    row = got.selectExpr("count(*)", "sum(fee)", "count(note)", "count(DISTINCT id)").first()
+    assert tuple(row) == (1000, sum(i if i % 2 else i + 0.5 for i in range(1000)), 500, 1000)
+
+
+def test_many_folders_of_unlike_files(spark, tmp_path):
+    paths = []
+    for i in range(18):
+        path = str(tmp_path / f"t{i}")
+        spark.range(1).selectExpr(f"CAST({i} AS INT) AS a").coalesce(1).write.parquet(path)
+        if i == 5:
+            spark.range(1).selectExpr("'x' AS a").coalesce(1).write.mode("append").parquet(path)
+        if i == 7:
+            spark.range(1).selectExpr("1 AS a", "2 AS b").coalesce(1).write.mode("append").parquet(path)
+        if i == 9:
+            spark.range(1).selectExpr("1 AS a", "'p' AS k").write.mode("append").partitionBy("k").parquet(f"{path}p")
+            paths.append(f"{path}p")
+        paths.append(path)
+    got = read_drifting(spark, paths)
+    assert dict(got.dtypes) == {"a": "string", "b": "int", "k": "string"}
+    assert got.count() == 21 and got.filter("a = 'x'").count() == 1 and got.filter("b = 2").count() == 1
+    assert got.filter("k = 'p'").count() == 1
+
+
+def test_file_systems_of_tasks():
+    from tripflow.sources.footers import arrow_filesystem
+
+    assert arrow_filesystem("file:/a/b c")[1] == arrow_filesystem("file:///a/b c")[1] == arrow_filesystem("/a/b c")[1] == "/a/b c"
+    store = {"endpoint_override": "http://store:9000", "access_key": "k", "secret_key": "s", "region": "none"}
+    system, place = arrow_filesystem("s3a://bucket/raw/x", store)
+    assert system.type_name == "s3" and place == "bucket/raw/x"
+    with pytest.raises(ValueError):
+        arrow_filesystem("other://x/y")
