@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -10,11 +11,11 @@ from pyspark.sql.types import TimestampType
 
 from tripflow.functions import elapsed_whole_minutes
 from tripflow.medallion import gold, silver
-from tripflow.medallion.pipeline import PipelineConfig, run_pipeline
+from tripflow.medallion.pipeline import PipelineConfig, Step, run_pipeline
 from tripflow.operators import align_and_union, column_histograms, detect_family, enrich_zones, read_drifting
 from tripflow.plans import trips
 from tripflow.operators.fingerprint import fingerprint
-from tripflow.plans.base import half_up, query, table
+from tripflow.plans.base import ORACLES, half_up, query, table
 from tripflow.plans.files import fresh_layer
 from tripflow.session import scratch_path
 from tripflow.sources import save
@@ -395,20 +396,25 @@ def table_fingerprint(spark, sf):
 
 
 def write_raw_trips(spark, sf, directory: str) -> None:
-    """Raw files of three of the four datasets, yellow in its three families."""
-    for family, raw in trips.raw_families(spark, sf).items():
-        save(raw, f"{directory}/yellow_tripdata_{family}.parquet")
-    save(trips.raw_green(spark, sf), f"{directory}/green_tripdata_all.parquet")
-    save(trips.raw_fhvhv(spark, sf), f"{directory}/fhvhv_tripdata_all.parquet")
+    """Raw files of three of the four datasets, yellow in its three families, written side by side."""
+    raw = {f"yellow_tripdata_{family}": df for family, df in trips.raw_families(spark, sf).items()}
+    raw |= {"green_tripdata_all": trips.raw_green(spark, sf), "fhvhv_tripdata_all": trips.raw_fhvhv(spark, sf)}
+    with ThreadPoolExecutor(len(raw)) as pool:
+        list(pool.map(lambda name: save(raw[name], f"{directory}/{name}.parquet"), raw))
+
+
+def _finished_run(spark, sf, **options) -> tuple[list[Step], dict[str, str]]:
+    """Runs the pipeline over raw files; its steps but for the checks of raw files, and the namespaces of its layers."""
+    raw = scratch_path(spark, "raw")
+    write_raw_trips(spark, sf, raw)
+    cfg = PipelineConfig(raw, fresh_layer(spark, "silver"), fresh_layer(spark, "gold"), **options)
+    return [step for step in run_pipeline(spark, cfg) if step.layer != "bronze"], {"silver": cfg.silver, "gold": cfg.gold}
 
 
 @query("medallion_run", _run_sql())
 def medallion_run(spark, sf):
     """Rows per table after a run; the dataset without raw files is skipped."""
-    raw = scratch_path(spark, "raw")
-    write_raw_trips(spark, sf, raw)
-    cfg = PipelineConfig(raw, fresh_layer(spark, "silver"), fresh_layer(spark, "gold"))
-    layers = {"silver": cfg.silver, "gold": cfg.gold}
+    steps, layers = _finished_run(spark, sf)
 
     def outcome(step):
         told = [F.lit(v).alias(c) for c, v in (("layer", step.layer), ("name", step.table), ("status", step.status))]
@@ -416,5 +422,83 @@ def medallion_run(spark, sf):
             return spark.range(1).select(*told, F.lit(0).cast("bigint").alias("n"))
         return spark.table(f"{layers[step.layer]}.{step.table}").agg(F.count("*").alias("n")).select(*told, "n")
 
-    steps = [step for step in run_pipeline(spark, cfg) if step.layer != "bronze"]
     return functools.reduce(DataFrame.unionByName, map(outcome, steps))
+
+
+# Columns of the tables that a run writes and that are told as they are; times end in _datetime, all others hold fractions.
+PLAIN = frozenset(
+    """vendor_id passenger_count payment_type rate_code store_and_fwd_flag pu_location_id do_location_id hvfhs_license_num
+    dispatching_base_num originating_base_num trip_time_seconds shared_request_flag shared_match_flag access_a_ride_flag
+    wav_request_flag wav_match_flag is_tipped is_peak_hour is_weekend trip_type is_card_payment is_suspicious trip_count""".split()
+)
+KEY_COLUMNS = "vendor_id pickup_datetime"
+TAXI_COLUMNS = f"""{KEY_COLUMNS} dropoff_datetime passenger_count trip_distance payment_type fare_amount tip_amount tolls_amount
+    total_amount mta_tax rate_code store_and_fwd_flag trip_duration_minutes"""
+TIP_COLUMNS = f"{KEY_COLUMNS} tip_amount fare_amount tip_ratio is_tipped"
+PERFORMANCE_COLUMNS = f"{KEY_COLUMNS} trip_distance trip_duration_minutes avg_speed_mph revenue_per_minute"
+FINANCIAL_COLUMNS = f"{KEY_COLUMNS} total_fees total_amount cost_per_mile fare_per_passenger"
+CLASS_COLUMNS = f"{KEY_COLUMNS} is_peak_hour is_weekend trip_type is_card_payment is_suspicious"
+
+
+def _taxi_gold(color: str, source: str, fees: tuple[str, ...], codes: str) -> list[tuple[str, str, str, str]]:
+    keys = ", ".join(gold.KEYS)
+    return [
+        ("gold", f"{color}_taxi_tips", TIP_COLUMNS, f"SELECT {TIPS_COLUMNS} FROM ({source})"),
+        ("gold", f"{color}_taxi_performance", PERFORMANCE_COLUMNS, _performance_sql(keys, source)),
+        ("gold", f"{color}_taxi_financials", FINANCIAL_COLUMNS, _financials_sql(keys, fees, source)),
+        ("gold", f"{color}_taxi_classifications", CLASS_COLUMNS, _classifications_sql(gold.KEYS, codes, source)),
+    ]
+
+
+# Layer, table, columns and SQL of every table that a run writes.
+WRITTEN = [
+    ("silver", "yellow_taxi", f"{TAXI_COLUMNS} surcharge pickup_longitude pickup_latitude dropoff_longitude dropoff_latitude",
+     trips.YELLOW_FAMILIES_SQL),
+    ("silver", "green_taxi", f"{TAXI_COLUMNS} extra improvement_surcharge pu_location_id do_location_id trip_type_raw", trips.GREEN_SQL),
+    ("silver", "fhvhv_trip", """hvfhs_license_num dispatching_base_num originating_base_num request_datetime on_scene_datetime
+     pickup_datetime dropoff_datetime pu_location_id do_location_id trip_miles trip_time_seconds base_passenger_fare tolls bcf
+     sales_tax congestion_surcharge airport_fee tips driver_pay shared_request_flag shared_match_flag access_a_ride_flag
+     wav_request_flag wav_match_flag trip_duration_minutes""", trips.FHVHV_SQL),
+    *_taxi_gold("yellow", trips.YELLOW_FAMILIES_SQL, gold.YELLOW_FEES, "'CRD', 'CRE', '1'"),
+    *_taxi_gold("green", trips.GREEN_SQL, gold.GREEN_FEES, "'1'"),
+    ("gold", "fhvhv_trip_summary", """hvfhs_license_num trip_count total_trip_miles total_base_passenger_fare total_tips
+     total_driver_pay""", ORACLES["gold_fhvhv_summary"]),
+]
+
+
+def _kinds(columns: str) -> dict[str, str]:
+    """Types by the rule above `PLAIN`."""
+    return {c: "timestamp" if c.endswith("_datetime") else "string" if c in PLAIN else "double" for c in columns.split()}
+
+
+PRINTS_SQL = " UNION ALL ".join(_print_sql(layer, name, source, _kinds(columns)) for layer, name, columns, source in WRITTEN)
+
+
+def _prints(spark, sf, **options) -> DataFrame:
+    steps, layers = _finished_run(spark, sf, **options)
+    found = (
+        fingerprint(spark.table(f"{layers[step.layer]}.{step.table}")).select(
+            F.lit(step.layer).alias("layer"), F.lit(step.table).alias("name"), "*"
+        )
+        for step in steps
+        if step.status == "written"
+    )
+    return functools.reduce(DataFrame.unionByName, found)
+
+
+@query("medallion_fingerprints", PRINTS_SQL)
+def medallion_fingerprints(spark, sf):
+    """Rows and fingerprints of every value in every table that a run writes."""
+    return _prints(spark, sf)
+
+
+@query("medallion_fingerprints_clustered", PRINTS_SQL)
+def medallion_fingerprints_clustered(spark, sf):
+    """The same with published tables in files of a stated number of rows, ranged by pickup time."""
+    return _prints(spark, sf, rows_per_file=100_000)
+
+
+@query("medallion_fingerprints_reused", PRINTS_SQL)
+def medallion_fingerprints_reused(spark, sf):
+    """The same with clean tables kept in memory between the tables derived from them."""
+    return _prints(spark, sf, reuse_silver=True)

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tripflow.sources.files import read_csv
 
@@ -16,7 +19,21 @@ def save(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "errorifexi
     df.write.format(fmt).mode(mode).options(**options).save(path)
 
 
-def publish_table(df: DataFrame, name: str) -> None:
+def clustered(df: DataFrame, by: Sequence[str], file_rows: int) -> DataFrame:
+    """The rows ranged and ordered by some columns, about `file_rows` to a range, so that a filter on these skips files.
+
+    Rows that the columns don't tell apart are spread by a hash of all their columns, so a hot value covers many
+    ranges. Writers should add `maxRecordsPerFile`, which cuts ranges of identical rows.
+    """
+    if file_rows < 1:
+        raise ValueError("a file holds a row at least")
+    names = [F.col(f"`{c}`") for c in df.columns]
+    files = max(1, -(-df.count() // file_rows))
+    order = [*(F.col(f"`{c}`") for c in by), F.xxhash64(*names)]
+    return df.repartitionByRange(files, *order).sortWithinPartitions(*order)
+
+
+def publish_table(df: DataFrame, name: str, **options: object) -> None:
     """Create the table or replace all of it.
 
     A catalog that can replace a table in one step does so. The session
@@ -24,9 +41,9 @@ def publish_table(df: DataFrame, name: str) -> None:
     miss it while the new files are written.
     """
     if name.count(".") >= 2 and not name.startswith("spark_catalog."):
-        df.writeTo(name).createOrReplace()
+        df.writeTo(name).options(**options).createOrReplace()
     else:
-        df.write.mode("overwrite").format("parquet").saveAsTable(name)
+        df.write.mode("overwrite").format("parquet").options(**options).saveAsTable(name)
 
 
 VERSION = "__v"
