@@ -414,3 +414,49 @@ def test_blocks_bounded_by_tokens(make_docs, monkeypatch):
         texts.append(" ".join(words))
     got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in ngram_join.ngram_components(make_docs(texts), 3, 80).collect()}
     assert got == plain_components(dict(enumerate(texts)), 3, 80)
+
+
+def test_sequences_follow_the_training_order(spark, make_docs, tmp_path):
+    rng = np.random.default_rng(5)
+    texts = [" ".join(f"w{k}" for k in rng.integers(0, 500, rng.integers(1, 120))) for _ in range(600)]
+    texts[100], texts[200] = " ".join(f"long {k}" for k in range(3_000)), None
+    docs = make_docs(texts).repartitionByRange(7, "doc_id").sortWithinPartitions("doc_id")
+    stored = corpus_pipeline.materialise(docs)
+    numbered = {r["doc_id"]: r["__place"] for r in packing.in_file_order(stored).select("doc_id", "__place").collect()}
+    assert numbered == {i: i for i in range(600)}
+    cut = packing.pieces(packing.in_file_order(stored), PATH, length=256, keep=["__place"])
+    packed = corpus_pipeline.materialise(packing.pack_in_order(cut, length=256, rows=50))
+    rows = packed.collect()
+    inside = collections.defaultdict(list)
+    for r in rows:
+        inside[r["sequence_id"]].append(r)
+    for members in inside.values():
+        at = 0
+        for r in sorted(members, key=lambda r: r["offset"]):
+            assert r["offset"] == at
+            at += r["length"]
+        assert at <= 256 and max(r["doc_id"] for r in members) // 50 == min(r["doc_id"] for r in members) // 50
+    order = [min(r["doc_id"] for r in inside[i]) for i in sorted(inside)]
+    assert order == sorted(order)
+    assert np.corrcoef([r["doc_id"] for r in rows], [r["sequence_id"] for r in rows])[0, 1] > 0.99
+    # Two sequences at most half full would have been one, so a stretch has one of them at most.
+    half = collections.Counter(m[0]["doc_id"] // 50 for m in inside.values() if 2 * sum(r["length"] for r in m) <= 256)
+    assert max(half.values(), default=0) <= 1
+    # Whole sequences as records, read back in any order.
+    whole = packing.sequences(packed)
+    index = records.write_ids(whole.selectExpr("sequence_id AS doc_id", "ids"), str(tmp_path / "records"), 2)
+    back = {r["doc_id"]: r["ids"] for r in records.read_records(index.orderBy(F.xxhash64("doc_id")), str(tmp_path / "records")).collect()}
+    library, plain = Tokenizer.from_file(PATH), {}
+    for i, members in inside.items():
+        ids = []
+        for r in sorted(members, key=lambda r: r["offset"]):
+            of = [*library.encode(texts[r["doc_id"]] or "", add_special_tokens=False).ids, 2]
+            ids += of[r["start"] : r["start"] + r["length"]]
+        plain[i] = np.array(ids, "<u4").tobytes()
+    assert {i: bytes(b) for i, b in back.items()} == plain
+
+
+def test_records_of_wide_ids_are_refused(spark, tmp_path):
+    rows = spark.createDataFrame([(1, bytearray(np.array([70_000], "<u4").tobytes()))], "doc_id bigint, ids binary")
+    with pytest.raises(Exception, match="does not fit"):
+        records.write_ids(rows, str(tmp_path), 2)

@@ -10,20 +10,31 @@ on counts per length: a bin's pattern repeats until one of its lengths runs
 out, and the plan is a few thousand patterns for a table of any size. The
 pieces are then ranked inside their length and look up their place.
 
+`pack_in_order` keeps a training order: the table is cut into stretches of
+`STRETCH_ROWS` documents by the order in which its files hold them, each
+stretch is packed for itself in one task, and sequences are numbered by their
+first document. Pieces of a full sequence stand alone and are dealt to tasks of
+their own, so a stretch holds less than a sequence per document however long
+these are. A stretch ends with one sequence that may be far from full.
+
 Defined results: a null or empty text is one piece with the end id; repeated
 rows are packed like any others; equal lengths are told apart by a seeded key
 of doc_id, then doc_id, piece and start; an empty table gives an empty table.
-`pack` keeps further columns, but those named like the ones it adds give way;
-null ids are packed like any others.
+`pack` and `pack_in_order` keep further columns, but those named like the ones they add give way;
+null ids are packed like any others. A very long text is many pieces, each a row of its own. Frames that
+read no files have no order of their own: `in_file_order` numbers them by the seeded key. Names that begin
+with two underscores are working names.
 """
 
 from __future__ import annotations
 
+import re
 from bisect import bisect_right
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -39,6 +50,15 @@ SEED = 30
 # Ranks below this are kept apart per length in one sorted array.
 RANKS = 1 << 48
 
+# Documents that are packed together where their order counts.
+STRETCH_ROWS = 1024
+
+# Sequences that may begin in one document; a text has at most 2**31 bytes, so it has fewer full pieces.
+NUMBERS = 1 << 22
+
+# Full pieces of a document that one task takes.
+LONE_PIECES = 1024
+
 PIECES = T.StructType(
     [
         T.StructField("doc_id", T.LongType()),
@@ -56,8 +76,8 @@ def cut(total: int, length: int = LENGTH) -> list[tuple[int, int]]:
     return [(0, first), *((s, length) for s in range(first, total, length))]
 
 
-def pieces(docs: DataFrame, tokenizer: str, length: int = LENGTH, end_id: int = END_ID) -> DataFrame:
-    """Whole texts to pieces with their ids, as little-endian unsigned 32-bit integers."""
+def pieces(docs: DataFrame, tokenizer: str, length: int = LENGTH, end_id: int = END_ID, keep: Sequence[str] = ()) -> DataFrame:
+    """Whole texts to pieces with their ids, as little-endian unsigned 32-bit integers; `keep` names further columns."""
     shared = docs.sparkSession.sparkContext.broadcast(load_tokenizer(tokenizer))  # one vocabulary file
     end = np.array([end_id], "<u4").tobytes()
 
@@ -70,13 +90,17 @@ def pieces(docs: DataFrame, tokenizer: str, length: int = LENGTH, end_id: int =
                 for k, (start, size) in enumerate(cut(len(coded) // 4, length)):
                     of.append(row), number.append(k), starts.append(start), lengths.append(size)
                     ids.append(coded[4 * start : 4 * (start + size)])
+            rows = pa.array(of, pa.int64())
             columns = [
-                batch.column("doc_id").take(pa.array(of, pa.int64())).cast(pa.int64()), pa.array(number, pa.int32()),
+                batch.column("doc_id").take(rows).cast(pa.int64()), pa.array(number, pa.int32()),
                 pa.array(starts, pa.int64()), pa.array(lengths, pa.int64()), pa.array(ids, pa.binary()),
+                *(batch.column(c).take(rows) for c in keep),
             ]
-            yield pa.RecordBatch.from_arrays(columns, names=PIECES.names)
+            yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
-    return docs.select("doc_id", "text").mapInArrow(run, PIECES)
+    kept = docs.select("doc_id", "text", *(F.col(f"`{c}`") for c in keep))
+    schema = T.StructType([*PIECES.fields, *kept.schema.fields[2:]])
+    return kept.mapInArrow(run, schema)
 
 
 def _greedy(lengths: list[int], left: dict[int, int], gap: int) -> tuple[list[int], int]:
@@ -151,6 +175,15 @@ def places(patterns: list[tuple[list[int], int]]) -> np.ndarray:
     return np.array(sorted(rows), np.int64).reshape(-1, 4)
 
 
+def look_up(table: np.ndarray, size: np.ndarray, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sequence and offset of pieces, from the rows of `places`, by length and rank inside it."""
+    keys, first, copies, offset = table.T
+    wanted = size * RANKS + rank
+    at = np.searchsorted(keys, wanted, "right") - 1
+    nth = wanted - keys[at]
+    return first[at] + nth // copies[at], offset[at] + nth % copies[at] * size
+
+
 def pack(parts: DataFrame, length: int = LENGTH, seed: int = SEED) -> DataFrame:
     """Adds `sequence_id` and `offset` to rows with doc_id, piece, start and length."""
     parts = parts.drop("sequence_id", "offset")
@@ -166,19 +199,71 @@ def pack(parts: DataFrame, length: int = LENGTH, seed: int = SEED) -> DataFrame:
     names = parts.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, first, copies, offset = table.value.T
         for batch in batches:
-            size, rank = batch.column("length").to_numpy(), batch.column("__rank").to_numpy()
-            wanted = size * RANKS + rank
-            at = np.searchsorted(keys, wanted, "right") - 1
-            nth = wanted - keys[at]
-            added = [pa.array(first[at] + nth // copies[at]), pa.array(offset[at] + nth % copies[at] * size)]
+            added = map(pa.array, look_up(table.value, batch.column("length").to_numpy(), batch.column("__rank").to_numpy()))
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), *added], names=[*names, "sequence_id", "offset"])
 
     added = [T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())]
     return ranked.mapInArrow(run, T.StructType([*parts.schema.fields, *added]))
 
 
+def in_file_order(docs: DataFrame, name: str = "__place", seed: int = SEED) -> DataFrame:
+    """Adds the number of each row in the order of the files that `docs` reads, part files by number, rows by place."""
+    docs = docs.drop(name)
+    try:
+        about = docs.metadataColumn("_metadata")
+        stored = docs.select("*", about["file_path"].alias("__file"), about["row_index"].alias("__row"))
+    except AnalysisException as error:
+        if error.getCondition() not in ("UNRESOLVED_COLUMN.WITH_SUGGESTION", "UNRESOLVED_COLUMN.WITHOUT_SUGGESTION", "CANNOT_RESOLVE_DATAFRAME_COLUMN"):
+            raise
+        keyed = materialise(docs.withColumn("__key", shuffle_key(seed, F.col("doc_id"))))
+        slotted = keyed.withColumn("__slot", shuffle_slot(F.col("__key"), slots_for(keyed.count())))
+        return rank_in_groups(slotted, [], "__slot", ["__key", "doc_id", "text"], rank=name).drop("__key", "__slot")
+    held = {r["__file"]: r["n"] for r in stored.groupBy("__file").agg(F.count(F.lit(1)).alias("n")).collect()}  # a row per file
+    first, rows = 0, []
+    for file in sorted(held, key=lambda f: [int(x) if x.isdigit() else x for x in re.split(r"(\d+)", f)]):
+        rows.append((file, first))
+        first += held[file]
+    firsts = docs.sparkSession.createDataFrame(rows, "__of string, __first bigint")
+    # A file may lack the rows that a filter took: numbers grow with the order, and aren't gapless then.
+    joined = stored.join(F.broadcast(firsts), F.col("__file") == F.col("__of"))  # a row per file
+    return joined.withColumn(name, F.col("__first") + F.col("__row")).drop("__of", "__first", "__file", "__row")
+
+
+def _pack_stretch(pieces: pa.Table, place: str, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sequence and offset of the pieces of one stretch; sequences follow the first document in them."""
+    at, size, piece = (pieces.column(c).to_numpy() for c in (place, "length", "piece"))
+    sequence, offset = at * NUMBERS + piece + 1, np.zeros(len(at), np.int64)
+    short = np.flatnonzero(size < length)
+    if len(short):
+        short = short[np.lexsort((at[short], size[short]))]
+        kinds, starts, counts = np.unique(size[short], return_index=True, return_counts=True)
+        rank = np.arange(len(short)) - np.repeat(starts, counts)
+        table = places(plan(dict(zip(kinds.tolist(), counts.tolist())), length))
+        number, offset[short] = look_up(table, size[short], rank)
+        first = np.full(number.max() + 1, np.iinfo(np.int64).max)
+        np.minimum.at(first, number, at[short])
+        sequence[short] = first[number] * NUMBERS
+    return sequence, offset
+
+
+def pack_in_order(parts: DataFrame, place: str = "__place", length: int = LENGTH, rows: int = STRETCH_ROWS) -> DataFrame:
+    """Adds `sequence_id` and `offset` to pieces whose documents are numbered; ids grow with the numbers."""
+    parts = parts.drop("sequence_id", "offset")
+    kept = [c for c in parts.columns if c != place]
+    schema = T.StructType(
+        [*(parts.schema[c] for c in kept), T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())]
+    )
+
+    def run(table: pa.Table) -> pa.Table:
+        added = _pack_stretch(table, place, length)
+        return pa.Table.from_arrays([*(table.column(c) for c in kept), *map(pa.array, added)], names=schema.names)
+
+    lone = F.xxhash64(place, F.floor(F.col("piece") / LONE_PIECES))
+    alone = F.when(F.col("length") >= length, lone)  # null: packed with the stretch
+    return parts.groupBy(F.floor(F.col(place) / rows), alone).applyInArrow(run, schema)
+
+
 def sequences(packed: DataFrame) -> DataFrame:
     """Packed pieces with ids to whole sequences: sequence_id, length, ids and the pieces in order."""
     inside = F.sort_array(F.collect_list(F.struct("offset", "doc_id", "piece", "length", "ids")))  # a sequence's pieces

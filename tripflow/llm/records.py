@@ -18,7 +18,7 @@ in its index rows only; what a lost task leaves is named nowhere.
 
 Defined results: a null or empty text is a record with the end id; null ids
 come first; rows with equal ids follow the order of their texts; an empty table
-gives an empty index; further columns are not read.
+gives an empty index; a very long text is one record, held in one task; further columns are not read.
 """
 
 from __future__ import annotations
@@ -26,7 +26,8 @@ from __future__ import annotations
 import struct
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -36,9 +37,13 @@ from pyspark.sql import functions as F
 
 from tripflow.llm.tokens import in_parts, load_tokenizer, width_for, worker_encoder
 from tripflow.session import materialise, scratch_path, shuffle_parts
+from tripflow.sources.footers import arrow_filesystem, store_settings
 
 END_ID = 0
 FILE_BYTES = 256 << 20
+
+# Files that a task holds open while it reads records in any order.
+OPEN_FILES = 64
 HEAD, TAIL, INNER = "<QI", "<I", "<BI"
 
 INDEX = "doc_id bigint, file string, offset bigint, size bigint, n_tokens bigint, part int, before bigint"
@@ -67,17 +72,6 @@ def unframe(record: bytes) -> bytes:
     return np.frombuffer(payload, f"<u{width}", n, struct.calcsize(INNER)).astype("<u4").tobytes()
 
 
-def filesystem(uri: str):
-    """The file system of a path and the path in it; a path without a scheme is a local one."""
-    from pyarrow import fs
-
-    if "://" not in uri and not uri.startswith("file:"):
-        return fs.LocalFileSystem(), uri
-    if uri.startswith("file:"):
-        return fs.LocalFileSystem(), "/" + uri.removeprefix("file:").lstrip("/")
-    return fs.FileSystem.from_uri(uri.replace("s3a://", "s3://", 1))
-
-
 def write_records(docs: DataFrame, folder: str, tokenizer: str, end_id: int = END_ID, file_bytes: int = FILE_BYTES) -> DataFrame:
     """Writes record files below `folder`, a place that all executors reach, and returns the stored index."""
     data = load_tokenizer(tokenizer)
@@ -85,23 +79,49 @@ def write_records(docs: DataFrame, folder: str, tokenizer: str, end_id: int = EN
     shared = docs.sparkSession.sparkContext.broadcast(data)  # one vocabulary file
     end = np.array([end_id], f"<u{width}").tobytes()
 
+    def coded(batch: pa.RecordBatch) -> list[bytes]:
+        return [ids + end for ids in worker_encoder(shared.value, width).encode(batch.column("text"))]
+
+    return _write(docs.select("doc_id", "text"), coded, folder, width, file_bytes)
+
+
+def write_ids(rows: DataFrame, folder: str, width: int = 4, file_bytes: int = FILE_BYTES) -> DataFrame:
+    """Writes records of given ids, rows of (doc_id, ids as unsigned 32-bit integers), with `width` bytes each."""
+
+    def coded(batch: pa.RecordBatch) -> list[bytes]:
+        found = []
+        for value in batch.column("ids"):
+            ids = np.frombuffer(value.as_py() or b"", "<u4")
+            if len(ids) and int(ids.max()) >> (8 * width):
+                raise OverflowError("an id does not fit the width of the file")
+            found.append(ids.astype(f"<u{width}").tobytes())
+        return found
+
+    return _write(rows.select("doc_id", "ids"), coded, folder, width, file_bytes)
+
+
+def _write(
+    read: DataFrame, coded: Callable[[pa.RecordBatch], list[bytes]], folder: str, width: int, file_bytes: int
+) -> DataFrame:
+    """Ranges (doc_id, content) by both, writes what `coded` makes of the content, and returns the stored index."""
+    settings, content = store_settings(read.sparkSession), read.columns[1]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = worker_encoder(shared.value, width)
         part, own = TaskContext.get().partitionId(), uuid.uuid4().hex
-        system, base = filesystem(folder)
+        system, base = arrow_filesystem(folder, settings)
         out, name, files, at, before = None, "", 0, 0, 0
         try:
             for batch in (part for whole in batches for part in in_parts(whole)):
                 names, offsets, sizes, counts, starts = [], [], [], [], []
-                for ids in encoder.encode(batch.column("text")):
+                for ids in coded(batch):
                     if out is None or at >= file_bytes:
                         if out is not None:
                             out.close()
                         name, files, at = f"part-{part:06d}-{files:04d}-{own}.rec", files + 1, 0
                         system.create_dir(base, recursive=True)
                         out = system.open_output_stream(f"{base}/{name}")
-                    record = frame(ids + end, width)
-                    n = len(ids) // width + 1
+                    record = frame(ids, width)
+                    n = len(ids) // width
                     out.write(record)
                     names.append(name), offsets.append(at), sizes.append(len(record)), counts.append(n), starts.append(before)
                     at, before = at + len(record), before + n
@@ -115,9 +135,8 @@ def write_records(docs: DataFrame, folder: str, tokenizer: str, end_id: int = EN
             if out is not None:
                 out.close()
 
-    read = docs.select("doc_id", "text")
-    ranged = read.repartitionByRange(shuffle_parts(docs.sparkSession), "doc_id", F.crc32(F.col("text").cast("binary")))
-    index = materialise(ranged.sortWithinPartitions("doc_id", "text").mapInArrow(run, INDEX))
+    ranged = read.repartitionByRange(shuffle_parts(read.sparkSession), "doc_id", F.crc32(F.col(content).cast("binary")))
+    index = materialise(ranged.sortWithinPartitions("doc_id", content).mapInArrow(run, INDEX))
     earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # a row per range
     firsts = index.groupBy("part").agg(F.sum("n_tokens").alias("__n"))
     firsts = firsts.select(F.col("part").alias("__part"), F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__first"))
@@ -127,17 +146,20 @@ def write_records(docs: DataFrame, folder: str, tokenizer: str, end_id: int = EN
 
 def read_records(index: DataFrame, folder: str) -> DataFrame:
     """The records that index rows name, in any order: the index's columns and `ids`, unsigned 32-bit integers."""
-    names = index.columns
+    names, settings = index.columns, store_settings(index.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        system, base = filesystem(folder)
-        name, source = None, None
+        system, base = arrow_filesystem(folder, settings)
+
+        @lru_cache(OPEN_FILES)
+        def opened(name: str):
+            return system.open_input_file(f"{base}/{name}")  # closed when it falls out and nobody holds it
+
         for batch in batches:
             ids, held, kept = [], 0, 0
             rows = zip(*(batch.column(c).to_pylist() for c in ("file", "offset", "size")))
             for row, (file, offset, size) in enumerate(rows):
-                if file != name:
-                    name, source = file, system.open_input_file(f"{base}/{file}")
+                source = opened(file)
                 source.seek(offset)
                 ids.append(unframe(source.read(size)))
                 held += size
