@@ -48,9 +48,10 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of documents with their place in sequences of 1024 tokens."""
-    cut = packing.pieces(docs, TOKENIZER, length=1024, end_id=2)
-    return packing.pack(cut.withColumn("ids_crc32", F.crc32("ids")).drop("ids"), length=1024)
+    """Pieces of documents with their ids and their place in sequences of 1024 tokens, which follow the training order."""
+    numbered = packing.in_file_order(docs, "__place")
+    cut = packing.pieces(numbered, TOKENIZER, length=1024, end_id=2, keep=["__place"])
+    return packing.pack_in_order(cut.withColumn("ids_crc32", F.crc32("ids")), "__place", length=1024)
 
 
 STAGES = [
