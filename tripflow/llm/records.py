@@ -111,7 +111,7 @@ def _write(
         system, base = arrow_filesystem(folder, settings)
         out, name, files, at, before = None, "", 0, 0, 0
         try:
-            for batch in (part for whole in batches for part in in_parts(whole)):
+            for batch in (part for whole in batches for part in in_parts(whole, content)):
                 names, offsets, sizes, counts, starts = [], [], [], [], []
                 for ids in coded(batch):
                     if out is None or at >= file_bytes:
