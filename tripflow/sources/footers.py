@@ -36,11 +36,9 @@ def arrow_filesystem(uri: str, settings: Mapping[str, str] | None = None):
     from pyarrow import fs
 
     scheme = urlsplit(uri).scheme if ":" in uri.split("/", 1)[0] else ""
-    if scheme not in OPENED:
-        raise ValueError(f"no file system for {uri!r} inside tasks")
     if scheme in ("", "file"):
         return fs.LocalFileSystem(), uri if not scheme else "/" + uri.removeprefix("file:").lstrip("/")
-    if scheme == "hdfs" or not settings:
+    if scheme not in ("s3", "s3a") or not settings:
         return fs.FileSystem.from_uri(uri.replace("s3a://", "s3://", 1))
     # Own object stores are asked by path; Arrow does so wherever an endpoint is given.
     options = dict(settings)
