@@ -86,6 +86,62 @@ def test_top_k(spark):
     assert set(got) == set(range(0, 300, 50))
 
 
+def clustered(spark, clusters=24, rows=60, dim=6):
+    rng = np.random.default_rng(7)
+    centres = rng.normal(size=(clusters, dim)) * 4
+    made = [(c * rows + i, (centres[c] + rng.normal(size=dim) * 0.05).tolist()) for c in range(clusters) for i in range(rows)]
+    return spark.createDataFrame(made, "vec_id long, embedding array<double>"), made
+
+
+@pytest.mark.parametrize("group", [1, 4])
+def test_top_k_over_cells_of_space(spark, monkeypatch, group):
+    monkeypatch.setattr(topk, "SHARD_ROWS", 40)
+    monkeypatch.setattr(topk, "BLOCK_QUERIES", 8)
+    monkeypatch.setattr(topk, "GROUP_SHARDS", group)
+    df, made = clustered(spark)
+    twins = spark.createDataFrame([(9_000 + i % 2, [5.0] * 6) for i in range(300)], df.schema)
+    made = made + [(9_000 + i % 2, [5.0] * 6) for i in range(300)] + [(9_500, [1.0, 2.0])]
+    df = df.unionByName(twins).unionByName(spark.createDataFrame([(9_500, [1.0, 2.0])], df.schema))
+    got = collections.defaultdict(list)
+    for r in topk.top_k(df, F.col("vec_id") % 50 == 0).orderBy("query_id", "rank").collect():
+        got[r["query_id"]].append((r["vec_id"], r["score"]))
+    good = [(i, np.floor(256 * np.array(v)).astype(int)) for i, v in made]
+    for q in {i for i, _ in good if i % 50 == 0}:
+        own = next(v for i, v in good if i == q)
+        best = sorted((-int(own @ v), i) for i, v in good if i != q and len(v) == len(own))[:5]
+        assert got[q] == [(i, -s) for s, i in best]
+
+
+def test_trees_go_only_where_a_box_reaches(spark, monkeypatch):
+    monkeypatch.setattr(topk, "SHARD_ROWS", 60)
+    monkeypatch.setattr(topk, "BLOCK_QUERIES", 8)
+    df, _ = clustered(spark)
+    points = df.select("vec_id", topk.quantised(F.col("embedding")).alias("vector")).withColumn("dim", F.size("vector"))
+    space = topk.split_space(points)
+    trees = topk.plant(points, space)
+    boxes = topk.cell_boxes(trees, space)
+    assert trees.agg(F.sum("n")).first()[0] == 24 * 60 and len(boxes[6][0]) > 12
+    queries = points.filter("vec_id % 5 = 0").withColumnRenamed("vec_id", "query_id")
+    queries = topk.in_blocks(topk.best_cell(queries, boxes))
+    best = {r["query_id"]: r["score"] for r in topk.top_k(df, F.col("vec_id") % 5 == 0).filter("rank = 5").collect()}
+    floors = spark.createDataFrame(list(best.items()), "query_id long, floor long")
+    asked = topk.asked_groups(topk.cells_in_reach(queries.join(floors, "query_id"), boxes), trees)
+    block = ["dim", "home", "part"]
+    shipped = asked.select(*block, "cell", "group").distinct().count()
+    everything = queries.select(*block).distinct().count() * trees.select("cell", "group").distinct().count()
+    assert shipped < everything / 3
+
+
+def test_top_k_of_one_hot_row(spark, monkeypatch):
+    monkeypatch.setattr(topk, "SHARD_ROWS", 10)
+    rows = [(1, [1.0])] * 40 + [(2, [1.0])] * 3 + [(3, [0.5])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    points = df.select("vec_id", topk.quantised(F.col("embedding")).alias("vector")).withColumn("dim", F.size("vector"))
+    assert collections.Counter(r["vec_id"] for r in topk.few_copies(points, 5).collect()) == {1: 5, 2: 3, 3: 1}
+    got = topk.top_k(df, F.col("vec_id") != 2, k=5).orderBy("query_id", "rank").collect()
+    assert [(r["query_id"], r["vec_id"]) for r in got] == [(1, 2)] * 3 + [(1, 3)] + [(3, 1)] * 5
+
+
 def test_encoder_equals_the_library(odd_docs):
     texts = ["a b\nc", "x y", " a", "a  b\n", "don't 12 3.5, a² naïve… «q» <|endoftext|> x", "é x.. y?!\n'tis", "", "tab\there", "a b"]
     texts += [r["text"] for r in odd_docs.collect()]

@@ -1,15 +1,21 @@
 """Exact search for the highest inner products with KD-trees, one per shard.
 
-Rows are hashed into shards of bounded size. In a shard, median splits of the
+Rows go to cells of space by the upper levels of one KD split, whose medians
+come from a sample of at most `SAMPLE_NUMBERS` components (every row is placed,
+and the results don't depend on the sample). A cell of more than `SHARD_ROWS` rows is
+several shards, by hash. In a shard, median splits of the
 widest side give a balanced tree whose nodes carry tight bounding boxes. A
 query walks a tree best-first: for a box from `lo` to `hi` no product can pass
 the sum of q * hi where q is positive and q * lo where it isn't, and the walk
 ends when the best box left is below the kth score so far. That score is
 carried along: from shard to shard in a task, and from a first group of shards
-to all others.
+to all others. The first group lies in the cell of the query's best bound; of the other
+cells only those are asked whose tight box reaches the score found there.
 
-Queries come in blocks and shards in groups, both of bounded size; a task holds
-one block and one group. All arithmetic is on integers.
+Queries come in blocks that share their best cell, and shards in groups, both of bounded size; a task holds
+one block and one group, and a group's trees go only to blocks with a query
+that asks it. All arithmetic is on integers. Vectors of the `SPLIT_LENGTHS`
+commonest lengths have cells; those of any other length are one cell a length.
 
 Defined results: vectors that are null or hold null or non-finite components
 take no part, as query or candidate, and neither do rows without an id;
@@ -23,11 +29,15 @@ component or score that doesn't fit 64 bits raises.
 from __future__ import annotations
 
 import heapq
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tripflow.session import materialise
 
@@ -36,7 +46,15 @@ LEAF_ROWS = 64
 BLOCK_QUERIES = 128
 GROUP_SHARDS = 4
 
-TREES = "dim int, shard int, n int, ids binary, vectors binary, low binary, high binary"
+# Bounds of what the driver holds: sampled components and rows per cell, for so many lengths.
+SAMPLE_NUMBERS = 1 << 20
+SAMPLE_PER_CELL = 16
+SPLIT_LENGTHS = 4
+
+TREES = (
+    "dim int, cell int, shard int, n int, ids binary, vectors binary, low binary, high binary, "
+    "box_low array<bigint>, box_high array<bigint>"
+)
 HITS = "query_id bigint, vec_id bigint, score bigint"
 
 
@@ -85,9 +103,8 @@ class Tree:
 
         `floors` are scores that k rows elsewhere are known to reach.
         """
-        kind = exact_kind(queries, self.low, self.high)
-        asked, points = queries.astype(kind), self.vectors.astype(kind)
-        bounds = np.maximum(asked, 0) @ self.high.astype(kind).T + np.minimum(asked, 0) @ self.low.astype(kind).T
+        bounds = box_bounds(queries, self.low, self.high)
+        asked, points = queries.astype(bounds.dtype), self.vectors.astype(bounds.dtype)
         for i, query in enumerate(asked):
             best, known = found[i], bounds[i]
             heap = [(-known[0], 0)]
@@ -123,6 +140,142 @@ def exact_kind(queries: np.ndarray, low: np.ndarray, high: np.ndarray) -> type:
     return np.float64 if most < 1 << 53 else np.int64
 
 
+def box_bounds(queries: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """The highest product that each query (row) can have with a vector of each box (column)."""
+    kind = exact_kind(queries, low, high)
+    asked = queries.astype(kind)
+    return np.maximum(asked, 0) @ high.astype(kind).T + np.minimum(asked, 0) @ low.astype(kind).T
+
+
+@dataclass
+class Cells:
+    """The upper levels of a KD split; node k has the children 2k+1 and 2k+2, and a node without a side is a cell."""
+
+    sides: np.ndarray
+    values: np.ndarray
+
+    @classmethod
+    def split(cls, sample: np.ndarray, cells: int) -> Cells:
+        sides, values, todo = {}, {}, [(0, np.arange(len(sample)), cells)]
+        while todo:
+            node, rows, share = todo.pop()
+            own = sample[rows]
+            spread = own.max(0) - own.min(0)
+            side = int(np.argmax(spread))
+            sides[node], values[node] = -1, 0
+            if share < 2 or not spread[side]:
+                continue
+            x = own[:, side]
+            value = np.sort(x)[len(x) // 2]
+            value = value if value > x.min() else x[x > value].min()
+            sides[node], values[node] = side, value
+            todo += [(2 * node + 1, rows[x < value], share - share // 2), (2 * node + 2, rows[x >= value], share // 2)]
+        numbers = range(max(sides) + 1)
+        return cls(np.array([sides.get(k, -1) for k in numbers]), np.array([values.get(k, 0) for k in numbers], np.int64))
+
+    def place(self, vectors: np.ndarray) -> np.ndarray:
+        """The node of the cell that holds each vector."""
+        node = np.zeros(len(vectors), np.int64)
+        while (inner := np.flatnonzero(self.sides[node] >= 0)).size:
+            at = node[inner]
+            node[inner] = 2 * at + 1 + (vectors[inner, self.sides[at]] >= self.values[at])
+        return node
+
+
+def _matrix(column: pa.Array, dim: int) -> np.ndarray:
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, dim)
+
+
+def _by_length(df: DataFrame, lengths: list[int], fn: Callable, other: object, field: T.StructField, kind: pa.DataType) -> DataFrame:
+    """Adds a column: `fn(dim, vectors, rows of the batch)` for rows of the given lengths, else `other`."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            dims, out = batch.column("dim").to_numpy(), [other] * batch.num_rows
+            for dim in lengths:
+                rows = np.flatnonzero(dims == dim)
+                if rows.size:
+                    part = batch.take(pa.array(rows))
+                    for row, value in zip(rows, fn(dim, _matrix(part.column("vector"), dim), part)):
+                        out[row] = value
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, kind)], names=[*batch.schema.names, field.name])
+
+    return df.mapInArrow(run, T.StructType([*df.schema.fields, field]))
+
+
+def split_space(points: DataFrame) -> dict[int, Cells]:
+    """The split of each of the commonest lengths that fill more than one shard."""
+    lengths = points.filter("dim > 0").groupBy("dim").agg(F.count(F.lit(1)).alias("n"))
+    out = {}
+    for dim, n in lengths.orderBy(F.col("n").desc(), "dim").limit(SPLIT_LENGTHS).collect():
+        rows = SAMPLE_NUMBERS // dim
+        cells = min(-(-n // SHARD_ROWS), rows // SAMPLE_PER_CELL)
+        if cells > 1:
+            share = F.pmod(F.xxhash64(F.lit(2), "vec_id", "vector"), F.lit(1 << 62)) < int(min(1.0, rows / n) * (1 << 62))
+            sample = points.filter((F.col("dim") == dim) & share).select("vector").limit(2 * rows).toArrow()["vector"].combine_chunks()
+            if len(sample):
+                out[dim] = Cells.split(_matrix(sample, dim), cells)
+    return out
+
+
+def plant(points: DataFrame, space: dict[int, Cells]) -> DataFrame:
+    """A tree per shard of (dim, vec_id, vector) rows, with its cell, its group and its tight box."""
+    place = lambda dim, vectors, _: space[dim].place(vectors)
+    dealt = _by_length(points, list(space), place, 0, T.StructField("cell", T.IntegerType()), pa.int32())
+    sizes = dealt.groupBy("dim", "cell").agg(F.ceil(F.count(F.lit(1)) / SHARD_ROWS).alias("shards"))  # a row per cell
+    shard = F.pmod(F.xxhash64("vec_id", "vector"), F.col("shards")).cast("int")
+    dealt = dealt.join(materialise(sizes), ["dim", "cell"]).withColumn("shard", shard)
+    trees = dealt.groupBy("dim", "cell", "shard").applyInPandas(_plant, TREES)
+    return materialise(trees.withColumn("group", F.floor(F.col("shard") / GROUP_SHARDS).cast("int")))
+
+
+Boxes = dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]
+
+
+def cell_boxes(trees: DataFrame, space: dict[int, Cells]) -> Boxes:
+    """Cells and their lowest and highest corners per split length: at most SAMPLE_NUMBERS / SAMPLE_PER_CELL numbers each."""
+    out = {}
+    for dim in space:
+        sides = F.posexplode(F.arrays_zip("box_low", "box_high")).alias("side", "box")
+        ends = trees.filter(F.col("dim") == dim).select("cell", sides).groupBy("cell", "side")
+        ends = ends.agg(F.min("box.box_low").alias("low"), F.max("box.box_high").alias("high")).toPandas().sort_values(["cell", "side"])
+        corners = (ends[c].to_numpy(np.int64).reshape(-1, dim) for c in ("low", "high"))
+        out[dim] = (np.unique(ends["cell"].to_numpy()), *corners)
+    return out
+
+
+def best_cell(queries: DataFrame, boxes: Boxes) -> DataFrame:
+    """Adds `home`, the cell of each query's best bound."""
+
+    def fn(dim: int, vectors: np.ndarray, _: pa.RecordBatch) -> np.ndarray:
+        cells, low, high = boxes[dim]
+        return cells[box_bounds(vectors, low, high).argmax(1)]
+
+    return _by_length(queries, list(boxes), fn, 0, T.StructField("home", T.IntegerType()), pa.int32())
+
+
+def cells_in_reach(queries: DataFrame, boxes: Boxes) -> DataFrame:
+    """Adds `cells`, those whose box reaches the query's `floor`; all where it has none."""
+
+    def fn(dim: int, vectors: np.ndarray, rows: pa.RecordBatch) -> Iterator[np.ndarray]:
+        cells, low, high = boxes[dim]
+        for bounds, floor in zip(box_bounds(vectors, low, high), rows.column("floor").to_pylist()):
+            yield cells if floor is None else cells[bounds >= floor]
+
+    return _by_length(queries, list(boxes), fn, [0], T.StructField("cells", T.ArrayType(T.IntegerType())), pa.list_(pa.int32()))
+
+
+def few_copies(points: DataFrame, k: int) -> DataFrame:
+    """Rows of ids that fill a shard are left in at most k equal copies: no answer holds more."""
+    often = materialise(points.groupBy("vec_id").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > SHARD_ROWS).select("vec_id"))
+    if often.isEmpty():
+        return points
+    counted = points.join(often, "vec_id", "left_semi").groupBy(*points.columns).agg(F.count(F.lit(1)).alias("n"))
+    again = F.explode(F.sequence(F.lit(1), F.least(F.col("n"), F.lit(k)).cast("int")))
+    folded = counted.withColumn("copy", again).select(*points.columns)
+    return materialise(points.join(often, "vec_id", "left_anti").unionByName(folded))
+
+
 def _plant(rows: pd.DataFrame) -> pd.DataFrame:
     dim = int(rows["dim"].iloc[0])
     vectors = np.array(rows["vector"].tolist(), np.int64).reshape(len(rows), dim)
@@ -130,8 +283,9 @@ def _plant(rows: pd.DataFrame) -> pd.DataFrame:
     small = np.int16 if vectors.size == 0 or np.abs(vectors).max() < 1 << 15 else np.int64
     pack = lambda x: x.astype(small).tobytes()
     return pd.DataFrame(
-        {"dim": [dim], "shard": [int(rows["shard"].iloc[0])], "n": [len(rows)], "ids": [tree.ids.tobytes()],
-         "vectors": [pack(tree.vectors)], "low": [pack(tree.low)], "high": [pack(tree.high)]}
+        {"dim": [dim], "cell": [int(rows["cell"].iloc[0])], "shard": [int(rows["shard"].iloc[0])], "n": [len(rows)],
+         "ids": [tree.ids.tobytes()], "vectors": [pack(tree.vectors)], "low": [pack(tree.low)], "high": [pack(tree.high)],
+         "box_low": [tree.low[0].tolist()], "box_high": [tree.high[0].tolist()]}
     )
 
 
@@ -161,34 +315,47 @@ def _searcher(k: int):
     return run
 
 
+def in_blocks(queries: DataFrame) -> DataFrame:
+    """Adds `part`: queries of one length and home are blocks of about BLOCK_QUERIES rows; stored."""
+    queries = materialise(queries)
+    sizes = queries.groupBy("dim", "home").agg(F.ceil(F.count(F.lit(1)) / BLOCK_QUERIES).alias("parts"))  # a row per cell
+    part = F.pmod(F.xxhash64("query_id"), F.col("parts")).cast("int")
+    return materialise(queries.join(sizes, ["dim", "home"]).withColumn("part", part).drop("parts"))
+
+
+def asked_groups(asked: DataFrame, trees: DataFrame) -> DataFrame:
+    """A row per query and group of a cell in its reach, but for the group that was asked first."""
+    groups = trees.select("dim", "cell", "group").distinct()
+    later = asked.withColumn("cell", F.explode("cells")).drop("cells").join(groups, ["dim", "cell"])
+    return later.filter((F.col("cell") != F.col("home")) | (F.col("group") != 0))
+
+
+def search(asked: DataFrame, trees: DataFrame, k: int) -> DataFrame:
+    """The hits of each query in the group of its row; a task holds one block and one group."""
+    work = ["dim", "home", "part", "cell", "group"]
+    # New names for the same columns, so that both sides can be told apart.
+    wanted = asked.select(*[F.col(c).alias(f"{c}_") for c in work]).distinct()
+    sent = wanted.withColumnsRenamed({f"{c}_": c for c in work}).join(trees, ["dim", "cell", "group"])
+    return asked.groupBy(*work).cogroup(sent.groupBy(*work)).applyInPandas(_searcher(k), HITS)
+
+
 def top_k(vectors: DataFrame, is_query: Column, k: int = 5, scale: int = 256) -> DataFrame:
     """query_id, rank, vec_id and score of each query's k best rows; (vec_id, embedding) is read."""
     read = vectors.select("vec_id", quantised(F.col("embedding"), scale).alias("vector")).filter("vec_id IS NOT NULL AND vector IS NOT NULL")
     points = materialise(read.withColumn("dim", F.size("vector")))
-    # A shard holds rows of one length.
-    shards = max(1, -(-points.count() // SHARD_ROWS))
-    dealt = points.withColumn("shard", F.pmod(F.xxhash64("vec_id", "vector"), F.lit(shards)).cast("int"))
-    trees = materialise(dealt.groupBy("dim", "shard").applyInPandas(_plant, TREES))
-    groups = -(-shards // GROUP_SHARDS)
-    trees = trees.withColumn("group", (F.col("shard") % groups).cast("int"))
+    points = few_copies(points, k)
+    space = split_space(points)
+    trees = plant(points, space)
+    boxes = cell_boxes(trees, space)
 
     queries = points.filter(is_query).groupBy(F.col("vec_id").alias("query_id")).agg(F.min(F.struct("dim", "vector")).alias("v"))
-    queries = materialise(queries.select("query_id", "v.*"))
-    blocks = max(1, -(-queries.count() // BLOCK_QUERIES))
-    queries = queries.withColumn("block", F.pmod(F.xxhash64("query_id"), F.lit(blocks)).cast("int"))
-    home = F.pmod(F.col("block"), F.lit(groups)).cast("int")
-
-    # Groups go to the blocks that ask them; every pair of block and group is one cell.
-    sent = trees.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    cell = ["dim", "block", "group"]
-    first = queries.withColumn("group", home).withColumn("floor", F.lit(None).cast("long"))
-    near = sent.filter(home == F.col("group"))
-    hits = materialise(first.groupBy(*cell).cogroup(near.groupBy(*cell)).applyInPandas(_searcher(k), HITS))
+    queries = in_blocks(best_cell(queries.select("query_id", "v.*"), boxes))
+
+    first = queries.withColumns({"cell": F.col("home"), "group": F.lit(0), "floor": F.lit(None).cast("long")})
+    hits = materialise(search(first, trees, k))
     full = hits.groupBy("query_id").agg(F.when(F.count(F.lit(1)) >= k, F.min("score")).alias("floor"))
-    every = F.explode(F.sequence(F.lit(0), F.lit(groups - 1)))
-    later = queries.join(full, "query_id", "left").withColumn("group", every).filter(home != F.col("group"))
-    far = sent.filter(home != F.col("group"))
-    rest = later.groupBy(*cell).cogroup(far.groupBy(*cell)).applyInPandas(_searcher(k), HITS)
+    asked = materialise(cells_in_reach(queries.join(full, "query_id", "left"), boxes))
+    rest = search(asked_groups(asked, trees), trees, k)
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("vec_id"))
     ranked = hits.unionByName(rest).withColumn("rank", F.row_number().over(order).cast("int"))
     return ranked.filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
