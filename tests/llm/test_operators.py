@@ -66,6 +66,26 @@ def test_line_index_forgets_deleted_documents(spark, make_docs):
         index.delete(b)
 
 
+def test_line_index_outlives_its_session(spark, make_docs, tmp_path, monkeypatch):
+    monkeypatch.setattr(line_dedup, "SHARD_KEYS", 2)
+    first = make_docs([f"common\nalso {i % 3}\nown {i}" for i in range(9)])
+    second = make_docs([f"common\nnew {i % 4}" for i in range(12)])
+    index = line_dedup.LineIndex(spark, min_docs=3, shards=1)
+    a = index.keys(first)
+    index.insert(a)
+    assert index.shards == 2 and index.frequent().count() == 4
+    index.save(f"{tmp_path}/index")
+    other = line_dedup.LineIndex.open(spark.newSession(), f"{tmp_path}/index")
+    assert (other.shards, other.min_docs, other.min_chars) == (2, 3, 1)
+    b = other.keys(second)
+    other.insert(b)
+    assert other.shards == 4 and other.frequent().count() == 8
+    assert {r["kept_text"] for r in other.clean(second, b).collect()} == {""}
+    other.delete(a)  # keys dealt to fewer shards
+    assert sorted(r["n"] for r in other.counts.collect()) == [3, 3, 3, 3, 12] and other.frequent().count() == 5
+    assert other.probe(a).count() >= 9 and index.frequent().count() == 4
+
+
 def test_line_dedup_of_odd_texts(odd_docs):
     got = {r["doc_id"]: r for r in line_dedup.dedup_lines(odd_docs, min_docs=2).collect()}
     assert got[0]["kept_text"] == "" and got[0]["n_lines"] == 1 and got[2]["n_dropped"] == 0
@@ -411,7 +431,7 @@ def test_pipeline_keeps_one_of_many_copies(spark, make_docs):
 CLASHING = (
     "n_lines n_dropped kept_text shard slot position total rank before size rows words key copies positions source_size target score "
     "quality n hi lo cell filter signature component component_id class_id length piece start ids sequence_id offset file part found "
-    "toxic fold w b"
+    "toxic fold w b __drop __doc __size"
 ).split()
 
 
@@ -420,13 +440,14 @@ def clashing_docs(spark, odd_docs):
     """Odd texts, all rows twice, rows without an id or without anything, and columns named like working names."""
     more = [(None, "without an id", "en", "wordless", None), (None, None, None, None, None), (70, "", "en", "wordless", 0), (71, " ", "en", "wordless", 1)]
     rows = odd_docs.union(odd_docs).union(spark.createDataFrame(more, odd_docs.schema))
-    return rows.withColumns({c: F.lit(f"own {c}") for c in CLASHING})
+    odd = {"a.b": F.lit("own dot"), "marks": F.create_map(F.lit("k"), F.lit(1))}
+    return rows.withColumns({**{c: F.lit(f"own {c}") for c in CLASHING}, **odd})
 
 
 @pytest.mark.parametrize(("name", "stage"), corpus_pipeline.STAGES)
 def test_stage_with_clashing_columns(spark, clashing_docs, name, stage):
     got = stage(spark, clashing_docs, "")
-    plain = stage(spark, clashing_docs.drop(*CLASHING), "")
+    plain = stage(spark, clashing_docs.drop(*CLASHING, "a.b", "marks"), "")
     count = lambda df: collections.Counter(map(tuple, df.select(*plain.columns).collect()))
     assert count(got) == count(plain)
     if stage is not corpus_pipeline.STAGES[-1][1]:

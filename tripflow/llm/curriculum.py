@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripflow.llm.quality import bind, words_of
-from tripflow.llm.ranking import rank_in_groups, shuffle_key, shuffle_slot, slots_for
+from tripflow.llm.ranking import numbered_names, rank_in_groups, shuffle_key, shuffle_slot, slots_for
 from tripflow.session import materialise, shuffle_parts
 
 # Knots (time, weight); dealt to the sources in turn. Their integrals are 3, 1 and 2.
@@ -163,18 +163,19 @@ def mix(
     seed: int = SEED,
 ) -> DataFrame:
     """The mixture: each document once per pass that takes it, in training order, with its own columns."""
-    columns = [f"`{c}`" for c in docs.columns]
-    sized = docs.withColumn("__size", word_count(F.col("text")))
-    narrow = sized.select("doc_id", "source", F.col("__size").alias("size"))
+    names, docs = docs.columns, numbered_names(docs)
+    doc_id, source, text = (f"c{names.index(c)}" for c in ("doc_id", "source", "text"))
+    sized = docs.withColumn("__size", word_count(F.col(text)))
+    narrow = sized.select(F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), F.col("__size").alias("size"))
     plan = plan_mixture(narrow, schedules, budget, max_repeats, seed).filter("copies > 0")
     plan = plan.select(
         F.col("doc_id").alias("__doc"), F.col("source").alias("__source"), F.col("size").alias("__words"), "positions"
     ).withColumnRenamed("positions", "__positions")
     same = (
-        sized["doc_id"].eqNullSafe(plan["__doc"])
-        & sized["source"].eqNullSafe(plan["__source"])
+        sized[doc_id].eqNullSafe(plan["__doc"])
+        & sized[source].eqNullSafe(plan["__source"])
         & (sized["__size"] == plan["__words"])
     )
     taken = sized.join(plan.hint("shuffle_hash"), same)
-    spread = taken.select(*columns, F.posexplode("__positions").alias("__pass", "__position"))
-    return by_position(spread, "__position", ["source", "doc_id", "__pass"]).select(*columns)
+    spread = taken.select(*docs.columns, F.posexplode("__positions").alias("__pass", "__position"))
+    return by_position(spread, "__position", [source, doc_id, "__pass"]).select(*docs.columns).toDF(*names)

@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripflow.llm.cuckoo import CuckooFilter
+from tripflow.llm.ranking import map_batches
 from tripflow.session import materialise, shuffle_parts
 
 BLANKS = b" \t\n\x0b\f\r"
@@ -43,7 +44,12 @@ MIN_CHARS = 1
 # Bounds of the rows that one probing cell holds.
 MIN_CELL, MAX_CELL = 2_048, 1_000_000
 
+# Frequent keys of a shard on average, from which on the shards are doubled.
+SHARD_KEYS = 1_000_000
+
+COUNTS = "hi bigint, lo bigint, shard int, n bigint"
 FILTERS = "shard int, filter binary"
+SETTINGS = "min_docs int, min_chars int, shards int"
 RESULTS = {"n_lines": T.LongType(), "n_dropped": T.LongType(), "kept_text": T.StringType()}
 
 
@@ -112,7 +118,9 @@ def _change(filters: pd.DataFrame, changes: pd.DataFrame) -> pd.DataFrame:
 class LineIndex:
     """Exact document counts per line key, and a cuckoo filter per shard over the frequent keys.
 
-    Both are tables in the shared folder, written anew by each change.
+    Both are tables in the shared folder, written anew by each change; `save`
+    copies them to a folder of one's own, from which `open` goes on in another
+    session. The shards are doubled as the frequent keys grow.
     """
 
     def __init__(self, spark: SparkSession, min_docs: int = MIN_DOCS, min_chars: int = MIN_CHARS, shards: int | None = None):
@@ -121,6 +129,35 @@ class LineIndex:
         self.counts: DataFrame | None = None
         self.filters = spark.createDataFrame([], FILTERS)
 
+    @classmethod
+    def open(cls, spark: SparkSession, path: str) -> LineIndex:
+        """The index that `save` wrote; its files stay as they are when it changes."""
+        index = cls(spark, **spark.read.schema(SETTINGS).parquet(f"{path}/settings").first().asDict())
+        index.counts = spark.read.schema(COUNTS).parquet(f"{path}/counts")
+        index.filters = spark.read.schema(FILTERS).parquet(f"{path}/filters")
+        return index
+
+    def save(self, path: str) -> None:
+        """Writes the index to a folder that must not be there yet; the settings come last, so only a whole index opens."""
+        counts = self.spark.createDataFrame([], COUNTS) if self.counts is None else self.counts
+        counts.select("hi", "lo", "shard", F.col("n").cast("long").alias("n")).write.parquet(f"{path}/counts")
+        self.filters.write.parquet(f"{path}/filters")
+        settings = [(self.min_docs, self.min_chars, self.shards)]
+        self.spark.createDataFrame(settings, SETTINGS).coalesce(1).write.parquet(f"{path}/settings")
+
+    def _dealt(self, keys: DataFrame) -> DataFrame:
+        """Keys with their shard of now: they may have been made when there were fewer."""
+        return keys.withColumn("shard", (F.shiftrightunsigned("hi", 33) % self.shards).cast("int"))
+
+    def _grow(self) -> None:
+        """Doubles the shards until a mean one holds SHARD_KEYS, and builds all filters anew."""
+        frequent, before = self.frequent().count(), self.shards
+        while frequent > SHARD_KEYS * self.shards:
+            self.shards *= 2
+        if self.shards != before:
+            self.counts = materialise(self._dealt(self.counts))
+            self.filters = materialise(self.frequent().groupBy("shard").applyInPandas(_build, FILTERS))
+
     def keys(self, docs: DataFrame) -> DataFrame:
         """The stored keys of documents, to be put in, taken out or looked up."""
         return materialise(document_keys(docs, self.min_chars, self.shards))
@@ -133,7 +170,7 @@ class LineIndex:
         self._apply(keys, -1)
 
     def _apply(self, keys: DataFrame, sign: int) -> None:
-        change = keys.groupBy("hi", "lo", "shard").agg((sign * F.count(F.lit(1))).alias("change"))
+        change = self._dealt(keys).groupBy("hi", "lo", "shard").agg((sign * F.count(F.lit(1))).alias("change"))
         if self.counts is None:
             merged = change.select("hi", "lo", "shard", F.lit(0).cast("long").alias("before"), F.col("change").alias("n"))
         else:
@@ -150,6 +187,7 @@ class LineIndex:
         full = updated.filter("filter IS NULL").select("shard")
         rebuilt = self.frequent().join(full, "shard", "left_semi").groupBy("shard").applyInPandas(_build, FILTERS)
         self.filters = materialise(updated.filter("filter IS NOT NULL").unionByName(rebuilt))
+        self._grow()
 
     def frequent(self) -> DataFrame:
         """The keys at or above the bound, exactly."""
@@ -164,6 +202,7 @@ class LineIndex:
         cell's burden, and every cell is sent its shard's filter ahead of its
         rows. A cell is streamed, never held.
         """
+        keys = self._dealt(keys)
         held = {r["shard"]: r["n"] for r in keys.groupBy("shard").agg(F.count(F.lit(1)).alias("n")).collect()}  # a row per shard
         size = max(MIN_CELL, min(MAX_CELL, 2 * sum(held.values()) // self.shards))
         rows, first = [], 0
@@ -216,16 +255,15 @@ class LineIndex:
         results = [prefix + c for c in RESULTS]
         docs = docs.drop(*results)
         drops = self.repeated_lines(keys)
-        drops = drops.select(F.col("doc_id").alias("__doc"), F.col("drop").alias("__drop")).hint("shuffle_hash")
-        joined = docs.join(drops, docs["doc_id"].eqNullSafe(drops["__doc"]), "left").drop("__doc")
+        drops = drops.select(F.col("doc_id").alias("__doc"), "drop").hint("shuffle_hash")
+        joined = docs.join(drops, docs["doc_id"].eqNullSafe(drops["__doc"]), "left").drop(drops["__doc"])  # the drop is the last column
         min_chars = self.min_chars
         names = docs.columns
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 total, gone, kept = [], [], []
-                drops = batch.column("__drop")
-                for text, drop in zip(batch.column("text").to_pylist(), drops.to_pylist()):
+                for text, drop in zip(batch.column("text").to_pylist(), batch.column(len(names)).to_pylist()):
                     text = text or ""
                     if not drop:
                         total.append(text.count("\n") + 1), gone.append(0), kept.append(text)
@@ -238,11 +276,11 @@ class LineIndex:
                             stay.append(line)
                     total.append(len(lines)), gone.append(len(lines) - len(stay)), kept.append("\n".join(stay))
                 added = [pa.array(total, pa.int64()), pa.array(gone, pa.int64()), pa.array(kept, pa.string())]
-                columns = [batch.column(c) for c in names] + added
+                columns = batch.columns[: len(names)] + added
                 yield pa.RecordBatch.from_arrays(columns, names=[*names, *results])
 
         added = [T.StructField(c, kind) for c, kind in zip(results, RESULTS.values())]
-        return joined.mapInArrow(run, T.StructType([*docs.schema.fields, *added]))
+        return map_batches(joined, run, T.StructType([*docs.schema.fields, *added]))
 
 
 def dedup_lines(docs: DataFrame, min_docs: int = MIN_DOCS, min_chars: int = MIN_CHARS, prefix: str = "") -> DataFrame:

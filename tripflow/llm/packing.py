@@ -210,6 +210,7 @@ def pack(parts: DataFrame, length: int = LENGTH, seed: int = SEED) -> DataFrame:
 def in_file_order(docs: DataFrame, name: str = "__place", seed: int = SEED) -> DataFrame:
     """Adds the number of each row in the order of the files that `docs` reads, part files by number, rows by place."""
     docs = docs.drop(name)
+    own = [f"`{c}`" for c in docs.columns]
     try:
         about = docs.metadataColumn("_metadata")
         stored = docs.select("*", about["file_path"].alias("__file"), about["row_index"].alias("__row"))
@@ -218,7 +219,7 @@ def in_file_order(docs: DataFrame, name: str = "__place", seed: int = SEED) -> D
             raise
         keyed = materialise(docs.withColumn("__key", shuffle_key(seed, F.col("doc_id"))))
         slotted = keyed.withColumn("__slot", shuffle_slot(F.col("__key"), slots_for(keyed.count())))
-        return rank_in_groups(slotted, [], "__slot", ["__key", "doc_id", "text"], rank=name).drop("__key", "__slot")
+        return rank_in_groups(slotted, [], "__slot", ["__key", "doc_id", "text"], rank="__at").select(*own, F.col("__at").alias(name))
     held = {r["__file"]: r["n"] for r in stored.groupBy("__file").agg(F.count(F.lit(1)).alias("n")).collect()}  # a row per file
     first, rows = 0, []
     for file in sorted(held, key=lambda f: [int(x) if x.isdigit() else x for x in re.split(r"(\d+)", f)]):

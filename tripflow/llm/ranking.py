@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Most distinct values of `shuffle_slot`, from the first four hex digits of its key.
 SLOTS = 65_536
@@ -14,6 +16,27 @@ SLOTS = 65_536
 CELL_ROWS = 5_000
 
 
+def numbered_names(df: DataFrame) -> DataFrame:
+    """The same columns as c0, c1 and so on, whatever their names hold."""
+    return df.toDF(*[f"c{i}" for i in range(len(df.columns))])
+
+
+def sortable(df: DataFrame) -> list[str]:
+    """The columns that can be ordered and hashed: those without maps and variants."""
+    kinds = ((f.name, f.dataType.simpleString()) for f in df.schema.fields)
+    return [name for name, kind in kinds if "map<" not in kind and "variant" not in kind]
+
+
+def map_batches(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: T.StructType) -> DataFrame:
+    """`mapInArrow` for columns of any name, a dot included."""
+    names = df.columns
+
+    def renamed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return run(batch.rename_columns(names) for batch in batches)
+
+    return numbered_names(df).mapInArrow(renamed, schema)
+
+
 def shuffle_key(seed: int, column: Column) -> Column:
     """A seeded pseudo-random sort key; null columns get a key of their own."""
     return F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(column.cast("string"), F.lit("null"))))
@@ -69,7 +92,7 @@ def rank_in_groups(
         condition = condition & df[c].eqNullSafe(cells[f"__{c}"])
     inside = Window.partitionBy(*cell).orderBy(*order)
     out = df.join(cells, condition)
-    columns = [*[F.col(c) for c in df.columns], (F.row_number().over(inside) - 1 + F.col("__first")).cast("long").alias(rank)]
+    columns = [*[df[f"`{c}`"] for c in df.columns], (F.row_number().over(inside) - 1 + F.col("__first")).cast("long").alias(rank)]
     if value:
         running = inside.rowsBetween(Window.unboundedPreceding, -1)
         columns.append((F.coalesce(F.sum(value).over(running), F.lit(0)) + F.col("__sum")).cast("long").alias(before))

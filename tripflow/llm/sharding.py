@@ -9,7 +9,9 @@ Defined results: null sources form one source; null, empty and long texts are
 rows like any other; repeated rows get places of their own (which copy gets
 which is open); an empty table gives an empty table; columns named like a
 result (`shard`, `slot`, and `position`, `total` in `interleave`) give way to
-it. Equal texts are not kept together: the law that holds
+it, and so do `__position` and `__total`; maps and variants don't order rows. Rows of equal
+or no ids are shuffled by all they hold, so places follow from the columns that are
+passed. Equal texts are not kept together: the law that holds
 is about row counts and the mixture.
 """
 
@@ -18,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripflow.llm.ranking import rank_in_groups, shuffle_key, shuffle_slot, slots_for
+from tripflow.llm.ranking import numbered_names, rank_in_groups, shuffle_key, shuffle_slot, slots_for, sortable
 from tripflow.session import materialise, shuffle_parts
 
 SEED = 20
@@ -34,10 +36,14 @@ def interleave(
     task orders one cell of about `CELL_ROWS` rows.
     """
     df = df.drop(position, total)
-    keyed = materialise(df.withColumn("__key", shuffle_key(seed, F.col(key))))
+    names, df = df.columns, numbered_names(df)
+    key, stratum = (f"c{names.index(c)}" for c in (key, stratum))
+    # Rows without an id, or of one id, are told apart by what they hold.
+    rows_key = F.concat_ws(":", F.col(key).cast("string"), F.xxhash64(*sortable(df)).cast("string"))
+    keyed = materialise(df.withColumn("__key", shuffle_key(seed, rows_key)))
     rows = keyed.count()
     slots = slots_for(rows)
-    ties = ["__key", *[c for c in df.columns if c != stratum]]
+    ties = ["__key", *[c for c in sortable(df) if c != stratum]]
     inside = rank_in_groups(
         keyed.withColumn("__slot", shuffle_slot(F.col("__key"), slots)), [stratum], "__slot", ties, rank="__rank"
     )
@@ -50,8 +56,8 @@ def interleave(
         .drop("__rank", "__size")
     )
     order = ["__fraction", stratum, *ties]
-    placed = rank_in_groups(ranked, [], "__slot", order, rank=position)
-    return placed.withColumn(total, F.lit(rows).cast("long")).select(*df.columns, position, total)
+    placed = rank_in_groups(ranked, [], "__slot", order, rank="__at")
+    return placed.select(*df.columns, "__at", F.lit(rows).cast("long")).toDF(*names, position, total)
 
 
 def cut(df: DataFrame, shards: int) -> DataFrame:
@@ -59,7 +65,7 @@ def cut(df: DataFrame, shards: int) -> DataFrame:
     shard = f"__position * {shards}L div __total"
     first = F.expr(f"(({shard}) * __total + {shards}L - 1) div {shards}L")
     return df.select(
-        *[c for c in df.columns if c not in ("__position", "__total")],
+        *[f"`{c}`" for c in df.columns if c not in ("__position", "__total")],
         F.expr(shard).cast("int").alias("shard"),
         (F.col("__position") - first).cast("long").alias("slot"),
     )

@@ -32,6 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tripflow.llm.ranking import map_batches
 from tripflow.session import materialise
 
 MAX_PER_CLASS = 6_000
@@ -204,5 +205,5 @@ def score(docs: DataFrame, model: Model, out: str = "score") -> DataFrame:
             scores = pa.array([gauge.score(t or "") for t in batch.column("text").to_pylist()], pa.float64())
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), scores], names=[*names, out])
 
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(out, T.DoubleType())]))
+    return map_batches(docs, run, T.StructType([*docs.schema.fields, T.StructField(out, T.DoubleType())]))
 
