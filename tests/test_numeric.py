@@ -90,3 +90,15 @@ def test_regression_like_numpy(spark):
 def test_square_udf(spark):
     df = spark.createDataFrame([(1.5,), (None,), (-2.0,)], "x double")
     assert [r[0] for r in df.select(square_udf()("x")).collect()] == [2.25, None, 4.0]
+
+
+def test_fingerprint_works_each_row_out_once(spark):
+    from tripflow.operators.fingerprint import fingerprint
+
+    df = spark.range(1000).selectExpr("id", "id / 7 AS x", "nullif(id, 3) AS y")
+    plan = fingerprint(df)._jdf.queryExecution().executedPlan().toString()
+    sums = [line for line in plan.splitlines() if "sum(" in line]
+    assert sums and not any("md5" in line or "concat_ws" in line for line in sums)
+    rows = fingerprint(df.union(df)).first(), fingerprint(df).first()
+    assert int(rows[0].fingerprint) == 2 * int(rows[1].fingerprint) > 2**49 and rows[0].n == 2000
+    assert tuple(fingerprint(df.limit(0)).first()) == (0, "0")
