@@ -537,3 +537,17 @@ def test_records_of_wide_ids_are_refused(spark, tmp_path):
     rows = spark.createDataFrame([(1, bytearray(np.array([70_000], "<u4").tobytes()))], "doc_id bigint, ids binary")
     with pytest.raises(Exception, match="does not fit"):
         records.write_ids(rows, str(tmp_path), 2)
+
+
+def test_tokens_are_shuffled_once_for_their_counts_and_the_join(spark):
+    from tripflow.llm import ngram_join
+
+    words = [f"w{k % 37} x{k % 11} y{k}" for k in range(60)]
+    rows = [(d, " ".join(words[d % 3 :])) for d in range(20)] + [(90, "only here are these words"), (90, "only here are these words")]
+    signed = ngram_join.materialise(ngram_join.signed_sets(spark.createDataFrame(rows, "doc_id long, text string"), 3, 90))
+    index = ngram_join.signature_index(signed.filter("n > 1 AND doc_id IS NOT NULL"), 90)
+    held = {r.doc_id for r in index.collect()}
+    assert held and 90 not in held  # tokens that only repeated rows of one id have are not shared
+    index.collect()
+    plan = index._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ReusedExchange") >= 1 and "REPARTITION_BY_COL" in plan

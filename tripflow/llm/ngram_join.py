@@ -197,8 +197,10 @@ def _lists(parts: list[np.ndarray]) -> pa.ListArray:
 def signature_index(heads: DataFrame, percent: int) -> DataFrame:
     """(doc_id, n, signature) of the class heads, from their candidate tokens."""
     bands = heads.select("doc_id", "n", F.explode("bands").alias("b")).select("doc_id", "n", "b.*")
-    rows = bands.select("doc_id", "power", F.explode("counted").alias("token"))
-    counts = rows.groupBy("power", "token").agg(F.count(F.lit(1)).alias("found")).filter("found > 1")
+    # Counts and the join read one shuffle of the tokens: both sides of it need the ids.
+    rows = bands.select("doc_id", "power", F.explode("counted").alias("token")).repartition("power", "token")
+    ends = [F.count(F.lit(1)).alias("found"), F.min("doc_id").alias("low"), F.max("doc_id").alias("high")]
+    counts = rows.groupBy("power", "token").agg(*ends).filter("low < high").drop("low", "high")
     shared = rows.join(counts.hint("shuffle_hash"), ["power", "token"])
     lists = shared.groupBy("doc_id", "power").agg(F.collect_set(F.struct("token", "found")).alias("shared"))  # a set's tokens
     signing = bands.select("doc_id", "n", "power", F.size("counted").alias("counted_n"), "others")
