@@ -33,6 +33,17 @@ def spark(tmp_path_factory):
     session.stop()
 
 
+@pytest.fixture(autouse=True)
+def no_views_left(request):
+    """Views of the session are listed with the tables of any namespace, so none stays for the next test."""
+    yield
+    if "spark" in request.fixturenames:
+        session = request.getfixturevalue("spark")
+        for found in session.catalog.listTables():
+            if found.isTemporary:
+                session.catalog.dropTempView(found.name)
+
+
 @pytest.fixture(scope="session")
 def sf_dir():
     path = os.path.join(TESTDATA, "sf0.001")
