@@ -551,3 +551,38 @@ def test_tokens_are_shuffled_once_for_their_counts_and_the_join(spark):
     index.collect()
     plan = index._jdf.queryExecution().executedPlan().toString()
     assert plan.count("ReusedExchange") >= 1 and "REPARTITION_BY_COL" in plan
+
+
+@pytest.mark.parametrize("percent", [80, 90])
+def test_marks_never_rule_out_a_link(percent):
+    rng = np.random.default_rng(13)
+    ruled_out = 0
+    for n in [1, 2, 63, 64, 65, 130, 500, 1_020, 1_030, 5_000]:
+        for lost in range(0, n // 3 + 1, max(1, n // 40)):
+            x = np.unique(rng.integers(0, 1 << 63, n).astype(np.uint64))
+            added = rng.integers(0, 1 << 63, int(rng.integers(0, lost + 1))).astype(np.uint64)
+            y = np.unique(np.concatenate([x[lost:], added]))
+            shared = len(np.intersect1d(x, y))
+            marks = (np.frombuffer(ngram_join.mark_of(s), "<u8") for s in (x, y))
+            if 100 * shared >= percent * (len(x) + len(y) - shared):
+                assert ngram_join.may_be_linked(*marks, len(x) + len(y), percent)
+        far = (np.frombuffer(ngram_join.mark_of(rng.integers(0, 1 << 63, n).astype(np.uint64)), "<u8") for _ in range(2))
+        ruled_out += n > 60 and not ngram_join.may_be_linked(*far, 2 * n, percent)
+    assert ruled_out == 8
+
+
+def test_sets_far_apart_are_not_moved(make_docs, monkeypatch):
+    """Texts with a few rare passages in common share signatures, but their whole sets are not read for it."""
+    rng = np.random.default_rng(17)
+    texts = []
+    for i in range(40):
+        words = [f"t{i}x{k}" for k in range(150)]
+        for p in rng.choice(12, 6, replace=False):
+            words[12 * p : 12 * p + 12] = [f"passage{p} word{k}" for k in range(12)]
+        texts.append(" ".join(words))
+    texts += [texts[0] + " end", texts[1] + " end"]
+    read, real = [], ngram_join.member_sets
+    monkeypatch.setattr(ngram_join, "member_sets", lambda d, m, size: read.extend(r[0] for r in m.collect()) or real(d, m, size))
+    got = {r["doc_id"]: r["component_id"] for r in ngram_join.ngram_components(make_docs(texts), 3, 90).collect()}
+    assert got == {i: i for i in range(40)} | {40: 0, 41: 1}
+    assert {0, 1, 40, 41} <= set(read) and len(set(read)) < 20

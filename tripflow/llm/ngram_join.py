@@ -22,7 +22,12 @@ Sets that share a signature are first compared with one of them, the hub, so a
 group of thousands of near copies costs one comparison each. Where the sets of
 a signature are still in several components, they are compared across these in
 blocks: a task holds two blocks and returns only links that join components.
-Comparisons are exact, over the sets' 64-bit hashes. `class_links` and
+Most sets that share a signature are far apart, so all comparisons begin with
+marks: a bit per place of a hash, the parity of the tokens there, about as many
+bits as tokens. Every token that only one of two sets has turns one bit, so marks
+differ in no more bits than the sets in tokens, and two sets whose marks differ
+in more than a link allows are not linked. Only what is left has its whole
+sets moved and compared. These comparisons are exact, over the sets' 64-bit hashes. `class_links` and
 `link_counts` compare all sets of a component, so they return every link.
 
 Defined results: a null, empty or blank text has no n-grams and is linked
@@ -62,7 +67,7 @@ BITMAP_BYTES = 8 << 20
 BLOCK, BLOCK_TOKENS = 2_048, 4_000_000
 
 SIGNED = (
-    "doc_id bigint, n bigint, hi bigint, lo bigint, "
+    "doc_id bigint, n bigint, hi bigint, lo bigint, mark binary, "
     "bands array<struct<power:int,counted:array<bigint>,others:array<bigint>>>"
 )
 
@@ -97,6 +102,28 @@ def token_set(text: bytes | None, size: int, known: WordHashes) -> np.ndarray:
     return np.unique(total)
 
 
+def mark_of(tokens: np.ndarray) -> bytes:
+    """For each place, by the tokens' lowest bits, the parity of the tokens there; places are the power of two from their number on."""
+    places = max(64, 1 << max(0, len(tokens) - 1).bit_length())
+    counts = np.bincount((tokens & np.uint64(places - 1)).view(np.int64), minlength=places)
+    return np.packbits((counts & 1).astype(bool), bitorder="little").tobytes()
+
+
+def folded(marks: np.ndarray, words: int) -> np.ndarray:
+    """Marks, a row each, with fewer places; what the places that meet have adds up to their parity."""
+    while marks.shape[-1] > words:
+        half = marks.shape[-1] // 2
+        marks = marks[..., :half] ^ marks[..., half:]
+    return marks
+
+
+def may_be_linked(x: np.ndarray, y: np.ndarray, total: np.ndarray | int, percent: int) -> np.ndarray:
+    """Whether marks differ in no more bits than two linked sets of so many tokens in all can in tokens."""
+    words = min(x.shape[-1], y.shape[-1])
+    apart = np.bitwise_count(folded(x, words) ^ folded(y, words)).sum(axis=-1, dtype=np.int64)
+    return apart * (100 + percent) <= total * (100 - percent)
+
+
 def needed(n: int, percent: int) -> int:
     """Tokens that any partner of a set of n shares with it, at the least."""
     return -(-n * percent // 100)
@@ -161,7 +188,7 @@ def _read(docs: DataFrame) -> DataFrame:
 
 
 def signed_sets(docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """Per document the size and a 128-bit digest of its set, and the tokens it may sign with."""
+    """Per document the size, a 128-bit digest and the mark of its set, and the tokens it may sign with."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import hashlib
@@ -170,11 +197,12 @@ def signed_sets(docs: DataFrame, size: int, percent: int) -> DataFrame:
         for batch in batches:
             for start in range(0, batch.num_rows, 1024):
                 some = batch.slice(start, 1024)
-                sizes, digests, powers, counted, others, ends = [], [], [], [], [], [0]
+                sizes, digests, marks, powers, counted, others, ends = [], [], [], [], [], [], [0]
                 for text in some.column("text").to_pylist():
                     tokens = token_set(text, size, known)
                     sizes.append(len(tokens))
                     digests.append(hashlib.blake2b(tokens.tobytes(), digest_size=16).digest())
+                    marks.append(mark_of(tokens))
                     for power, low, rest in candidates(tokens, percent):
                         powers.append(power), counted.append(low), others.append(rest)
                     ends.append(len(powers))
@@ -183,8 +211,8 @@ def signed_sets(docs: DataFrame, size: int, percent: int) -> DataFrame:
                     [pa.array(powers, pa.int32()), _lists(counted), _lists(others)], names=["power", "counted", "others"]
                 )
                 bands = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), bands)
-                columns = [some.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(halves[:, 0]), pa.array(halves[:, 1]), bands]
-                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n", "hi", "lo", "bands"])
+                columns = [some.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(halves[:, 0]), pa.array(halves[:, 1]), pa.array(marks, pa.binary()), bands]
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n", "hi", "lo", "mark", "bands"])
 
     return _read(docs).mapInArrow(run, SIGNED)
 
@@ -293,6 +321,21 @@ def _may_link(n: Column, m: Column, percent: int) -> Column:
     return 100 * F.least(n, m) >= percent * F.greatest(n, m)
 
 
+def close_pairs(pairs: DataFrame, marks: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b), stored, whose marks don't rule a link out; marks are (doc_id, n, mark)."""
+    left = marks.select(F.col("doc_id").alias("a"), F.col("n").alias("m"), F.col("mark").alias("x"))
+    right = marks.select(F.col("doc_id").alias("b"), "n", F.col("mark").alias("y")).join(told(pairs), "b")
+    both = right.join(left, "a").select("a", "b", (F.col("m") + F.col("n")).alias("total"), "x", "y")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            marks = ([np.frombuffer(v, "<u8") for v in batch.column(c).to_pylist()] for c in ("x", "y"))
+            close = [bool(may_be_linked(x, y, t, percent)) for x, y, t in zip(*marks, batch.column("total").to_pylist())]
+            yield batch.select(["a", "b"]).filter(pa.array(close, pa.bool_()))
+
+    return both.mapInArrow(run, "a bigint, b bigint").distinct()
+
+
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b), stored, whose sets reach the similarity; a set moves to its hub, and hubs are fewer."""
     hubs = materialise(pairs.select("a").distinct())
@@ -344,16 +387,53 @@ def joining_links(rows: pd.DataFrame, percent: int) -> list[tuple[int, int]]:
     return links
 
 
-def links_across(open_: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links (a, b) between components among the sets of one signature.
+def near_others(rows: pd.DataFrame, percent: int) -> np.ndarray:
+    """Which rows of one or two blocks have a mark that doesn't rule out a link with some row of another component."""
+    sides, of, sizes = (rows[c].to_numpy() for c in ("side", "component", "n"))
+    words = np.array([len(m) // 8 for m in rows["mark"]])
+    first, second = (sides == 0, sides == 1) if len(set(sides)) > 1 else (np.ones(len(rows), bool),) * 2
+    near = np.zeros(len(rows), bool)
+    # Marks of one length are one table.
+    places = {w: np.flatnonzero(second & (words == w)) for w in np.unique(words[second])}
+    tables = {w: np.frombuffer(b"".join(rows["mark"].iloc[at]), "<u8").reshape(len(at), w) for w, at in places.items()}
+    for w in np.unique(words[first]):
+        own = np.flatnonzero(first & (words == w))
+        for v, at in places.items():
+            if 100 * min(sizes[own].max(), sizes[at].max()) < percent * max(sizes[own].min(), sizes[at].min()):
+                continue
+            table = folded(tables[v], w)
+            for i in own:
+                mark = np.frombuffer(rows["mark"].iat[i], "<u8")
+                close = at[may_be_linked(table, mark, sizes[at] + sizes[i], percent) & (of[at] != of[i])]
+                near[close] = True
+                near[i] |= len(close) > 0
+    return near
+
+
+def open_rows(open_: DataFrame, marks: DataFrame, percent: int) -> DataFrame:
+    """(part, doc_id, n, component), stored, of the sets that may be linked with a set of another component.
 
     `open_` has (signature, doc_id, n, component). Signatures with the same
-    lowest component are handled together, so that a pair isn't compared once
-    per signature. A group is cut into blocks of bounded sets and tokens, and
-    any two of them are a cell.
+    lowest component are one part, so that a pair isn't compared once per
+    signature. A set that no mark in its part comes near to has no link there.
     """
     lowest = open_.groupBy("signature").agg(F.min("component").alias("part"))
-    cells = _cells(materialise(open_.join(lowest, "signature").select("part", "doc_id", "n", "component").distinct()), sets)
+    rows = materialise(open_.join(lowest, "signature").select("part", "doc_id", "n", "component").distinct())
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        return rows.loc[near_others(rows, percent), ["part", "doc_id"]]
+
+    near = _cells(rows, marks).groupBy("part", "first", "second").applyInPandas(run, "part bigint, doc_id bigint")
+    return materialise(rows.join(told(materialise(near.distinct())), ["part", "doc_id"], "left_semi"))
+
+
+def links_across(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) between components among the sets of one part.
+
+    `rows` has (part, doc_id, n, component). A part is cut into blocks of
+    bounded sets and tokens, and any two of them are a cell.
+    """
+    cells = _cells(rows, sets)
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame(joining_links(rows, percent), columns=["a", "b"], dtype="int64")
@@ -362,7 +442,7 @@ def links_across(open_: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _cells(rows: DataFrame, sets: DataFrame) -> DataFrame:
-    """Rows (part, doc_id, n, component) with their tokens, once per cell: two blocks, or one, of a part."""
+    """Rows (part, doc_id, n, component) with their tokens or marks, once per cell: two blocks, or one, of a part."""
     enough = F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(F.sum("n") / BLOCK_TOKENS))
     blocks = rows.groupBy("part").agg(enough.cast("int").alias("blocks"))
     dealt = rows.join(blocks, "part").withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
@@ -392,9 +472,10 @@ def ngram_components(docs: DataFrame, size: int = 5, percent: int = 80) -> DataF
     shared = materialise(index.join(hubs, "signature"))
     star = shared.filter(F.col("doc_id") != F.col("hub")).filter(_may_link(F.col("n"), F.col("hub_n"), percent))
     star = materialise(star.select(F.col("hub").alias("a"), F.col("doc_id").alias("b")).distinct())
-    members = shared.filter("size > 2").select("doc_id").union(star.select("a")).union(star.select("b"))
-    sets = member_sets(docs, members, size)
-    links = materialise(verified(star, sets, percent))
+    members = materialise(shared.filter("size > 2").select("doc_id").union(star.select("a")).union(star.select("b")).distinct())
+    marks = materialise(heads.select("doc_id", "n", "mark").join(told(members), "doc_id", "left_semi").distinct())
+    star = materialise(close_pairs(star, marks, percent))
+    links = materialise(verified(star, member_sets(docs, star.select(F.col("a").alias("doc_id")).union(star.select("b")), size), percent))
     found = components(links)
 
     # Pairs that no hub settled: sets of one signature in different components.
@@ -402,7 +483,8 @@ def ngram_components(docs: DataFrame, size: int = 5, percent: int = 80) -> DataF
     labelled = labelled.select("signature", "doc_id", "n", F.coalesce("component", "doc_id").alias("component"))
     split = labelled.groupBy("signature").agg(F.min("component").alias("low"), F.max("component").alias("high"))
     open_ = materialise(labelled.join(split.filter("low <> high").select("signature"), "signature"))
-    more = materialise(links_across(open_, sets, percent))
+    rows = open_rows(open_, marks, percent)
+    more = materialise(links_across(rows, member_sets(docs, rows.select("doc_id"), size), percent))
     found = components(links.union(more))
 
     of_class = classes.join(found.withColumnRenamed("id", "class_id"), "class_id", "left").select(
