@@ -586,3 +586,22 @@ def test_sets_far_apart_are_not_moved(make_docs, monkeypatch):
     got = {r["doc_id"]: r["component_id"] for r in ngram_join.ngram_components(make_docs(texts), 3, 90).collect()}
     assert got == {i: i for i in range(40)} | {40: 0, 41: 1}
     assert {0, 1, 40, 41} <= set(read) and len(set(read)) < 20
+
+
+def test_python_gets_small_batches_for_sets(spark, make_docs, monkeypatch):
+    from tripflow.session import small_batches
+
+    keys = ["spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.execution.arrow.maxBytesPerBatch"]
+    before = [spark.conf.get(k) for k in keys]
+    held, real = [], ngram_join.materialise
+    monkeypatch.setattr(ngram_join, "materialise", lambda df: held.append(spark.conf.get(keys[0])) or real(df))
+    ngram_join.ngram_components(make_docs(["a b c d", "a b c d", None]), 3, 90)
+    assert held[0] == "1024" and "1024" in held[1:]
+    with pytest.raises(ZeroDivisionError), small_batches(spark, 5, 2_000):
+        with small_batches(spark, 9, 3_000):
+            assert [spark.conf.get(k) for k in keys] == ["5", "2000"]
+        docs = spark.range(0, 40, 1, 1).selectExpr("id", "repeat('x', 100) AS text")
+        sizes = docs.mapInArrow(lambda batches: (b.select(["id"]).slice(0, 1) for b in batches), "id long").collect()
+        assert len(sizes) == 8  # 40 rows, five at once
+        1 / 0
+    assert [spark.conf.get(k) for k in keys] == before

@@ -49,7 +49,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripflow.llm.components import components
-from tripflow.session import materialise
+from tripflow.session import materialise, small_batches
 
 # A token found in so many classes is frequent.
 FREQUENT = 32
@@ -307,7 +307,8 @@ def member_sets(docs: DataFrame, members: DataFrame, size: int) -> DataFrame:
         sets = whole_sets(docs.join(F.broadcast(members), "doc_id", "left_semi"), size)
     else:
         sets = whole_sets(docs, size, bitmap(members)).join(members, "doc_id", "left_semi")
-    sets = materialise(sets)
+    with small_batches(docs.sparkSession):
+        sets = materialise(sets)
     repeated = sets.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1")
     return sets if repeated.isEmpty() else materialise(sets.dropDuplicates(["doc_id"]))
 
@@ -456,7 +457,8 @@ def _cells(rows: DataFrame, sets: DataFrame) -> DataFrame:
 
 def ngram_components(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, class_id (smallest id with the same set) and component_id."""
-    signed = materialise(signed_sets(docs, size, percent))
+    with small_batches(docs.sparkSession):
+        signed = materialise(signed_sets(docs, size, percent))
     classes = materialise(signed.groupBy("hi", "lo", "n").agg(F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("copies")))
 
     several = classes.filter("copies > 1").select("hi", "lo", "class_id")

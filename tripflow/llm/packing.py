@@ -56,6 +56,9 @@ STRETCH_ROWS = 1024
 # Sequences that may begin in one document; a text has at most 2**31 bytes, so it has fewer full pieces.
 NUMBERS = 1 << 22
 
+# Bytes of text that are encoded in one go.
+PART_BYTES = 4 << 20
+
 # Full pieces of a document that one task takes.
 LONE_PIECES = 1024
 
@@ -83,7 +86,7 @@ def pieces(docs: DataFrame, tokenizer: str, length: int = LENGTH, end_id: int =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = worker_encoder(shared.value, 4)
-        for batch in (part for whole in batches for part in in_parts(whole)):
+        for batch in (part for whole in batches for part in in_parts(whole, most=PART_BYTES)):
             of, number, starts, lengths, ids = [], [], [], [], []
             for row, coded in enumerate(encoder.encode(batch.column("text"))):
                 coded += end
@@ -97,6 +100,8 @@ def pieces(docs: DataFrame, tokenizer: str, length: int = LENGTH, end_id: int =
                 *(batch.column(c).take(rows) for c in keep),
             ]
             yield pa.RecordBatch.from_arrays(columns, names=schema.names)
+        # The worker lives on for other stages: what Arrow doesn't use goes back.
+        pa.default_memory_pool().release_unused()
 
     kept = docs.select("doc_id", "text", *(F.col(f"`{c}`") for c in keep))
     schema = T.StructType([*PIECES.fields, *kept.schema.fields[2:]])

@@ -173,5 +173,23 @@ def materialise(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 1_024, most: int = 8 << 20) -> Iterator[None]:
+    """Within the block, Spark hands Python at most so many rows and bytes of a table at once; a limit that is lower stays.
+
+    Settings are read when a job is planned, so the block has to run it, as `materialise` does.
+    """
+    limits = {"spark.sql.execution.arrow.maxRecordsPerBatch": rows, "spark.sql.execution.arrow.maxBytesPerBatch": most}
+    before = {k: spark.conf.get(k, None) for k in limits}
+    try:
+        for k, limit in limits.items():
+            now = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(before[k] or "0")
+            spark.conf.set(k, str(min(now, limit) if now > 0 else limit))
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def unique_name(prefix: str) -> str:
     return f"{prefix}_{uuid.uuid4().hex[:12]}"
