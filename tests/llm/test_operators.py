@@ -152,6 +152,34 @@ def test_trees_go_only_where_a_box_reaches(spark, monkeypatch):
     assert shipped < everything / 3
 
 
+def test_homes_share_blocks_of_queries(spark, monkeypatch):
+    """Trees are copied once per block, so a block may not end with its cell: 24 cells of 12 queries are 3 blocks of 96."""
+    monkeypatch.setattr(topk, "BLOCK_QUERIES", 96)
+    rows = [(q, 2, [q, 1], q % 24) for q in range(288)] + [(999, 3, [1, 2, 3], 0)]
+    placed = topk.in_blocks(spark.createDataFrame(rows, "query_id long, dim int, vector array<long>, home int")).collect()
+    blocks = collections.Counter((r["dim"], r["part"]) for r in placed)
+    assert len(placed) == 289 and set(blocks) == {(2, 0), (2, 1), (2, 2), (3, 0)} and max(blocks.values()) < 130
+    assert all(len({r["part"] for r in placed if r["dim"] == 2 and r["home"] == h}) == 1 for h in (0, 23))
+    monkeypatch.setattr(topk, "BLOCK_NUMBERS", 48)  # long vectors: fewer queries
+    longer = spark.createDataFrame(rows, "query_id long, dim int, vector array<long>, home int")
+    assert topk.in_blocks(longer).select("dim", "part").distinct().count() == 13
+
+
+@pytest.mark.parametrize(("top", "kind"), [(30, np.float32), (1 << 20, np.float64), (1 << 28, np.int64)])
+def test_tree_takes_the_best_of_a_block(top, kind):
+    rng = np.random.default_rng(top)
+    vectors, queries = rng.integers(-top, top, (700, 5)), rng.integers(-top, top, (90, 5))
+    vectors[300:600] = vectors[299]  # ties
+    ids, own, floors = rng.permutation(700) - 350, rng.integers(-350, 350, 90), np.full(90, topk.NONE)
+    plain = [sorted((-int(s), int(i)) for s, i in zip(vectors @ q, ids) if i != o)[:4] for q, o in zip(queries, own)]
+    floors[::2] = [-best[3][0] for best in plain[::2]]
+    assert topk.exact_kind(queries, vectors, vectors) == kind
+    best = topk.Best(own, floors, 4)
+    for part in (slice(0, 350), slice(350, 700)):
+        topk.Tree.build(ids[part], vectors[part], leaf=16).search(queries, best)
+    assert [[(-s, i) for s, i in zip(*x)] for x in zip(best.scores.tolist(), best.ids.tolist())] == plain
+
+
 def test_top_k_of_one_hot_row(spark, monkeypatch):
     monkeypatch.setattr(topk, "SHARD_ROWS", 10)
     rows = [(1, [1.0])] * 40 + [(2, [1.0])] * 3 + [(3, [0.5])]

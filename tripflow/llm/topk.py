@@ -7,14 +7,16 @@ several shards, by hash. In a shard, median splits of the
 widest side give a balanced tree whose nodes carry tight bounding boxes. A
 query walks a tree best-first: for a box from `lo` to `hi` no product can pass
 the sum of q * hi where q is positive and q * lo where it isn't, and the walk
-ends when the best box left is below the kth score so far. That score is
+ends when the best box left is below the kth score so far. A leaf's box lies in those above it, so the walk meets the
+leaves in the order of their own bounds; queries take theirs in rounds, and a leaf is compared with all that have come to it. That score is
 carried along: from shard to shard in a task, and from a first group of shards
 to all others. The first group lies in the cell of the query's best bound; of the other
 cells only those are asked whose tight box reaches the score found there.
 
-Queries come in blocks that share their best cell, and shards in groups, both of bounded size; a task holds
+Queries come in blocks of the same or neighbouring best cells, and shards in groups, both of bounded size; a task holds
 one block and one group, and a group's trees go only to blocks with a query
-that asks it. All arithmetic is on integers. Vectors of the `SPLIT_LENGTHS`
+that asks it. A block's rows in a task are about as large as a group's trees, so that the copies of
+neither outweigh the other's. All arithmetic is on integers. Vectors of the `SPLIT_LENGTHS`
 commonest lengths have cells; those of any other length are one cell a length.
 
 Defined results: vectors that are null or hold null or non-finite components
@@ -28,7 +30,6 @@ component or score that doesn't fit 64 bits raises.
 
 from __future__ import annotations
 
-import heapq
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -43,7 +44,8 @@ from tripflow.session import materialise
 
 SHARD_ROWS = 4_096
 LEAF_ROWS = 64
-BLOCK_QUERIES = 128
+BLOCK_QUERIES = 4_096
+BLOCK_NUMBERS = 1 << 19  # components in a block at most: fewer queries of long vectors
 GROUP_SHARDS = 4
 
 # Bounds of what the driver holds: sampled components and rows per cell, for so many lengths.
@@ -57,6 +59,8 @@ TREES = (
 )
 HITS = "query_id bigint, vec_id bigint, score bigint"
 
+NONE = -(1 << 63)  # below any score
+
 
 def quantised(vector: Column, scale: int = 256) -> Column:
     """floor(scale * x) of every component; null for vectors that take no part."""
@@ -98,46 +102,57 @@ class Tree:
                 order[a:b] = order[a:b][np.argpartition(rows[:, side], (a + b) // 2 - a)]
         return cls(ids[order], vectors[order], low, high, leaf)
 
-    def search(self, queries: np.ndarray, own: np.ndarray, found: list[list[tuple[int, int]]], floors: list[int | None], k: int) -> None:
-        """Adds what this tree has to each query's k best, pairs (score, -id) in a heap.
-
-        `floors` are scores that k rows elsewhere are known to reach.
-        """
-        bounds = box_bounds(queries, self.low, self.high)
+    def search(self, queries: np.ndarray, best: Best) -> None:
+        """Adds what this tree has to each query's k best."""
+        leaves = [(node, a, b) for node, (a, b, is_leaf) in self.spans.items() if is_leaf]
+        nodes = [node for node, _, _ in leaves]
+        bounds = box_bounds(queries, self.low[nodes], self.high[nodes])
         asked, points = queries.astype(bounds.dtype), self.vectors.astype(bounds.dtype)
-        for i, query in enumerate(asked):
-            best, known = found[i], bounds[i]
-            heap = [(-known[0], 0)]
-            while heap:
-                bound, node = heapq.heappop(heap)
-                kth = best[0][0] if len(best) == k else None
-                kth = floors[i] if kth is None else kth if floors[i] is None else max(kth, floors[i])
-                if kth is not None and -bound < kth:
-                    break
-                a, b, is_leaf = self.spans[node]
-                if not is_leaf:
-                    for child in (2 * node + 1, 2 * node + 2):
-                        if kth is None or known[child] >= kth:
-                            heapq.heappush(heap, (-known[child], child))
-                    continue
-                scores = points[a:b] @ query
-                good = np.flatnonzero(scores >= kth) if kth is not None else np.arange(b - a)
-                for j in good:
-                    if self.ids[a + j] != own[i]:
-                        item = (int(scores[j]), -int(self.ids[a + j]))
-                        if len(best) < k:
-                            heapq.heappush(best, item)
-                        elif item > best[0]:
-                            heapq.heapreplace(best, item)
+        turns = np.argsort(bounds, axis=1, kind="stable")[:, ::-1]  # each query's leaves, best first
+        rows, done, width = np.arange(len(queries)), 0, 1
+        while rows.size and done < len(leaves):
+            mine = turns[rows, done : done + width]
+            open_ = bounds[rows[:, None], mine] >= best.kth(rows).astype(bounds.dtype)[:, None]
+            for leaf in np.unique(mine[open_]):
+                who, (_, a, b) = rows[(open_ & (mine == leaf)).any(1)], leaves[leaf]
+                best.take(who, asked[who] @ points[a:b].T, self.ids[a:b])
+            rows, done, width = rows[open_[:, -1]], done + width, 2 * width
+
+
+class Best:
+    """The k best rows found for each query: scores from the highest on, NONE where there are fewer, ties by the smaller id.
+
+    `floors` are scores that k rows elsewhere are known to reach, or NONE; `own` are ids that don't answer.
+    """
+
+    def __init__(self, own: np.ndarray, floors: np.ndarray, k: int):
+        self.own, self.floors = own, floors
+        self.scores, self.ids = np.full((len(own), k), NONE, np.int64), np.zeros((len(own), k), np.int64)
+
+    def kth(self, rows: np.ndarray) -> np.ndarray:
+        """The score that a further row has to reach."""
+        return np.maximum(self.floors[rows], self.scores[rows, -1])
+
+    def take(self, rows: np.ndarray, scores: np.ndarray, ids: np.ndarray) -> None:
+        """Takes up candidates, which have a score (column) for each of the given queries (row)."""
+        good = scores >= self.kth(rows).astype(scores.dtype)[:, None]
+        hit = np.flatnonzero(good.any(1))
+        if not hit.size:
+            return
+        rows, good = rows[hit], good[hit] & (ids != self.own[rows[hit]][:, None])
+        new = np.where(good, scores[hit].astype(np.int64), NONE)
+        scores, ids = np.hstack([self.scores[rows], new]), np.hstack([self.ids[rows], np.broadcast_to(ids, new.shape)])
+        order = np.lexsort((ids, ~scores), axis=1)[:, : self.scores.shape[1]]  # ~ turns the order round and can't overflow
+        self.scores[rows], self.ids[rows] = np.take_along_axis(scores, order, 1), np.take_along_axis(ids, order, 1)
 
 
 def exact_kind(queries: np.ndarray, low: np.ndarray, high: np.ndarray) -> type:
-    """Doubles where no sum can pass 2**53, else 64-bit integers; raises where these don't do."""
+    """Floats or doubles where no sum can pass 2**24 or 2**53, else 64-bit integers; raises where these don't do."""
     top = lambda x: max((abs(int(v)) for v in (x.min(), x.max())), default=0) if x.size else 0
     most = top(queries) * max(top(low), top(high)) * max(1, queries.shape[1])
     if most >= 1 << 63:
         raise OverflowError("a score may not fit 64 bits")
-    return np.float64 if most < 1 << 53 else np.int64
+    return np.float32 if most < 1 << 24 else np.float64 if most < 1 << 53 else np.int64
 
 
 def box_bounds(queries: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
@@ -303,24 +318,25 @@ def _searcher(k: int):
         none = pd.DataFrame({c: pd.Series([], dtype="int64") for c in ("query_id", "vec_id", "score")})
         if not len(asked) or not len(trees):
             return none
-        own = asked["query_id"].to_numpy(np.int64)
         vectors = np.array(asked["vector"].tolist(), np.int64).reshape(len(asked), -1)
-        floors = [None if pd.isna(f) else int(f) for f in asked["floor"].astype(object)]
-        found: list[list[tuple[int, int]]] = [[] for _ in own]
-        for _, row in trees.sort_values("shard").iterrows():
-            _revive(row).search(vectors, own, found, floors, k)
-        rows = [(int(q), -i, s) for q, best in zip(own, found) for s, i in best]
-        return pd.DataFrame(rows, columns=["query_id", "vec_id", "score"]) if rows else none
+        best = Best(asked["query_id"].to_numpy(np.int64), asked["floor"].to_numpy(np.int64), k)
+        for _, row in trees.iterrows():
+            _revive(row).search(vectors, best)
+        query, place = np.nonzero(best.scores != NONE)
+        return pd.DataFrame({"query_id": best.own[query], "vec_id": best.ids[query, place], "score": best.scores[query, place]})
 
     return run
 
 
 def in_blocks(queries: DataFrame) -> DataFrame:
-    """Adds `part`: queries of one length and home are blocks of about BLOCK_QUERIES rows; stored."""
+    """Adds `part`: queries of one length, in the order of their homes, are blocks of about BLOCK_QUERIES rows; stored."""
     queries = materialise(queries)
-    sizes = queries.groupBy("dim", "home").agg(F.ceil(F.count(F.lit(1)) / BLOCK_QUERIES).alias("parts"))  # a row per cell
-    part = F.pmod(F.xxhash64("query_id"), F.col("parts")).cast("int")
-    return materialise(queries.join(sizes, ["dim", "home"]).withColumn("part", part).drop("parts"))
+    sizes = queries.groupBy("dim", "home").agg(F.count(F.lit(1)).alias("n"))  # a row per cell
+    earlier = Window.partitionBy("dim").orderBy("home").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = sizes.withColumn("before", F.coalesce(F.sum("n").over(earlier), F.lit(0)))
+    block = F.least(F.lit(BLOCK_QUERIES), F.greatest(F.lit(1), F.floor(BLOCK_NUMBERS / F.greatest("dim", F.lit(1)))))
+    part = F.floor((F.col("before") + F.pmod(F.xxhash64("query_id"), F.col("n"))) / block).cast("int")
+    return materialise(queries.join(sizes, ["dim", "home"]).withColumn("part", part).drop("n", "before"))
 
 
 def asked_groups(asked: DataFrame, trees: DataFrame) -> DataFrame:
@@ -332,10 +348,11 @@ def asked_groups(asked: DataFrame, trees: DataFrame) -> DataFrame:
 
 def search(asked: DataFrame, trees: DataFrame, k: int) -> DataFrame:
     """The hits of each query in the group of its row; a task holds one block and one group."""
-    work = ["dim", "home", "part", "cell", "group"]
+    work = ["dim", "part", "cell", "group"]
     # New names for the same columns, so that both sides can be told apart.
     wanted = asked.select(*[F.col(c).alias(f"{c}_") for c in work]).distinct()
     sent = wanted.withColumnsRenamed({f"{c}_": c for c in work}).join(trees, ["dim", "cell", "group"])
+    asked = asked.select(*work, "query_id", "vector", F.coalesce("floor", F.lit(NONE)).alias("floor"))
     return asked.groupBy(*work).cogroup(sent.groupBy(*work)).applyInPandas(_searcher(k), HITS)
 
 
