@@ -165,6 +165,16 @@ def test_homes_share_blocks_of_queries(spark, monkeypatch):
     assert topk.in_blocks(longer).select("dim", "part").distinct().count() == 13
 
 
+def test_queries_per_cell_are_not_broadcast(spark):
+    """The table of queries is small on disk, but not once a query stands for each cell in its reach."""
+    asked = topk.materialise(spark.createDataFrame([(1, 2, [1, 2], 0, 0, [0, 1], 5)], "query_id long, dim int, vector array<long>, home int, part int, cells array<int>, floor long"))
+    trees = spark.createDataFrame([(2, 0, 0), (2, 1, 0), (2, 1, 1)], "dim int, cell int, group int")  # of unknown size
+    later = topk.asked_groups(asked, trees)
+    assert sorted((r["cell"], r["group"]) for r in later.collect()) == [(1, 0), (1, 1)]
+    plan = later._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "BuildLeft" not in plan
+
+
 @pytest.mark.parametrize(("top", "kind"), [(30, np.float32), (1 << 20, np.float64), (1 << 28, np.int64)])
 def test_tree_takes_the_best_of_a_block(top, kind):
     rng = np.random.default_rng(top)

@@ -336,13 +336,14 @@ def in_blocks(queries: DataFrame) -> DataFrame:
     sizes = sizes.withColumn("before", F.coalesce(F.sum("n").over(earlier), F.lit(0)))
     block = F.least(F.lit(BLOCK_QUERIES), F.greatest(F.lit(1), F.floor(BLOCK_NUMBERS / F.greatest("dim", F.lit(1)))))
     part = F.floor((F.col("before") + F.pmod(F.xxhash64("query_id"), F.col("n"))) / block).cast("int")
-    return materialise(queries.join(sizes, ["dim", "home"]).withColumn("part", part).drop("n", "before"))
+    return materialise(queries.join(F.broadcast(sizes), ["dim", "home"]).withColumn("part", part).drop("n", "before"))
 
 
 def asked_groups(asked: DataFrame, trees: DataFrame) -> DataFrame:
     """A row per query and group of a cell in its reach, but for the group that was asked first."""
-    groups = trees.select("dim", "cell", "group").distinct()
-    later = asked.withColumn("cell", F.explode("cells")).drop("cells").join(groups, ["dim", "cell"])
+    groups = trees.select("dim", "cell", "group").distinct()  # a row per group of shards
+    # Sizes are guessed before cells are exploded: without the hint the queries, once per cell, may be what the driver broadcasts.
+    later = asked.withColumn("cell", F.explode("cells")).drop("cells").join(F.broadcast(groups), ["dim", "cell"])
     return later.filter((F.col("cell") != F.col("home")) | (F.col("group") != 0))
 
 
@@ -351,7 +352,7 @@ def search(asked: DataFrame, trees: DataFrame, k: int) -> DataFrame:
     work = ["dim", "part", "cell", "group"]
     # New names for the same columns, so that both sides can be told apart.
     wanted = asked.select(*[F.col(c).alias(f"{c}_") for c in work]).distinct()
-    sent = wanted.withColumnsRenamed({f"{c}_": c for c in work}).join(trees, ["dim", "cell", "group"])
+    sent = wanted.withColumnsRenamed({f"{c}_": c for c in work}).join(trees.hint("merge"), ["dim", "cell", "group"])  # no tree to the driver
     asked = asked.select(*work, "query_id", "vector", F.coalesce("floor", F.lit(NONE)).alias("floor"))
     return asked.groupBy(*work).cogroup(sent.groupBy(*work)).applyInPandas(_searcher(k), HITS)
 
